@@ -36,7 +36,10 @@ def quantiles(
         return F.col("_cuts")[sides.index(p)]
 
     brackets = [(cut(max(0.0, p - margin)), cut(min(1.0, p + margin))) for p in ps]
-    inside = reduce(lambda a, b: a | b, [F.col("_v").between(lo, hi) for lo, hi in brackets])
+    # a group no larger than the sketch is sorted whole: its brackets could miss the next rank
+    inside = reduce(
+        lambda a, b: a | b, [F.col("_v").between(lo, hi) for lo, hi in brackets], F.col("_total") <= SKETCH
+    )
     # a value outside every bracket counts with the closest bracket end below it
     floor_ = F.greatest(
         F.lit(float("-inf")), *[F.when(hi < F.col("_v"), hi).otherwise(F.lit(float("-inf"))) for _, hi in brackets]
