@@ -101,6 +101,23 @@ def with_halo(
     return spread.withColumn("_home", F.col("_b") == home)
 
 
+def with_time_halo(df: DataFrame, t: str, before: float, after: float, width: float) -> DataFrame:
+    """Cut a series into time chunks `_b` with copies of the rows within `before` / `after` of a
+    chunk, for frames that are ranges of time. Units are those of `t`."""
+    width = max(width, before, after)
+    home = chunk_of(t, width)
+    earliest = chunk_of(F.col(t) - F.lit(after), width)
+    latest = chunk_of(F.col(t) + F.lit(before), width)
+    spread = df.withColumn("_b", F.explode(F.sequence(earliest, latest)))
+    return spread.withColumn("_home", F.col("_b") == home)
+
+
+def longer_than(df: DataFrame, k: Sequence[str], rows: int) -> bool:
+    """Whether any series has more than `rows` rows; decides between a local and a split path."""
+    counts = df.groupBy(*k).agg(F.count(F.lit(1)).alias("n"))
+    return bool(counts.filter(F.col("n") > rows).limit(1).count())
+
+
 def block_window(k: Sequence[str], i: str = "i"):
     return Window.partitionBy(*k, "_b").orderBy(i)
 

@@ -403,3 +403,84 @@ def provenance_fit(
         )
         .filter(F.col("n") >= min_n)
     )
+
+
+def event_lag_profiles(
+    df: DataFrame, starts: DataFrame, k: Sequence[str], a: str, b: str, half: int, max_lag: int, width: float, i="i"
+) -> DataFrame:
+    """Normalised cross-correlation around every event, as an array over lags.
+
+    starts: k, e (event number in its session), i0. Each event gathers only the samples within
+    half + max_lag of its start; events too close to an end of the series are left out.
+    """
+    import numpy as np
+    import pandas as pd
+
+    from .intervals import point_in_interval
+
+    reach = half + max_lag
+    spans = starts.select(
+        *k, "e", F.col("i0").alias("_at"), (F.col("i0") - reach).alias("_w0"), (F.col("i0") + reach - 1).alias("_w1")
+    )
+    points = df.select(*k, F.col(i).alias("_j"), F.coalesce(F.col(a), F.lit(0.0)).alias("_x"), F.coalesce(F.col(b), F.lit(0.0)).alias("_y"))
+    inside = point_in_interval(points, spans, k, "_j", "_w0", "_w1", width)
+    packed = (
+        inside.groupBy(*k, "e")
+        .agg(F.sort_array(F.collect_list(F.struct("_j", "_x", "_y"))).alias("_s"))
+        .filter(F.size("_s") == 2 * reach)
+    )
+
+    @F.pandas_udf("array<double>")
+    def profile(x: pd.Series, y: pd.Series) -> pd.Series:
+        def unit(m):
+            return (m - m.mean(axis=-1, keepdims=True)) / (m.std(axis=-1, keepdims=True) + 1e-9)
+
+        left = unit(np.stack(x.to_numpy())[:, max_lag : max_lag + 2 * half])
+        right = unit(np.lib.stride_tricks.sliding_window_view(np.stack(y.to_numpy()), 2 * half, axis=1))
+        return pd.Series(list(np.einsum("nj,nlj->nl", left, right) / (2 * half)))
+
+    return packed.select(
+        *k, "e", profile(F.transform("_s", lambda s: s["_x"]), F.transform("_s", lambda s: s["_y"])).alias("r")
+    )
+
+
+def event_xcorr(profiles: DataFrame, k: Sequence[str], max_lag: int, min_events: int = 8) -> DataFrame:
+    """Mean profile over events: peak lag, peak and its z score among all lags."""
+    lags = profiles.select(*k, F.posexplode("r").alias("_p", "_r")).groupBy(*k, "_p").agg(
+        F.avg("_r").alias("_m"), F.count(F.lit(1)).alias("n_events")
+    )
+    return (
+        lags.filter(F.col("n_events") >= min_events)
+        .groupBy(*k)
+        .agg(
+            (F.min_by("_p", F.struct(-F.round("_m", 12), F.col("_p"))) - max_lag).alias("peak_lag"),
+            F.max("_m").alias("peak_r"),
+            ((F.max("_m") - F.avg("_m")) / (F.stddev_pop("_m") + 1e-9)).alias("peak_z"),
+            F.max("n_events").alias("n_events"),
+        )
+    )
+
+
+def bootstrap_peak(profiles: DataFrame, k: Sequence[str], max_lag: int, n_boot: int = 200, seed: int = 0, min_events: int = 8) -> DataFrame:
+    """95 % interval of the peak lag over resampled events.
+
+    Every replicate draws as many events as the session has, with replacement; draws are a hash of
+    (seed, session, replicate, slot), so a rerun repeats them. Only draw counts meet the profiles.
+    """
+    sizes = profiles.groupBy(*k).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= min_events)
+    slots = profiles.select(*k, "e").join(sizes, list(k))
+    draws = slots.select(*k, "_n", "e", F.explode(F.sequence(F.lit(1), F.lit(n_boot))).alias("rep")).select(
+        *k, "rep", F.pmod(F.xxhash64(F.lit(seed), *k, "rep", "e"), F.col("_n")).alias("_pick")
+    )
+    counts = draws.groupBy(*k, "rep", "_pick").agg(F.count(F.lit(1)).alias("_w"))
+    # profiles are numbered densely, so a draw names one
+    numbered = blocks.index_rows(profiles, k, ["e"], blocks.chunk_of("e", 65_536.0), "_pick")
+    means = (
+        counts.join(numbered, [*k, "_pick"])
+        .select(*k, "rep", "_w", F.posexplode("r").alias("_p", "_r"))
+        .groupBy(*k, "rep", "_p")
+        .agg((F.sum(F.col("_r") * F.col("_w")) / F.sum("_w")).alias("_m"))
+    )
+    peaks = means.groupBy(*k, "rep").agg((F.min_by("_p", F.struct(-F.round("_m", 12), F.col("_p"))) - max_lag).alias("lag"))
+    ends = quantiles(peaks, k, "lag", [0.025, 0.975], ["lag_lo", "lag_hi"])
+    return ends.withColumn("ci_width", F.col("lag_hi") - F.col("lag_lo"))

@@ -1,4 +1,4 @@
 """All registered queries."""
 
-from . import rule_queries, series_queries  # noqa: F401
+from . import rule_queries, series_queries, stat_queries  # noqa: F401
 from .registry import ORACLE, QUERIES  # noqa: F401
