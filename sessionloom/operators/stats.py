@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -413,9 +415,6 @@ def event_lag_profiles(
     starts: k, e (event number in its session), i0. Each event gathers only the samples within
     half + max_lag of its start; events too close to an end of the series are left out.
     """
-    import numpy as np
-    import pandas as pd
-
     from .intervals import point_in_interval
 
     reach = half + max_lag

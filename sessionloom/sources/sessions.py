@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import names
 from ..functions import scalars as S
 from ..operators import asof, clock
 
@@ -89,10 +88,8 @@ def parse_native(raw: DataFrame, k: Sequence[str], date: str | Column | None, or
     the elapsed time.
     """
     raw = raw.toDF(*[c.strip() for c in raw.columns])
-    known = [F.col(f"`{c}`").alias(n) for c, n in NATIVE_COLUMNS.items() if c in raw.columns]
     numbers = [S.to_double(F.col(f"`{c}`")).alias(n) for c, n in NATIVE_COLUMNS.items() if c in raw.columns]
     label = [F.col("Label").alias("label")] if "Label" in raw.columns else []
-    assert len(known) == len(numbers)
     typed = raw.select(
         *k,
         S.hhmmss_to_seconds("`UTC time`").alias("utc_tod_s"),
@@ -139,9 +136,3 @@ def load_aligned(
 
     tables = {n: read(p) for n, p in modalities.items()}
     return align_modalities(read("fused"), tables, k, t, width, ranges, flags)
-
-
-__all__ = [
-    "align_modalities", "discover_sessions", "list_files", "load_aligned", "load_native_telemetry", "names",
-    "parse_native", "path_keys", "scan_parquet", "scan_sessions",
-]
