@@ -18,9 +18,10 @@ def clean_pings(pings: DataFrame, k: Sequence[str], min_pings: int = 5) -> DataF
     """Pings with a plausible round trip, as offsets from the session's first clean ping.
 
     Adds x (device seconds), y (reference seconds) and off = y - x, all from that first ping,
-    so later fits work on small numbers.
+    so later fits work on small numbers. A calibration reads the pings several times, so they are
+    written once after cleaning; they are few next to the samples.
     """
-    ready = pings.dropna(subset=["device_ms", "sent_s", "rtt_ms"])
+    ready = settle(pings.dropna(subset=["device_ms", "sent_s", "rtt_ms"]))
     facts = ready.groupBy(*k).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= min_pings)
     middle = stats.medians(ready, k, "rtt_ms", "_rtt")
     clean = (
@@ -30,7 +31,7 @@ def clean_pings(pings: DataFrame, k: Sequence[str], min_pings: int = 5) -> DataF
         .drop("_n", "_rtt")
     )
     origin = clean.groupBy(*k).agg(F.min("device_ms").alias("x0_ms"), F.min_by("ref_s", "device_ms").alias("y0_s"))
-    return (
+    return settle(
         stats.attach(clean, origin, k)
         .withColumns({"x": (F.col("device_ms") - F.col("x0_ms")) / 1000.0, "y": F.col("ref_s") - F.col("y0_s")})
         .withColumn("off", F.col("y") - F.col("x"))

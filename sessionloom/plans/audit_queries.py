@@ -73,7 +73,7 @@ def ping_linear(spark, sf_dir):
     )
 
 
-STEP = f"""{PING}, nb AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY i) - 1 AS p, count(*) OVER (PARTITION BY user_id) AS n FROM cl),
+STEP = f"""{PING}, nb AS (SELECT * REPLACE (round(off, 3) AS off), row_number() OVER (PARTITION BY user_id ORDER BY i) - 1 AS p, count(*) OVER (PARTITION BY user_id) AS n FROM cl),
     sp AS (SELECT a.user_id, a.p, a.x, median(b.off) FILTER (b.p >= a.p) - median(b.off) FILTER (b.p < a.p) AS step FROM nb a JOIN nb b USING (user_id) WHERE a.p >= 5 AND a.p <= a.n - 5 GROUP BY ALL),
     bs AS (SELECT user_id, arg_min(step, (-abs(step), p)) AS step, arg_min(x, (-abs(step), p)) AS x FROM sp WHERE step <> 0 GROUP BY user_id)"""
 
@@ -86,8 +86,7 @@ def numbered_pings(spark, sf_dir):
 
 @query(
     "ping_step",
-    "WITH " + STEP.replace("SELECT *, row_number()", "SELECT * REPLACE (round(off, 3) AS off), row_number()")
-    + " SELECT cal.user_id, round(coalesce(step, 0), 3) AS max_step_s, round(bs.x, 3) AS step_at_s FROM cal LEFT JOIN bs USING (user_id)",
+    "WITH " + STEP + " SELECT cal.user_id, round(coalesce(step, 0), 3) AS max_step_s, round(bs.x, 3) AS step_at_s FROM cal LEFT JOIN bs USING (user_id)",
 )
 def ping_step(spark, sf_dir):
     out = clock.largest_step(numbered_pings(spark, sf_dir), K)
@@ -290,13 +289,13 @@ DETECT = f"""WITH {SER}, {GEO}, e AS (SELECT user_id, arg_min(lat, t_us) AS a, a
     o AS (SELECT user_id, t_us, value >= 10 AND 2 * 6371000.0 * asin(sqrt(sin(radians(la - lat) / 2) ** 2 + cos(radians(lat)) * cos(radians(la)) * sin(radians(lo - lon) / 2) ** 2)) >= 1500 AS ok FROM geo, bs),
     w AS (SELECT *, avg(CAST(ok AS DOUBLE)) OVER (PARTITION BY user_id ORDER BY t_us RANGE BETWEEN CURRENT ROW AND 86400000000 FOLLOWING) AS f, avg(CAST(ok AS DOUBLE)) OVER (PARTITION BY user_id ORDER BY t_us RANGE BETWEEN 86400000000 PRECEDING AND CURRENT ROW) AS g FROM o),
     s AS (SELECT user_id, min(t_us) FILTER (ok AND f > 0.8) AS s0, max(t_us) FILTER (ok AND g > 0.8) AS s1 FROM w GROUP BY user_id),
-    rp AS (SELECT user_id, CASE WHEN coalesce(s0 < s1, false) THEN 'ok' ELSE 'FAILED_DETECTION' END AS status, round((t1 - t0) / 1e6, 4) AS orig_duration_s, CASE WHEN s0 < s1 THEN round((s0 - t0) / 1e6, 4) END AS trim_start_s,
-       CASE WHEN s0 < s1 THEN round((t1 - s1) / 1e6, 4) END AS trim_end_s, CASE WHEN s0 < s1 THEN round((s1 - s0) / 1e6, 4) END AS new_duration_s FROM e JOIN s USING (user_id))"""
+    rp AS (SELECT user_id, CASE WHEN coalesce(s0 < s1, false) THEN 'ok' ELSE 'FAILED_DETECTION' END AS status, round((t1 - t0) / 1e6, 6) AS orig_duration_s, CASE WHEN s0 < s1 THEN round((s0 - t0) / 1e6, 6) END AS trim_start_s,
+       CASE WHEN s0 < s1 THEN round((t1 - s1) / 1e6, 6) END AS trim_end_s, CASE WHEN s0 < s1 THEN round((s1 - s0) / 1e6, 6) END AS new_duration_s FROM e JOIN s USING (user_id))"""
 
 
 def trim_report(spark, sf_dir):
     out = trim.detect_trim(placed(spark, sf_dir), K, "t_us", "lat", "lon", "value", width(sf_dir) * 1e6, 10.0, 1500.0, 86_400.0)
-    return rounded(out, "orig_duration_s", "trim_start_s", "trim_end_s", "new_duration_s", digits=4)
+    return rounded(out, "orig_duration_s", "trim_start_s", "trim_end_s", "new_duration_s")
 
 
 @query("detect_trim", DETECT + " SELECT * FROM rp")
@@ -480,8 +479,8 @@ def session_screens(spark, sf_dir):
 @query(
     "saturation",
     f"""WITH {EV}, ch AS (SELECT user_id, event_type AS channel, least(value, 60) AS v, row_number() OVER (PARTITION BY user_id, event_type ORDER BY t_us) - 1 AS i FROM ev),
-    a AS (SELECT *, v >= max(v) OVER (PARTITION BY channel) * (1 - 0.001) AS at FROM ch), b AS (SELECT *, i - row_number() OVER (PARTITION BY user_id, channel, at ORDER BY i) AS g FROM a), c AS (SELECT user_id, channel, g, count(*) AS n FROM b WHERE at GROUP BY ALL)
-    SELECT a.user_id, a.channel, count(*) AS n, count(*) FILTER (at) AS n_at_ceiling, coalesce((SELECT max(c.n) FROM c WHERE c.user_id = a.user_id AND c.channel = a.channel), 0) AS longest_run,
+    a AS (SELECT *, v >= max(v) OVER (PARTITION BY channel) * (1 - 0.001) AS hi FROM ch), b AS (SELECT *, i - row_number() OVER (PARTITION BY user_id, channel, hi ORDER BY i) AS g FROM a), c AS (SELECT user_id, channel, g, count(*) AS n FROM b WHERE hi GROUP BY ALL)
+    SELECT a.user_id, a.channel, count(*) AS n, count(*) FILTER (hi) AS n_at_ceiling, coalesce((SELECT max(c.n) FROM c WHERE c.user_id = a.user_id AND c.channel = a.channel), 0) AS longest_run,
        coalesce((SELECT max(c.n) FROM c WHERE c.user_id = a.user_id AND c.channel = a.channel), 0) >= 3 AS sustained FROM a GROUP BY a.user_id, a.channel""",
 )
 def saturation(spark, sf_dir):
@@ -767,7 +766,7 @@ def parse_native_telemetry(spark, sf_dir):
         *K, "i",
         F.concat(F.lit("100"), F.lpad(second, 2, "0")).alias("UTC time"),
         F.when(bad, "?").otherwise(F.col("elapsed").cast("string")).alias(" Elapsed time (s) "),
-        F.concat(F.lit("24°"), (F.col("value") / 100.0).cast("string"), F.lit(" N")).alias("Latitude"),
+        F.concat(F.lit("24°"), F.format_string("%.4f", F.col("value") / 100.0), F.lit(" N")).alias("Latitude"),
         F.lit("46°30.0 W").alias("Longitude"),
         F.col("value").cast("string").alias("Speed (km/h)"),
         F.lit("n/a").alias("Accelerator_Pedal_Position (%)"),
