@@ -11,6 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import settle
 from . import blocks, stats
 from .asof import interpolate
 
@@ -169,12 +170,13 @@ def haar_denoise(df: DataFrame, k: Sequence[str], v: str, out: str, level: int =
     """Soft-threshold Haar denoising.
 
     A Haar transform of `level` steps mixes only groups of 2**level samples, so the groups are
-    independent once the session's threshold is known: a median of the finest details.
+    independent once the session's threshold is known: a median of the finest details. The filled
+    series is read several times and is written once.
     """
     k = list(k)
     size = 1 << level
     root = math.sqrt(2.0)
-    whole = fill_linear(df.select(*k, i, v), k, v, i, block)
+    whole = settle(fill_linear(df.select(*k, i, v), k, v, i, block))
     ends = whole.groupBy(*k).agg(F.count(F.lit(1)).alias("_n"), F.max_by(v, i).alias("_last"))
     padded = F.ceil(F.col("_n") / size) * size
     pair = whole.groupBy(*k, F.floor(F.col(i) / 2).alias("_pair")).agg(
@@ -329,10 +331,12 @@ def smoother(kind: str, k: Sequence[str], fs: float = 25.0, cutoff: float = 2.0)
     """A smoother for `rules.label_v2`: "fft" or "haar", on both accelerations."""
 
     def apply(df: DataFrame) -> DataFrame:
-        for v, out in (("lon_acc_g", "lon_smooth"), ("lat_acc_g", "lat_smooth")):
-            df = fft_lowpass(df, k, v, cutoff, out, fs) if kind == "fft" else haar_denoise(df, k, v, out)
-        return df
+        base = settle(df)
+        out = base
+        for v, name in (("lon_acc_g", "lon_smooth"), ("lat_acc_g", "lat_smooth")):
+            narrow = base.select(*k, "i", v)
+            smooth = fft_lowpass(narrow, k, v, cutoff, name, fs) if kind == "fft" else haar_denoise(narrow, k, v, name)
+            out = out.join(smooth.drop(v), [*k, "i"])
+        return settle(out)
 
     return apply
-
-

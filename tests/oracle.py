@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import signal
 import sys
 import time
 from pathlib import Path
@@ -60,7 +61,15 @@ def compare(spark, con, fn, sql, sf_dir):
     return None, len(got)
 
 
+LIMIT_S = 90
+
+
+def _too_long(*_):
+    raise TimeoutError(f"more than {LIMIT_S} s")
+
+
 def main(argv):
+    signal.signal(signal.SIGALRM, _too_long)
     from sessionloom.session import local_session
 
     import __spark_entry__ as entry
@@ -80,10 +89,13 @@ def main(argv):
         if names and not any(n in name for n in names):
             continue
         start = time.time()
+        signal.alarm(LIMIT_S)
         try:
             problem, n = compare(spark, con, fn, sqls.get(name), sf)
         except Exception as e:  # report and go on with the next query
             problem, n = f"{type(e).__name__}: {str(e)[:1500]}", -1
+        finally:
+            signal.alarm(0)
         bad += problem is not None
         mark = "ok  " if problem is None else "FAIL"
         print(f"{mark} {name:32s} {n:7d} rows {time.time() - start:6.2f}s {'' if name in sqls else '(rows only)'} {problem or ''}", flush=True)
