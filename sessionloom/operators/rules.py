@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import clip, resolve_priority, wrapped_diff
+from ..session import settle
 from . import blocks, frames, runs, stats
 
 # Class names and gravity.
@@ -155,23 +156,23 @@ def label_variants(
     """A column `label_<name>` per rule, all from one shuffle of the samples."""
     has_heading = "heading_deg" in df.columns
     reach = max(p.reach for p in rules.values())
-    made: set[str] = set()
-
     def layers(w):
         chain = _merge(*[mask_layers(w, p, n) for n, p in rules.items()])
         if has_heading:
             margins = max(p.heading_margin for p in rules.values())
             chain[-1] = chain[-1] | heading_ends(w, "heading_deg", margins)
-        for step in chain:
-            made.update(step)
         return chain
 
     out = blocks.over_blocks(df, k, reach, reach, layers, i, block)
     kept = [f"{m}_{n}" for n in rules for m in ("brake", "accel", "turn")]
     ends = ["_h_before", "_h_after"] if has_heading else []
     out = out.select(*df.columns, *kept, *ends)
+    gated = [n for n, p in rules.items() if p.min_heading_deg > 0 and has_heading]
+    if gated:
+        # every gate reads the masks twice, once per level of its scan
+        out = settle(out)
     for n, p in rules.items():
-        if p.min_heading_deg > 0 and has_heading:
+        if n in gated:
             out = heading_gate(out, k, f"turn_{n}", *ends, p.min_heading_deg, i, block)
     labels = {
         f"label_{n}": resolve_priority([(TURN, f"turn_{n}"), (BRAKE, f"brake_{n}"), (ACCEL, f"accel_{n}")], NORMAL)
