@@ -150,7 +150,7 @@ def device_to_unix(df: DataFrame, maps: DataFrame, k: Sequence[str], ts_ms: str,
 
     One row per session on the right side; adaptive execution broadcasts it when small.
     """
-    rate = (F.col("TL1") - F.col("TL0")) / (F.col("TE1") - F.col("TE0"))
+    rate = F.try_divide(F.col("TL1") - F.col("TL0"), F.col("TE1") - F.col("TE0"))
     joined = df.join(maps.select(*k, "TE0", "TE1", "TL0", "TL1"), list(k))
     return joined.withColumn(out, F.col("TL0") + (F.col(ts_ms) - F.col("TE0")) * rate).drop("TE0", "TE1", "TL0", "TL1")
 
@@ -174,7 +174,7 @@ def shift_summary(shifts: DataFrame) -> DataFrame:
 
 def map_drift(maps: DataFrame, k: Sequence[str], drive_s: str) -> DataFrame:
     """Rate error of two-point maps in ppm, and the drift it implies over the drive."""
-    rate = (F.col("TL1") - F.col("TL0")) / ((F.col("TE1") - F.col("TE0")) / 1000.0)
+    rate = F.try_divide(F.col("TL1") - F.col("TL0"), (F.col("TE1") - F.col("TE0")) / 1000.0)
     return maps.select(*k, ((rate - 1) * 1e6).alias("ppm"), ((rate - 1) * F.col(drive_s)).alias("drift_s"))
 
 
@@ -198,7 +198,7 @@ def timing_quality(cal: DataFrame, cadence: DataFrame, meta: DataFrame, k: Seque
     cal: n_used, span_s, mad_ms, max_step_s; cadence: longest_gap_s; meta: drive_s, note.
     """
     joined = meta.join(cal, list(k), "left").join(cadence.select(*k, "longest_gap_s"), list(k), "left")
-    coverage = F.least(F.col("span_s") / F.col("drive_s") * 100, F.lit(100.0))
+    coverage = F.least(F.try_divide(F.col("span_s"), F.col("drive_s")) * 100, F.lit(100.0))
     partial = F.when(
         F.col("coverage_pct") < 50,
         F.format_string("ping span covers %s%% of drive", F.rint("coverage_pct").cast("bigint").cast("string")),

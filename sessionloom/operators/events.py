@@ -377,7 +377,7 @@ def greedy_spacing(df: DataFrame, k: Sequence[str], t: str, sep: float, width: f
 
     entries = summary.groupBy(*k).applyInPandas(chain, f"{key_schema}, _c bigint, entry double")
 
-    def choose(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def choose(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(t)
         keep, _ = walk(pdf[t].to_numpy(float), float(pdf["_entry"].iloc[0]))
         return pdf[keep].drop(columns=["_c", "_entry"])

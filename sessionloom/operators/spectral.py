@@ -97,7 +97,7 @@ def band_energy(psd: DataFrame, edges: Sequence[float] = BAND_EDGES, by: Sequenc
     placed = psd.select(*by, "freq_hz", "psd", bands)
     inside = (F.col("freq_hz") >= F.col("lo_hz")) & (F.col("freq_hz") < F.col("hi_hz"))
     sums = placed.groupBy(*by, "lo_hz", "hi_hz").agg(F.sum(F.when(inside, F.col("psd")).otherwise(0.0)).alias("_in"))
-    return stats.attach(sums, total, by).select(*by, "lo_hz", "hi_hz", (F.col("_in") * 100 / F.col("_all")).alias("pct_power"))
+    return stats.attach(sums, total, by).select(*by, "lo_hz", "hi_hz", F.try_divide(F.col("_in") * 100, F.col("_all")).alias("pct_power"))
 
 
 def cumulative_power(psd: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -106,7 +106,7 @@ def cumulative_power(psd: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
     w = Window.partitionBy(*by).orderBy("bin")
     upto = F.sum("psd").over(w.rowsBetween(Window.unboundedPreceding, 0))
-    return psd.select(*by, "bin", "freq_hz", (upto * 100 / F.sum("psd").over(Window.partitionBy(*by))).alias("cum_pct"))
+    return psd.select(*by, "bin", "freq_hz", F.try_divide(upto * 100, F.sum("psd").over(Window.partitionBy(*by))).alias("cum_pct"))
 
 
 def spectrogram(
@@ -150,8 +150,8 @@ def filter_metrics(df: DataFrame, k: Sequence[str], raw: str, filtered: Sequence
         F.struct(
             F.lit(c).alias("filter"),
             F.col(f"_s_{c}").alias("noise_sd"),
-            ((1 - F.col(f"_s_{c}") / F.col("_s")) * 100).alias("noise_reduction_pct"),
-            (F.col(f"_p_{c}") / F.col("_p") * 100).alias("peak_retained_pct"),
+            ((1 - F.try_divide(F.col(f"_s_{c}"), F.col("_s"))) * 100).alias("noise_reduction_pct"),
+            (F.try_divide(F.col(f"_p_{c}"), F.col("_p")) * 100).alias("peak_retained_pct"),
             F.col(f"_r_{c}").alias("r_adopted"),
         )
         for c in filtered
@@ -276,7 +276,7 @@ def _lowpass_split(sized: DataFrame, k, v, cutoff, out, fs, i) -> DataFrame:
     b = split_fft(placed, k).select(*k, "j", F.col("re").alias("br"), F.col("im").alias("bi"))
     product = a.join(b, [*k, "j"]).select(
         *k, "_n", "_m", "j", (F.col("ar") * F.col("br") - F.col("ai") * F.col("bi")).alias("re"),
-        -(F.col("ar") * F.col("bi") + F.col("ai") * F.col("br")).alias("im"),
+        (-(F.col("ar") * F.col("bi") + F.col("ai") * F.col("br"))).alias("im"),
     )
     # the transform of the conjugate is the conjugate of the inverse, up to 1 / M
     back = split_fft(product, k)

@@ -196,7 +196,7 @@ def crosstab(df: DataFrame, a: str, b: str, values: Sequence) -> DataFrame:
 def weighted_mean(v: str, w: str) -> Column:
     """Weighted mean over rows where both are present."""
     both = F.col(v).isNotNull() & F.col(w).isNotNull()
-    return F.sum(F.col(v) * F.col(w)) / F.sum(F.when(both, F.col(w)))
+    return F.try_divide(F.sum(F.col(v) * F.col(w)), F.sum(F.when(both, F.col(w))))
 
 
 def arg_extreme(df: DataFrame, by: Sequence[str], v: str, out: str, kind: str = "max") -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as S
 from ..operators import asof, blocks, frames, relations, resample, runs, stats
+from ..session import settle
 from .registry import EV, SER, events, query, series, width
 
 K = ["user_id"]
@@ -70,8 +71,11 @@ def labelled(spark, sf_dir):
     FROM evt WHERE label <> 'Normal' GROUP BY label""",
 )
 def flagship(spark, sf_dir):
-    found = runs.event_table(labelled(spark, sf_dir), K, "t", "label").withColumn(
-        "duration", r6(F.col("end_t") - F.col("start_t"))
+    # events are few next to samples, and three aggregations read them
+    found = settle(
+        runs.event_table(labelled(spark, sf_dir), K, "t", "label").withColumn(
+            "duration", r6(F.col("end_t") - F.col("start_t"))
+        )
     )
     per_session = found.groupBy("label", *K).agg(
         F.count(F.lit(1)).alias("n"), F.sum("n_samples").alias("s")

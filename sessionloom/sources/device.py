@@ -46,20 +46,21 @@ def parse_packets(
     packet lies n periods of its tag after the packet's time.
     """
     parts = F.split(F.regexp_replace("value", r"\r$", ""), ",")
+    # the optimizer may run these filters in any order, so no step relies on an earlier one
     packets = (
         lines.withColumn("_p", parts)
         .filter(F.size("_p") >= 7)
         .select(
             *k,
-            F.col("_p")[0].try_cast("double").alias("_ts"),
-            F.trim(F.col("_p")[2]).try_cast("int").alias("_count"),
-            F.trim(F.col("_p")[3]).alias("tag"),
+            F.get("_p", F.lit(0)).try_cast("double").alias("_ts"),
+            F.trim(F.get("_p", F.lit(2))).try_cast("int").alias("_count"),
+            F.trim(F.get("_p", F.lit(3))).alias("tag"),
             "_p",
         )
         .filter(F.col("_ts").isNotNull() & F.col("_count").isNotNull())
         .filter(F.col("tag").isin(list(tag_rates)) & ~F.col("tag").isin(list(skip_tags)))
         .filter((F.col("_count") > 0) & (F.size("_p") >= F.col("_count") + 6))
-        .withColumn("_v", F.transform(F.slice("_p", 7, F.col("_count")), lambda x: F.trim(x).try_cast("double")))
+        .withColumn("_v", F.transform(F.slice("_p", 7, F.greatest(F.col("_count"), F.lit(0))), lambda x: F.trim(x).try_cast("double")))
         .filter(~F.exists("_v", lambda x: x.isNull()))
         .withColumn("_dt", F.lit(1000.0) / constant_map(tag_rates)[F.col("tag")])
     )
