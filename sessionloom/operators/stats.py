@@ -213,33 +213,42 @@ def arg_extreme(df: DataFrame, by: Sequence[str], v: str, out: str, kind: str =
 
 def kappa(ratings: DataFrame, a: str, b: str) -> DataFrame:
     """Agreement of two raters on an ordinal scale: exact and within-one share, plain and
-    quadratic Cohen's kappa (A13). Only the table of category pairs leaves the first count.
+    quadratic Cohen's kappa (A13).
+
+    Only the counts of category pairs leave the first aggregation. The quadratic distance
+    expected by chance follows from the two raters' sums, so no pair of margins is formed.
     """
     cells = ratings.dropna(subset=[a, b]).groupBy(F.col(a).alias("a"), F.col(b).alias("b")).agg(
         F.count(F.lit(1)).cast("double").alias("o")
     )
-    rows = cells.groupBy("a").agg(F.sum("o").alias("ra"))
-    cols = cells.groupBy("b").agg(F.sum("o").alias("cb"))
-    total = cells.agg(F.sum("o").alias("n"))
+    margins = cells.select(F.col("a").alias("c"), F.col("o").alias("ra"), F.lit(0.0).alias("cb")).unionByName(
+        cells.select(F.col("b").alias("c"), F.lit(0.0).alias("ra"), F.col("o").alias("cb"))
+    )
+    chance = margins.groupBy("c").agg(F.sum("ra").alias("ra"), F.sum("cb").alias("cb")).agg(
+        F.sum(F.col("ra") * F.col("cb")).alias("same_e")
+    )
+
+    def moment(x: Column) -> Column:
+        return F.sum(F.col("o") * x)
+
     observed = cells.agg(
         F.sum("o").alias("n"),
         F.sum(F.when(F.col("a") == F.col("b"), F.col("o")).otherwise(0.0)).alias("same"),
         F.sum(F.when(F.abs(F.col("a") - F.col("b")) <= 1, F.col("o")).otherwise(0.0)).alias("near"),
-        F.sum(F.pow(F.col("a") - F.col("b"), 2) * F.col("o")).alias("sq"),
-    )
-    expected = (
-        rows.crossJoin(F.broadcast(cols)).crossJoin(F.broadcast(total)).agg(
-            F.sum(F.when(F.col("a") == F.col("b"), F.col("ra") * F.col("cb") / F.col("n")).otherwise(0.0)).alias("same_e"),
-            F.sum(F.pow(F.col("a") - F.col("b"), 2) * F.col("ra") * F.col("cb") / F.col("n")).alias("sq_e"),
-        )
-    )
-    po, pe = F.col("same") / F.col("n"), F.col("same_e") / F.col("n")
-    return observed.crossJoin(F.broadcast(expected)).select(
-        F.col("n").cast("bigint").alias("n"),
+        moment(F.pow(F.col("a") - F.col("b"), 2)).alias("sq"),
+        moment(F.col("a")).alias("sa"), moment(F.col("b")).alias("sb"),
+        moment(F.col("a") * F.col("a") + F.col("b") * F.col("b")).alias("sqs"),
+    )
+    n = F.col("n")
+    po, pe = F.col("same") / n, F.col("same_e") / (n * n)
+    sq_e = F.col("sqs") - F.col("sa") * F.col("sb") * 2 / n
+    # both sides are one row
+    return observed.crossJoin(F.broadcast(chance)).filter(n > 0).select(
+        n.cast("bigint").alias("n"),
         (po * 100).alias("exact_pct"),
-        (F.col("near") / F.col("n") * 100).alias("within_one_pct"),
+        (F.col("near") / n * 100).alias("within_one_pct"),
         F.try_divide(po - pe, 1 - pe).alias("kappa"),
-        (1 - F.try_divide(F.col("sq"), F.col("sq_e"))).alias("kappa_quadratic"),
+        (1 - F.try_divide(F.col("sq"), sq_e)).alias("kappa_quadratic"),
     )
 
 

@@ -219,8 +219,9 @@ SCORES = f"""{LM}, bx AS (SELECT x0, x1, y0, y1 FROM (VALUES (-0.3), (-0.2), (-0
 
 
 def region_scores(spark, sf_dir):
-    truth = landmarks(spark, sf_dir).select("x", "y", "x2", "y2", (F.pmod("label", F.lit(3)) / 2.0).alias("truth"))
-    return posture.score_regions(truth, [("x", "y"), ("x2", "y2")], "truth", posture.box_grid(spark, **GRID))
+    points = [F.col(c).alias(f"p{c}") for c in ("x", "y", "x2", "y2")]
+    truth = landmarks(spark, sf_dir).select(*points, (F.pmod("label", F.lit(3)) / 2.0).alias("truth"))
+    return posture.score_regions(truth, [("px", "py"), ("px2", "py2")], "truth", GRID)
 
 
 @query("region_scores", f"WITH {SCORES} SELECT * FROM sc")

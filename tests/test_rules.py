@@ -156,3 +156,14 @@ def test_event_outcomes(spark):
         (0, 5): "unchanged", (10, 20): "split", (30, 35): "merge", (40, 45): "merge", (50, 60): "boundary 1 samples", (70, 75): "disappears",
         (80, 90): "class change", (95, 99): "appears only after clipping",
     }
+
+
+def test_label_sets_and_manoeuvres(drives):
+    rule = replace(rules.ADOPTED, min_heading_deg=0.0)
+    sets = rules.label_sets(drives, ["case"], rule, 1.2).filter("case = 'braking'")
+    counts = sets.agg(*[F.sum((F.col(f"label_{n}") != rules.NORMAL).cast("int")).alias(n) for n in ("minus10", "base", "plus10", "clip")]).first()
+    assert counts["minus10"] >= counts["base"] >= counts["plus10"] > 0 and counts["clip"] == counts["base"]
+    # a drive without pedal data labels braking and turning as before
+    table = E.manoeuvre_table(drives.withColumn("heading_deg", F.lit(90.0)), ["case"], rule, {"throttle_pct": F.lit(100.0)})
+    found = {(r["case"], r["label"]) for r in table.collect()}
+    assert ("braking", rules.BRAKE) in found and ("sustained noisy", rules.TURN) in found
