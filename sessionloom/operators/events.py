@@ -457,10 +457,11 @@ def beat_consistency(beats: DataFrame, k: Sequence[str], t: str, ibi_ms: str, i=
 
 def stop_instants(
     df: DataFrame, k: Sequence[str], t: str, speed: str, lead_n: int, width: float, still_n: int = 75, still: float = 1.0,
-    moving: float = 30.0, min_sep: float = 60.0, i="i", block=blocks.BLOCK_ROWS,
+    moving: float = 30.0, min_sep: float = 60.0, tail: float = 0.0, i="i", block=blocks.BLOCK_ROWS,
 ) -> DataFrame:
     """Instants of standing still that follow, a lead-in earlier, fast driving (E13): the vehicle
-    stands for `still_n` samples on both sides, and instants are at least `min_sep` apart."""
+    stands for `still_n` samples on both sides, instants are at least `min_sep` apart, and the
+    session goes on for more than `tail` after each."""
 
     def layers(w):
         frame = w.rowsBetween(-still_n, still_n - 1)
@@ -474,6 +475,8 @@ def stop_instants(
 
     reach = max(still_n, lead_n)
     framed = blocks.over_blocks(df, k, reach, still_n, layers, i, block)
+    ends = df.groupBy(*k).agg(F.max(t).alias("_end"))
+    framed = stats.attach(framed, ends, k).filter(F.col(t) + tail < F.col("_end"))
     stopped = framed.filter(F.col("_whole") & (F.col("_top") < still) & (F.col("_early") > moving) & (F.col(i) >= lead_n + still_n))
     return greedy_spacing(stopped.select(*df.columns), k, t, min_sep, width, strict=False)
 

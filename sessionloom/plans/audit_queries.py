@@ -108,12 +108,12 @@ def two_point_sync(spark, sf_dir):
 @query(
     "choose_sync",
     f"""WITH {PING}, st AS (SELECT user_id, min(device_ms) AS ms, min(sent_s) AS s FROM pg GROUP BY user_id)
-    SELECT user_id, round(CASE WHEN user_id % 3 = 0 THEN s ELSE y0_s + intercept + (0 - x0_ms) / 1000.0::DOUBLE END, 4) AS "TL0", CASE WHEN user_id % 3 = 0 THEN 'filename_anchor' ELSE 'timesync' END AS sync_method FROM st JOIN cal USING (user_id)""",
+    SELECT user_id, round(CASE WHEN n_used < 55 THEN s ELSE y0_s + intercept + (0 - x0_ms) / 1000.0::DOUBLE END, 4) AS "TL0", CASE WHEN n_used < 55 THEN 'filename_anchor' ELSE 'timesync' END AS sync_method FROM st JOIN cal USING (user_id)""",
 )
 def choose_sync(spark, sf_dir):
     start = pings(spark, sf_dir).groupBy(*K).agg(F.min("device_ms").alias("start_ms"), F.min("sent_s").alias("start_s"))
-    # a third of the sessions came without a usable ping log
-    maps = clock.two_point_map(calibrated(spark, sf_dir).filter(F.pmod("user_id", F.lit(3)) != 0), K)
+    # a session with few clean pings keeps its file-name anchor
+    maps = clock.two_point_map(calibrated(spark, sf_dir).filter("n_used >= 55"), K)
     return clock.choose_sync(maps, start, K).select(*K, F.round("TL0", 4).alias("TL0"), "sync_method")
 
 
@@ -516,7 +516,7 @@ def feature_audit(spark, sf_dir):
 
 @query(
     "label_reproducibility",
-    f"""WITH {EV}, n AS (SELECT user_id, t AS nt, CASE WHEN value > 60 THEN 'High' ELSE 'Normal' END AS nl FROM ev WHERE event_id % 5 <> 0), r AS (SELECT user_id, t, CASE WHEN value > 55 THEN 'High' ELSE 'Normal' END AS l FROM ev),
+    f"""WITH {EV}, n AS (SELECT user_id, t AS nt, CASE WHEN value > 60 THEN 'High' ELSE 'Normal' END AS nl FROM ev WHERE event_type <> 'signup'), r AS (SELECT user_id, t, CASE WHEN value > 55 THEN 'High' ELSE 'Normal' END AS l FROM ev),
     j AS (SELECT r.*, p.nt AS pt, p.nl AS pl, q.nt AS qt, q.nl AS ql FROM r ASOF LEFT JOIN n p ON r.user_id = p.user_id AND r.t >= p.nt ASOF LEFT JOIN n q ON r.user_id = q.user_id AND r.t <= q.nt),
     k AS (SELECT *, CASE WHEN pt IS NOT NULL AND (qt IS NULL OR t - pt <= qt - t) THEN t - pt ELSE qt - t END AS d, CASE WHEN pt IS NOT NULL AND (qt IS NULL OR t - pt <= qt - t) THEN pl ELSE ql END AS x FROM j),
     m AS (SELECT user_id, t, l, CASE WHEN d <= 43200 THEN x END AS x FROM k),
@@ -526,7 +526,7 @@ def feature_audit(spark, sf_dir):
 )
 def label_reproducibility(spark, sf_dir):
     ev = events(spark, sf_dir)
-    native = ev.filter(F.pmod("event_id", F.lit(5)) != 0).select(*K, "t", F.when(F.col("value") > 60, "High").otherwise("Normal").alias("label"))
+    native = ev.filter("event_type <> 'signup'").select(*K, "t", F.when(F.col("value") > 60, "High").otherwise("Normal").alias("label"))
     released = ev.select(*K, "t", F.when(F.col("value") > 55, "High").otherwise("Normal").alias("label"))
     return rounded(quality.reproducibility(native, released, K, "t", width(sf_dir), 43_200.0, ["High"]), "agreement_pct")
 
@@ -641,6 +641,12 @@ def greedy_spacing(spark, sf_dir):
 
 @query(
     "recover_native_events",
+    f"""WITH RECURSIVE {SER}, v AS (SELECT *, floor(value / 20) AS x, event_id % 6 <> 0 AS m FROM ser), r0 AS (SELECT *, i - row_number() OVER (PARTITION BY user_id, m ORDER BY i) AS g FROM v),
+    r AS (SELECT user_id, g, min(i) AS i0, max(i) AS i1, max(abs(x)) AS pk FROM r0 WHERE m GROUP BY user_id, g),
+    b AS (SELECT a.user_id, a.i, a.t, a.x, r.i0, r.i1, pk, abs(lead(x) OVER (PARTITION BY a.user_id, a.g ORDER BY i) - 2 * x + lag(x) OVER (PARTITION BY a.user_id, a.g ORDER BY i)) AS bend FROM r0 a JOIN r ON r.user_id = a.user_id AND r.g = a.g WHERE m),
+    s AS MATERIALIZED (SELECT user_id, i, t, x FROM b WHERE i IN (i0, i1) OR bend > 1e-7 * greatest(1, pk)),
+    g AS (SELECT user_id, min(t) AS t FROM s GROUP BY user_id UNION ALL SELECT g.user_id, (SELECT min(s.t) FROM s WHERE s.user_id = g.user_id AND s.t > g.t + 43200) FROM g WHERE (SELECT min(s.t) FROM s WHERE s.user_id = g.user_id AND s.t > g.t + 43200) IS NOT NULL)
+    SELECT s.user_id, s.i, s.x FROM s JOIN g ON g.user_id = s.user_id AND g.t = s.t""",
 )
 def recover_native_events(spark, sf_dir):
     v = series(spark, sf_dir).withColumns({"x": F.floor(F.col("value") / 20).cast("double"), "m": F.pmod("event_id", F.lit(6)) != 0})
@@ -693,13 +699,13 @@ def beat_consistency(spark, sf_dir):
 
 @query(
     "stop_instants",
-    f"""WITH RECURSIVE {SER}, f AS (SELECT user_id, i, t, max(value) OVER {W} ROWS BETWEEN 1 PRECEDING AND CURRENT ROW) AS top, lag(value, 3) OVER {W}) AS early FROM ser),
-    s AS (SELECT user_id, i, t FROM f WHERE i >= 4 AND top < 25 AND early > 30),
+    f"""WITH RECURSIVE {SER}, f AS (SELECT user_id, i, t, max(value) OVER {W} ROWS BETWEEN 1 PRECEDING AND CURRENT ROW) AS top, lag(value, 3) OVER {W}) AS early, max(t) OVER (PARTITION BY user_id) AS fin FROM ser),
+    s AS (SELECT user_id, i, t FROM f WHERE i >= 4 AND top < 25 AND early > 30 AND t + 100000 < fin),
     g AS (SELECT user_id, min(t) AS t FROM s GROUP BY user_id UNION ALL SELECT g.user_id, (SELECT min(s.t) FROM s WHERE s.user_id = g.user_id AND s.t >= g.t + 259200) FROM g WHERE (SELECT min(s.t) FROM s WHERE s.user_id = g.user_id AND s.t >= g.t + 259200) IS NOT NULL)
     SELECT s.user_id, s.i FROM s JOIN g ON g.user_id = s.user_id AND g.t = s.t""",
 )
 def stop_instants(spark, sf_dir):
-    found = E.stop_instants(series(spark, sf_dir).select(*K, "i", "t", "value"), K, "t", "value", 3, width(sf_dir), 1, 25.0, 30.0, 259_200.0)
+    found = E.stop_instants(series(spark, sf_dir).select(*K, "i", "t", "value"), K, "t", "value", 3, width(sf_dir), 1, 25.0, 30.0, 259_200.0, 100_000.0)
     return found.select(*K, "i")
 
 
