@@ -301,3 +301,28 @@ def lead_in(df: DataFrame, k: Sequence[str], sync: str, elapsed: str, segment: s
     return first.join(middle, list(k)).join(spread, list(k)).join(segments, list(k)).select(
         *k, F.col("_f.a").alias("lead_in_s"), "lead_in_median_s", "lead_in_spread_ms", "n_segments", "n_rows", "telemetry_s"
     )
+
+
+def anchors_at_first_ping(cal: DataFrame, starts: DataFrame, k: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Reference time of the first clean ping by the file-name anchor and by a calibration, as the
+    two inputs of `anchor_shift` (C7). starts: k, start_ms (first sample), start_s (file name)."""
+    old = cal.join(starts.select(*k, "start_ms", "start_s"), list(k)).select(
+        *k, (F.col("start_s") + (F.col("x0_ms") - F.col("start_ms")) / 1000.0).alias("anchor_s")
+    )
+    return old, cal.select(*k, (F.col("y0_s") + F.col("intercept")).alias("anchor_s"))
+
+
+def first_gap_anomalies(df: DataFrame, k: Sequence[str], tod: str, nominal: float = 0.04, tol: float = 0.02, i: str = "i") -> DataFrame:
+    """Sessions whose first two samples are not one period apart, so their anchor is doubtful."""
+    gap = F.max(F.when(F.col(i) == 1, F.col(tod))) - F.max(F.when(F.col(i) == 0, F.col(tod)))
+    first = df.filter(F.col(i) <= 1).groupBy(*k).agg(gap.alias("first_gap_s"))
+    return first.filter((F.abs(F.col("first_gap_s") - nominal) > tol) | (F.col("first_gap_s") <= 0))
+
+
+def suffix_coverage(files: DataFrame, name: str) -> DataFrame:
+    """How many recording names carry a fraction of a second after the time."""
+    whole, full = r"^\d{4}-\d{2}-\d{2}_\d{2}-\d{2}-\d{2}", r"^\d{4}-\d{2}-\d{2}_\d{2}-\d{2}-\d{2}-\d+"
+    return files.agg(
+        F.count(F.when(F.col(name).rlike(whole), 1)).alias("n_stamped"),
+        F.count(F.when(F.col(name).rlike(full), 1)).alias("n_with_fraction"),
+    )

@@ -824,3 +824,32 @@ def append_column(spark, sf_dir):
 @query("file_manifest")
 def file_manifest(spark, sf_dir):
     return sinks.build_manifest(spark, sf_dir)
+
+
+@query(
+    "anchor_shift_at_first_ping",
+    f"""WITH {PING}, st AS (SELECT user_id, min(device_ms) AS ms, min(floor(sent_s)) AS s FROM pg GROUP BY user_id)
+    SELECT user_id, round(y0_s + intercept - (s + (x0_ms - ms) / 1000.0::DOUBLE), 3) AS shift_s FROM cal JOIN st USING (user_id)""",
+)
+def anchor_shift_at_first_ping(spark, sf_dir):
+    starts = pings(spark, sf_dir).groupBy(*K).agg(F.min("device_ms").alias("start_ms"), F.min(F.floor("sent_s")).cast("double").alias("start_s"))
+    old, new = clock.anchors_at_first_ping(calibrated(spark, sf_dir), starts, K)
+    return rounded(clock.anchor_shift(old, new, K), "shift_s", digits=3)
+
+
+@query(
+    "first_gap_anomalies",
+    f"""WITH {CLOCK}, g AS (SELECT user_id, max(tod) FILTER (i = 1) - max(tod) FILTER (i = 0) AS gap FROM ck GROUP BY user_id) SELECT user_id, round(gap, 4) AS first_gap_s FROM g WHERE abs(gap - 30000) > 25000 OR gap <= 0""",
+)
+def first_gap_anomalies(spark, sf_dir):
+    return rounded(clock.first_gap_anomalies(logger(spark, sf_dir), K, "tod", 30_000.0, 25_000.0), "first_gap_s", digits=4)
+
+
+@query(
+    "suffix_coverage",
+    "SELECT count(*) AS n_stamped, count(*) FILTER (value > 40) AS n_with_fraction FROM events",
+)
+def suffix_coverage(spark, sf_dir):
+    stamp = F.date_format("ts", "yyyy-MM-dd_HH-mm-ss")
+    names = events(spark, sf_dir).select(F.when(F.col("value") > 40, F.concat(stamp, F.lit("-985608.csv"))).otherwise(F.concat(stamp, F.lit(".csv"))).alias("name"))
+    return clock.suffix_coverage(names, "name")
