@@ -91,7 +91,7 @@ def robust_linear(clean: DataFrame, k: Sequence[str], rounds: int = 3, n_mad: fl
     ).withColumn("ppm", (F.col("slope") - 1) * 1e6)
 
 
-def largest_step(clean: DataFrame, k: Sequence[str], min_side: int = 5, i: str = "i", block: int = blocks.BLOCK_ROWS) -> DataFrame:
+def largest_step(clean: DataFrame, k: Sequence[str], min_side: int = 5, i: str = "i", block: int = expanding.ROWS) -> DataFrame:
     """Largest sustained change of the offset (C4): median after minus median before a split with
     at least `min_side` pings on each side; the first such split wins. `i` numbers the pings.
 

@@ -13,11 +13,12 @@ from pyspark.sql import functions as F
 from . import blocks
 
 COARSE = 32  # value buckets per level; two levels give COARSE * COARSE buckets per series
-SALTS = 8
+SALTS = 4
+ROWS = 16_384  # rows per block: an insertion costs time in proportion to what a block holds
 
 
 def expanding_median(
-    df: DataFrame, k: Sequence[str], v: str, out: str, i: str = "i", block: int = blocks.BLOCK_ROWS
+    df: DataFrame, k: Sequence[str], v: str, out: str, i: str = "i", block: int = ROWS
 ) -> DataFrame:
     """Column `out`: median of `v` over rows 0..i of the series (`i` dense, `v` not null).
 
