@@ -12,8 +12,8 @@ from dataclasses import replace
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
-from ..operators import blocks, events as E, frames, intervals, relations, rules, runs, stats
-from .registry import SER, query, series, width
+from ..operators import blocks, events as E, frames, intervals, rules, runs
+from .registry import SER, query, series
 from .series_queries import K, clean_sql, r6
 
 DRIVE_RULE = rules.Rule(3, 3, 1, 2, False, 0.10, 0.10, 0.25, 15.0, 30.0, 25.0, -0.3, 3, 40.0, 1, 25.0)

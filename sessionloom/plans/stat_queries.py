@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
-from ..operators import asof, blocks, intervals, relations, stats
+from ..operators import blocks, intervals, relations, stats
 from .registry import EV, SER, events, query, series, table, width
 from .series_queries import K, r6
 
