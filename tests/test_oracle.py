@@ -6,9 +6,10 @@ import oracle
 import pytest
 
 import __spark_entry__ as entry
+from sessionloom.plans import catalogue
 
 SF = "/root/testdata/sf0.001"
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = catalogue.QUERIES, catalogue.ORACLE
 
 
 @pytest.fixture(scope="module")
