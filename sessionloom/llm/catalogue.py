@@ -1,4 +1,4 @@
 """All registered queries of this folder."""
 
-from . import packing, sharding, url_filter  # noqa: F401
+from . import decontaminate, packing, sharding, url_filter  # noqa: F401
 from .common import ORACLE, QUERIES  # noqa: F401
