@@ -1,4 +1,4 @@
 """All registered queries of this folder."""
 
-from . import decontaminate, knn, packing, sharding, url_filter  # noqa: F401
+from . import decontaminate, knn, packing, quality, sharding, url_filter  # noqa: F401
 from .common import ORACLE, QUERIES  # noqa: F401
