@@ -31,8 +31,9 @@ def text_classes(docs: DataFrame, id_col: str, text_col: str, least: int) -> Dat
     Copies, however many, are one row from here on; partial aggregation collapses them before the shuffle.
     """
     spark = docs.sparkSession
-    rows = docs.select(F.unhex(F.md5(text_col)).alias("key"), F.col(text_col).alias("text"), F.col(id_col).alias("id")).where(F.octet_length("text") >= least)
-    classes = rows.groupBy("key").agg(F.first("text").alias("text"), F.count("*").alias("n"), F.min("id").alias("lead"))
+    bare = F.coalesce(F.col(text_col), F.lit(""))
+    rows = docs.select(F.unhex(F.md5(bare)).alias("key"), bare.alias("text"), F.col(id_col).alias("id")).where(F.octet_length("text") >= least)
+    classes = rows.groupBy("key").agg(F.first("text").alias("text"), F.count("*").alias("n"), F.min(F.struct("id")).getField("id").alias("lead"))
     name = f"llm_classes_{uuid.uuid4().hex}"
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     classes.write.bucketBy(buckets, "key").format("parquet").saveAsTable(name)
