@@ -1,4 +1,4 @@
 """All registered queries of this folder."""
 
-from . import decontaminate, knn, lempel_ziv, packing, quality, sharding, suffix_dedup, url_filter  # noqa: F401
+from . import decontaminate, jaccard, knn, lempel_ziv, packing, quality, sharding, suffix_dedup, url_filter  # noqa: F401
 from .common import ORACLE, QUERIES  # noqa: F401
