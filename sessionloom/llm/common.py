@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 #: Bytes of text that one numpy pass holds; a longer document is a slice of its own.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 
 def query(name: str, sql: str | None = None):
@@ -51,7 +51,7 @@ def settle(df: DataFrame, label: str = "part") -> DataFrame:
     """Write `df` as Parquet into the shared folder and read it again: lineage ends, columns still prune."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

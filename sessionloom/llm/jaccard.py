@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import LOWER, NOT_BLANK, Texts, owner, prefix_sums, query, settle, stretch_hash, table, texts, words
-from .repeats import text_classes
+from .repeats import shards, text_classes
 
 N = 5
 PERCENT = 80
@@ -38,6 +38,8 @@ PER_COUNTER = 64
 COUNTERS = (1 << 16, 1 << 26)
 BLOCK = 1 << 16
 PAIR_ROWS = 512
+#: Bytes of a block of columns.
+MATRIX_BYTES = 4 << 20
 
 
 def grams(t: Texts, n: int = N) -> tuple[np.ndarray, np.ndarray]:
@@ -63,7 +65,7 @@ def need(n, m, percent: int = PERCENT):
 
 
 def count_grams(classes: DataFrame, n: int, counters: int) -> DataFrame:
-    """Rows (lead, size) for each class, and rows (block, counts) of the task's counters; written."""
+    """Rows (key, size) for each class, and rows (block, counts) of the task's counters; written."""
 
     def run(batches):
         total = np.zeros(counters, np.int64)
@@ -75,12 +77,12 @@ def count_grams(classes: DataFrame, n: int, counters: int) -> DataFrame:
                 sizes.append(np.diff(first))
             if sizes:
                 size = np.concatenate(sizes)
-                yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(size, pa.int64()), pa.nulls(len(size), pa.int32()), pa.nulls(len(size), pa.binary())], names=["lead", "size", "block", "counts"])
+                yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(size, pa.int64()), pa.nulls(len(size), pa.int32()), pa.nulls(len(size), pa.binary())], names=["key", "size", "block", "counts"])
         blocks = [zlib.compress(total[at : at + BLOCK].astype("<u4").tobytes(), 1) for at in range(0, counters, BLOCK)]
         if total.any():
-            yield pa.RecordBatch.from_arrays([pa.nulls(len(blocks), pa.int64()), pa.nulls(len(blocks), pa.int64()), pa.array(range(len(blocks)), pa.int32()), pa.array(blocks, pa.binary())], names=["lead", "size", "block", "counts"])
+            yield pa.RecordBatch.from_arrays([pa.nulls(len(blocks), pa.binary()), pa.nulls(len(blocks), pa.int64()), pa.array(range(len(blocks)), pa.int32()), pa.array(blocks, pa.binary())], names=["key", "size", "block", "counts"])
 
-    return settle(classes.select("text", "lead").mapInArrow(run, "lead long, size long, block int, counts binary"), "gram-counts")
+    return settle(classes.select("text", "key").mapInArrow(run, "key binary, size long, block int, counts binary"), "gram-counts")
 
 
 def merge_counts(counted: DataFrame, counters: int) -> np.ndarray:
@@ -132,30 +134,6 @@ def unpack(meta: np.ndarray):
     return meta >> 40, (meta >> 16) & ((1 << 24) - 1), meta & 65535
 
 
-def by_gram(rows: DataFrame, solve, schema: str, limit: int = 4 << 20) -> DataFrame:
-    """`solve(table)` on whole columns of the matrix, blocks of about `limit` bytes."""
-    dealt = rows.repartition(F.col("gram")).sortWithinPartitions("gram")
-
-    def run(batches):
-        held, size = [], 0
-        for batch in batches:
-            held.append(batch)
-            size += batch.nbytes
-            if size < limit:
-                continue
-            all_ = pa.Table.from_batches(held)
-            key = all_["gram"].to_numpy()
-            cut = int(np.searchsorted(key, key[-1], side="left"))
-            if cut:
-                yield from solve(all_.slice(0, cut)).to_batches()
-                rest = all_.slice(cut).combine_chunks()
-                held, size = rest.to_batches(), rest.nbytes
-        if held:
-            yield from solve(pa.Table.from_batches(held)).to_batches()
-
-    return dealt.mapInArrow(run, schema)
-
-
 def with_pivot(rows: pa.Table) -> pa.Table:
     """Columns with two members or more, and for each row its column's pivot: the member with the most frequent n-grams."""
     gram, node, meta = (rows[c].to_numpy() for c in ("gram", "node", "meta"))
@@ -255,31 +233,43 @@ def components(links: DataFrame) -> DataFrame:
 def jaccard_components(docs: DataFrame, n: int = N, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row."""
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    classes = text_classes(own, "doc_id", "text", 0)
+    classes = text_classes(own, "doc_id", "text", 0, null_leads=False)
     bytes_ = classes.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     counters = COUNTERS[0]
     while counters < COUNTERS[1] and counters * PER_COUNTER * 6 < bytes_:
         counters *= 2
     counted = count_grams(classes, n, counters)
     leading = leading_grams(classes, merge_counts(counted, counters), n, percent)
-    kept = settle(by_gram(leading, with_pivot, "gram long, node long, meta long, pivot long, pivot_meta long"), "columns")
+    kept = settle(shards(leading, with_pivot, "gram long, node long, meta long, pivot long, pivot_meta long", MATRIX_BYTES, "gram"), "columns")
     star = kept.mapInArrow(lambda batches: (b for x in batches for b in stars(pa.Table.from_batches([x]), percent).to_batches()), "a long, b long, shared long")
     first = links_of(star.groupBy("a", "b").agg(F.sum("shared").alias("shared")), classes, n, percent)
     label = components(first)
     rows = kept.join(label, "node", "left").select("gram", "node", "meta", "pivot", F.coalesce("comp", "node").alias("comp"))
-    cross = by_gram(rows, lambda t: crossings(t, percent), "a long, b long, shared long")
+    cross = shards(rows, lambda t: crossings(t, percent), "a long, b long, shared long", MATRIX_BYTES, "gram")
     second = links_of(cross.groupBy("a", "b").agg(F.sum("shared").alias("shared")), classes, n, percent)
     label = components(settle(first.unionByName(second), "links"))
-    size = counted.where("block IS NULL").select("lead", "size")
-    named = size.groupBy("lead").agg(F.max("size").alias("size")).join(label.select(F.col("node").alias("lead"), "comp"), "lead", "left")
-    sized = own.select("doc_id", F.unhex(F.md5(F.coalesce("text", F.lit("")))).alias("key")).join(classes.select("key", "lead"), "key")
-    sized = sized.join(named, "lead", "left")
+    size = counted.where("block IS NULL").select("key", "size")
+    named = classes.select("key", "lead").join(size, "key").join(label.select(F.col("node").alias("lead"), "comp"), "lead", "left")
+    sized = own.select("doc_id", F.unhex(F.md5(F.coalesce("text", F.lit("")))).alias("key")).join(named, "key")
     return sized.select(
-        "doc_id", F.coalesce("size", F.lit(0)).cast("long").alias("n_shingles"),
+        "doc_id", F.col("size").alias("n_shingles"),
         F.when(F.col("size") > 0, F.when(F.col("doc_id").isNotNull(), F.coalesce("comp", "lead"))).otherwise(F.col("doc_id")).alias("component_id"),
     )
 
 
-@query("op10_ngram_jaccard")
+SQL = r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS x FROM s a JOIN s b USING (g) WHERE a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM p JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * x >= 80 * (na.n + nb.n - x)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT doc_id, doc_id AS c FROM n UNION SELECT e.b, r.c FROM r JOIN e ON r.doc_id = e.a)
+SELECT doc_id, coalesce(max(n.n), 0) AS n_shingles, coalesce(min(r.c), doc_id) AS component_id
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN r USING (doc_id) GROUP BY doc_id
+"""
+
+
+@query("op10_ngram_jaccard", SQL)
 def ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))

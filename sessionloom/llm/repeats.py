@@ -25,18 +25,20 @@ from .common import prefix_sums, settle, stretch_hash
 HOT = 20_000
 
 
-def text_classes(docs: DataFrame, id_col: str, text_col: str, least: int) -> DataFrame:
+def text_classes(docs: DataFrame, id_col: str, text_col: str, least: int, null_leads: bool = True) -> DataFrame:
     """Distinct texts of at least `least` bytes: (key, text, n rows, lead smallest id), bucketed by key for the joins that follow.
+    A null id is the smallest, or with `null_leads` off not looked at while there are others.
 
     Copies, however many, are one row from here on; partial aggregation collapses them before the shuffle.
     """
     spark = docs.sparkSession
     bare = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.unhex(F.md5(bare)).alias("key"), bare.alias("text"), F.col(id_col).alias("id")).where(F.octet_length("text") >= least)
-    classes = rows.groupBy("key").agg(F.first("text").alias("text"), F.count("*").alias("n"), F.min(F.struct("id")).getField("id").alias("lead"))
+    lead = F.min(F.struct("id")).getField("id") if null_leads else F.min("id")
+    classes = rows.groupBy("key").agg(F.first("text").alias("text"), F.count("*").alias("n"), lead.alias("lead"))
     name = f"llm_classes_{uuid.uuid4().hex}"
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    classes.write.bucketBy(buckets, "key").format("parquet").saveAsTable(name)
+    classes.write.bucketBy(buckets, "key").format("parquet").option("compression", "zstd").saveAsTable(name)
     return spark.table(name)
 
 
@@ -74,37 +76,52 @@ def regions_of(symbols: np.ndarray, first: np.ndarray, window: int, k: int):
     return own, lo - first[own], n, anchor - first[own], fp, r
 
 
+def place(w):
+    """(lo, many, at) packed in w: the first window, their number, and the k-gram's distance from the first. Arrays or columns.
+
+    The lowest bit tells whether the text has copies. Few bytes matter here, as every region of the corpus is one row.
+    """
+    if isinstance(w, np.ndarray):
+        return w >> 23, (w >> 12) & 2047, (w >> 1) & 2047
+    return F.shiftright(w, 23), F.shiftright(w, 12).bitwiseAND(F.lit(2047)), F.shiftright(w, 1).bitwiseAND(F.lit(2047))
+
+
+def times():
+    """Places a region row stands for: two stand for any number of copies."""
+    return F.sum(F.col("w").bitwiseAND(F.lit(1)) + 1)
+
+
 Splitter = Callable[[pa.Array], Iterator[tuple[int, np.ndarray, np.ndarray]]]
 
 
 def find_regions(classes: DataFrame, symbols: Splitter, window: int, k: int) -> DataFrame:
-    """All regions of all classes, written: (key, n, lead, lo, many, at, fp, r); at: the k-gram's distance from lo."""
+    """All regions of all classes, written: (key, lead, w, fp, r); see `place`."""
+    if window >= 1 << 11:
+        raise ValueError("a window has at most 2047 symbols")
 
     def run(batches):
         for batch in batches:
             for base, syms, first in symbols(batch.column(1)):
                 own, lo, many, anchor, fp, r = regions_of(syms, first, window, k)
                 row = pa.array(own + base)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(row), batch.column(2).take(row), batch.column(3).take(row), pa.array(lo, pa.int32()), pa.array(many, pa.int32()), pa.array(anchor - lo, pa.int32()), pa.array(fp), pa.array(r)],
-                    names=["key", "n", "lead", "lo", "many", "at", "fp", "r"],
-                )
+                copies = (batch.column(2).to_numpy() > 1)[own + base]
+                w = (lo << 23) | (many << 12) | ((anchor - lo) << 1) | copies
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(row), batch.column(3).take(row), pa.array(w, pa.int64()), pa.array(fp), pa.array(r)], names=["key", "lead", "w", "fp", "r"])
 
     kind = classes.schema["lead"].dataType.simpleString()
-    found = classes.select("key", "text", "n", "lead").mapInArrow(run, f"key binary, n long, lead {kind}, lo int, many int, at int, fp long, r long")
+    found = classes.select("key", "text", "n", "lead").mapInArrow(run, f"key binary, lead {kind}, w long, fp long, r long")
     return settle(found, "regions")
 
 
 def repeated(regions: DataFrame) -> DataFrame:
     """The regions whose k-gram occurs more than once, counting copies of a text; written."""
-    count = regions.groupBy("fp").agg(F.sum("n").alias("total")).where("total > 1")
+    count = regions.groupBy("fp").agg(times().alias("total")).where("total > 1")
     return settle(regions.join(count.select("fp"), "fp"), "repeated")
 
 
 def distinct_regions(members: DataFrame, order: list[str]) -> DataFrame:
-    """One row for each (fp, r): total rows, and the member that comes first by `order`; and whether its k-gram is hot."""
-    first = F.min(F.struct(*order, *(c for c in ("key", "lo", "many", "at") if c not in order))).alias("rep")
-    each = members.groupBy("fp", "r").agg(F.sum("n").alias("total"), first)
+    """One row for each (fp, r): places, and the member that comes first by `order`, which ends with key and w; and whether its k-gram is hot."""
+    each = members.groupBy("fp", "r").agg(times().alias("total"), F.min(F.struct(*order)).alias("rep"))
     hot = each.groupBy("fp").agg(F.count("*").alias("d")).where(F.col("d") > HOT).select("fp", F.lit(True).alias("hot"))
     return each.join(hot, "fp", "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
 
@@ -127,7 +144,7 @@ def region_symbols(classes: DataFrame, distinct: DataFrame, symbols: Splitter, w
             flat = parts.flatten()
             rep = flat.field("rep")
             fps, hots = flat.field("fp").to_numpy(), flat.field("hot").to_numpy(zero_copy_only=False)
-            los, manys, ats = (rep.field(c).to_numpy() for c in ("lo", "many", "at"))
+            los, manys, ats = place(rep.field("w").to_numpy())
             out = {n: [] for n in ("shard", "at", "off", "many", "body")}
 
             def flush():
@@ -175,9 +192,9 @@ def region_symbols(classes: DataFrame, distinct: DataFrame, symbols: Splitter, w
     return rows.mapInArrow(run, schema)
 
 
-def shards(parts: DataFrame, solve, schema: str, limit: int) -> DataFrame:
-    """`solve(pa.Table)` on groups of whole shard keys, of about `limit` bytes of symbols each."""
-    dealt = parts.repartition(F.col("shard_key")).sortWithinPartitions("shard_key")
+def shards(parts: DataFrame, solve, schema: str, limit: int, key: str = "shard_key") -> DataFrame:
+    """`solve(pa.Table)` on whole groups of `key`, as many together as make about `limit` bytes. A larger group is one call."""
+    dealt = parts.repartition(F.col(key)).sortWithinPartitions(key)
 
     def run(batches):
         held, size = [], 0
@@ -187,12 +204,17 @@ def shards(parts: DataFrame, solve, schema: str, limit: int) -> DataFrame:
             if size < limit:
                 continue
             all_ = pa.Table.from_batches(held)
-            keys = all_["shard_key"].to_numpy()
-            cut = int(np.searchsorted(keys, keys[-1], side="left"))  # the last key may go on in the next batch
-            if cut:
-                yield from solve(all_.slice(0, cut)).to_batches()
-                rest = all_.slice(cut).combine_chunks()
-                held, size = rest.to_batches(), rest.nbytes
+            keys = all_[key].to_numpy()
+            # the last group may go on in the next batch
+            done, end = 0, int(np.searchsorted(keys, keys[-1], side="left"))
+            step = max(1, len(keys) * limit // size)
+            while done < end:
+                last = keys[min(done + step, end) - 1]
+                stop = int(np.searchsorted(keys, last, side="right"))
+                yield from solve(all_.slice(done, stop - done)).to_batches()
+                done = stop
+            rest = all_.slice(done).combine_chunks()
+            held, size = rest.to_batches(), rest.nbytes
         if held:
             yield from solve(pa.Table.from_batches(held)).to_batches()
 

@@ -36,7 +36,7 @@ def name_substrings(s: np.ndarray, is_s: np.ndarray, lms: np.ndarray) -> tuple[n
         for d in range(at, at + pack):
             inside = d < size[tied]
             key = (key << bits) | np.where(inside, typed[np.minimum(lms[tied] + d, len(s) - 1)], 0)
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         order = order[np.argsort(rank[tied][order], kind="stable")] if at else order
         r, k = rank[tied][order], key[order]
         new = np.concatenate([[True], (r[1:] != r[:-1]) | (k[1:] != k[:-1])])
@@ -66,7 +66,7 @@ def by_doubling(s: np.ndarray, depth: int) -> np.ndarray:
         after = tied + step
         key = np.where(after < len(s), rank[np.minimum(after, len(s) - 1)] + 1, 0)
         both = rank[tied] * (len(s) + 1) + key
-        o = np.argsort(both, kind="stable")
+        o = np.argsort(both)
         r, b, t = rank[tied][o], both[o], tied[o]
         new = np.concatenate([[True], b[1:] != b[:-1]])
         group = np.concatenate([[True], r[1:] != r[:-1]])
@@ -156,8 +156,9 @@ def suffix_array(s: np.ndarray, alphabet: int, depth: int) -> np.ndarray:
     return induce(s, lms[order], alphabet)
 
 
-def common_prefixes(s: np.ndarray, sa: np.ndarray, starts: np.ndarray, most: int, equal) -> np.ndarray:
-    """Permuted common prefixes: for each text position the common prefix, up to `most`, with the suffix before it in the array.
+def common_prefixes(s: np.ndarray, sa: np.ndarray, starts: np.ndarray, least: int, most: int, equal) -> np.ndarray:
+    """Permuted common prefixes: for each text position the common prefix, up to `most`, with the suffix before it in the array;
+    prefixes shorter than `least` are not told apart and given as 0.
 
     Where the symbols before a suffix and before its neighbour agree, the prefix is one less than at the position before; elsewhere it is
     measured by `equal(i, j, length)`. `starts` are measured as well, so that `most` need only be the longest stretch between them.
@@ -173,16 +174,11 @@ def common_prefixes(s: np.ndarray, sa: np.ndarray, starts: np.ndarray, most: int
     j = phi[i]
     top = np.minimum(n - np.maximum(i, j), most)
     low = np.zeros(len(i), np.int64)
-    size, live = 16, np.arange(len(i))
-    while len(live):  # most prefixes are short: a first look at 16 symbols leaves few
-        probe = np.minimum(size, top[live])
-        same = equal(i[live], j[live], probe)
-        low[live[same]] = probe[same]
-        top[live[~same]] = probe[~same] - 1
-        live = live[same]
-        live = live[low[live] < top[live]]
-        size *= 4
-    live = np.flatnonzero(low < top)
+    # one look at `least` symbols; what agrees there is measured by halving
+    live = np.flatnonzero(top >= least)
+    live = live[equal(i[live], j[live], np.full(len(live), least))]
+    low[live] = least
+    live = live[low[live] < top[live]]
     while len(live):
         mid = (low[live] + top[live] + 1) >> 1
         same = equal(i[live], j[live], mid)

@@ -19,12 +19,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import prefix_sums, query, stretch_hash, table, texts
-from .repeats import distinct_regions, find_regions, region_symbols, repeated, shards, text_classes
+from .repeats import distinct_regions, find_regions, place, region_symbols, repeated, shards, text_classes
 from .suffix import common_prefixes, suffix_array
 
 WINDOW = 400
 GRAM = 100
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 1 << 20
 
 
 def byte_symbols(column):
@@ -43,7 +43,7 @@ def repeated_starts(bodies: list[bytes], weight: np.ndarray, many: np.ndarray, w
     s[at] = data.astype(np.uint16) + 2
     sa = suffix_array(s, 258, len(s))
     sums = prefix_sums(s)
-    plcp = common_prefixes(s, sa, begin, int(size.max()) + 1, lambda i, j, n: stretch_hash(sums, i, i + n) == stretch_hash(sums, j, j + n))
+    plcp = common_prefixes(s, sa, begin, window, int(size.max()) + 1, lambda i, j, n: stretch_hash(sums, i, i + n) == stretch_hash(sums, j, j + n))
     places = np.zeros(len(s), np.int64)
     start = np.arange(int(many.sum())) + np.repeat(begin - (np.cumsum(many) - many), many)
     places[start] = np.repeat(np.minimum(weight, 2), many)
@@ -84,9 +84,10 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, id_c
     """(classes, spans): the distinct texts, and for each key with repeats its spans as flat pairs of starts and stops of windows."""
     classes = text_classes(docs, id_col, text_col, window)
     members = repeated(find_regions(classes, byte_symbols, window, gram))
-    parts = region_symbols(classes, distinct_regions(members, ["key", "lo"]), byte_symbols, window, "u1")
+    parts = region_symbols(classes, distinct_regions(members, ["key", "w"]), byte_symbols, window, "u1")
     found = shards(parts, solve_shard if window == WINDOW else lambda rows: solve_shard(rows, window), RESULT, SHARD_BYTES)
-    spans = members.join(found, ["fp", "r"]).groupBy("key").agg(F.collect_list(F.struct((F.col("lo") + F.col("start")).alias("a"), (F.col("lo") + F.col("stop")).alias("b"))).alias("spans"))
+    lo = place(F.col("w"))[0].cast("int")
+    spans = members.join(found, ["fp", "r"]).groupBy("key").agg(F.collect_list(F.struct((lo + F.col("start")).alias("a"), (lo + F.col("stop")).alias("b"))).alias("spans"))
     return classes, spans
 
 
