@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import NOT_BLANK, prefix_sums, query, stretch_hash, table, texts, words
-from .repeats import distinct_regions, find_regions, region_symbols, repeated, shards, text_classes
+from .repeats import distinct_regions, find_regions, place, region_symbols, repeated, shards, text_classes
 from .suffix_dedup import covered, runs
 
 WINDOW = 20
@@ -89,7 +89,7 @@ def solve_shard(rows: pa.Table, window: int = WINDOW) -> pa.Table:
     """(key, a, b): stretches of windows of each region's first place that start earlier."""
     rows = rows.combine_chunks()
     rep = rows["rep"].combine_chunks()
-    order = pa.table({"lead": rep.field("lead"), "key": rep.field("key"), "at": pa.compute.add(rep.field("lo"), rows["off"].combine_chunks())})
+    order = pa.table({"lead": rep.field("lead"), "key": rep.field("key"), "at": place(rep.field("w").to_numpy())[0] + rows["off"].to_numpy()})
     rows = rows.take(pa.compute.sort_indices(order, sort_keys=[("lead", "ascending"), ("key", "ascending"), ("at", "ascending")], null_placement="at_start"))
     rep = rows["rep"].combine_chunks()
     body = rows["body"].to_pylist()
@@ -100,7 +100,7 @@ def solve_shard(rows: pa.Table, window: int = WINDOW) -> pa.Table:
     owner = np.repeat(np.arange(len(many)), many)
     a, b = runs(on, owner)
     own = owner[a] if len(a) else np.empty(0, np.int64)
-    base = rep.field("lo").to_numpy()[own] + rows["off"].to_numpy()[own] - (np.cumsum(many) - many)[own]
+    base = place(rep.field("w").to_numpy())[0][own] + rows["off"].to_numpy()[own] - (np.cumsum(many) - many)[own]
     return pa.table({"key": rep.field("key").take(pa.array(own)), "a": pa.array(a + base, pa.int32()), "b": pa.array(b + base, pa.int32())})
 
 
@@ -108,12 +108,13 @@ def earlier_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, id_co
     """(classes, spans): all distinct texts, and for each key its stretches (a, b) of windows that start earlier, for the first row of the text."""
     classes = text_classes(docs, id_col, text_col, 0)
     members = repeated(find_regions(classes, word_symbols, window, gram))
-    distinct = distinct_regions(members, ["lead", "key", "lo"])
+    distinct = distinct_regions(members, ["lead", "key", "w"])
     parts = region_symbols(classes, distinct, word_symbols, window, "u8")
     first = shards(parts, lambda rows: solve_shard(rows, window), "key binary, a int, b int", SHARD_BYTES)
     # a region that equals one before it starts earlier in all its windows
-    rep = distinct.select("fp", "r", F.col("rep.key").alias("rep_key"), F.col("rep.lo").alias("rep_lo"))
-    later = members.join(rep, ["fp", "r"]).where("key <> rep_key OR lo <> rep_lo").select("key", F.col("lo").alias("a"), (F.col("lo") + F.col("many")).alias("b"))
+    rep = distinct.select("fp", "r", F.col("rep.key").alias("rep_key"), F.col("rep.w").alias("rep_w"))
+    lo, many, _ = place(F.col("w"))
+    later = members.join(rep, ["fp", "r"]).where("key <> rep_key OR w <> rep_w").select("key", lo.cast("int").alias("a"), (lo + many).cast("int").alias("b"))
     spans = first.unionByName(later).groupBy("key").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
     return classes, spans
 
@@ -163,6 +164,17 @@ def cut_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, id_col:
     )
 
 
-@query("op8_substring_dedup")
+SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (SELECT doc_id, s, array_to_string(w[s:s + 19], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS s FROM d)),
+hit AS (SELECT DISTINCT doc_id, unnest(range(s, s + 20)) AS p FROM (SELECT doc_id, s, row_number() OVER (PARTITION BY g ORDER BY doc_id, s) AS n FROM win) WHERE n > 1),
+word AS (SELECT doc_id, unnest(range(1, len(w) + 1)) AS p, unnest(w) AS x FROM d),
+kept AS (SELECT doc_id, count(*) AS n, string_agg(x, ' ' ORDER BY p) AS t FROM word ANTI JOIN hit USING (doc_id, p) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(kept.n, 0) AS BIGINT) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
+
+
+@query("op8_substring_dedup", SQL)
 def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut_repeats(table(spark, sf_dir, "documents"), with_text=False)

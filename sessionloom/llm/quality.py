@@ -25,6 +25,8 @@ BUCKETS = 1 << 18
 GRAMS = (2, 3, 4)
 DIM = 8
 EPOCHS = 6
+#: A small sample is read more often, until so many steps are taken.
+STEPS = 6000
 RATE = 0.5
 #: The bound of the sample of labelled rows.
 TRAIN_ROWS = 3000
@@ -91,6 +93,7 @@ def train(samples: list[tuple[np.ndarray, np.ndarray, int]], buckets: int = BUCK
     vectors = draw.uniform(-1 / dim, 1 / dim, (buckets, dim)).astype(np.float32)
     out, bias = np.zeros((2, dim), np.float32), np.zeros(2, np.float32)
     weight = len(label) / (2 * np.bincount(label, minlength=2))
+    epochs = max(epochs, -(-STEPS // len(samples)))
     steps, done = epochs * len(samples), 0
     for _ in range(epochs):
         for k in draw.permutation(len(samples)):

@@ -11,8 +11,6 @@ Repeated rows each give a row. Columns other than `id_col` and `url_col` are lef
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
@@ -86,7 +84,7 @@ def fit(labelled: DataFrame, seen: DataFrame) -> DataFrame:
 
 
 def calibrate(scored: DataFrame) -> DataFrame:
-    """One row, `threshold`: the cut of the score grid with the best mean of both kinds' hit rates. Scored: (accepted, score)."""
+    """One row, `threshold`: the cut with the best mean of both kinds' hit rates, halfway between the cells it parts. Scored: (accepted, score)."""
     cell = scored.groupBy(F.floor(F.col("score") / GRID).alias("cell")).agg(
         F.count_if("accepted").alias("a"), F.count_if(~F.col("accepted")).alias("r")
     )
@@ -95,7 +93,7 @@ def calibrate(scored: DataFrame) -> DataFrame:
     total = Window.orderBy(F.lit(1)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     lost, caught = F.coalesce(F.sum("a").over(down), F.lit(0)), F.coalesce(F.sum("r").over(down), F.lit(0))
     rated = cell.select(
-        (F.col("cell") * GRID).alias("cut"),
+        ((F.col("cell") + F.coalesce(F.lag("cell").over(Window.orderBy("cell")) + 1, F.col("cell"))) / 2 * GRID).alias("cut"),
         (1 - lost / F.greatest(F.sum("a").over(total), F.lit(1)) + caught / F.greatest(F.sum("r").over(total), F.lit(1))).alias("rate"),
         ((F.sum("a").over(total) > 0) & (F.sum("r").over(total) > 0)).alias("both"),
     ).where("both")
