@@ -112,12 +112,6 @@ def with_time_halo(df: DataFrame, t: str, before: float, after: float, width: fl
     return spread.withColumn("_home", F.col("_b") == home)
 
 
-def longer_than(df: DataFrame, k: Sequence[str], rows: int) -> bool:
-    """Whether any series has more than `rows` rows; decides between a local and a split path."""
-    counts = df.groupBy(*k).agg(F.count(F.lit(1)).alias("n"))
-    return bool(counts.filter(F.col("n") > rows).limit(1).count())
-
-
 def block_window(k: Sequence[str], i: str = "i"):
     return Window.partitionBy(*k, "_b").orderBy(i)
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from bisect import insort
 from collections.abc import Sequence
 
 import numpy as np
@@ -14,7 +13,7 @@ from . import blocks
 
 COARSE = 32  # value buckets per level; two levels give COARSE * COARSE buckets per series
 SALTS = 4
-ROWS = 16_384  # rows per block: an insertion costs time in proportion to what a block holds
+ROWS = 16_384  # rows per block
 
 
 def expanding_median(
@@ -33,28 +32,17 @@ def expanding_median(
     )
     schema = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in k)
     values = base.select(*k, "_b", i, "_v")
-    if not blocks.longer_than(df, k, block):
-        # every series is a single block
-        own = values.withColumns({"_below": F.lit(0).cast("bigint"), "_total": F.lit(0).cast("bigint"), "_own": F.lit(True)})
-    else:
-        own = _with_candidates(values, k, i)
+    own = _with_candidates(values, k, i)
 
     def medians(pdf: pd.DataFrame) -> pd.DataFrame:
-        mine = pdf[pdf["_own"]].sort_values(i)
-        seen = sorted(pdf.loc[~pdf["_own"], "_v"].tolist())
-        below = int(pdf["_below"].iloc[0])
-        total = int(pdf["_total"].iloc[0])
-        found = np.empty(len(mine))
-        for n, x in enumerate(mine["_v"].to_numpy(float)):
-            # a value under the copied range only raises the count of what lies below it
-            if below and (not seen or x < seen[0]):
-                below += 1
-            else:
-                insort(seen, x)
-            total += 1
-            low = seen[(total - 1) // 2 - below]
-            high = seen[total // 2 - below]
-            found[n] = (low + high) / 2
+        pdf = pdf.sort_values(["_own", i])
+        copied = int((~pdf["_own"]).sum())
+        n = np.arange(copied + 1, len(pdf) + 1)  # values seen, of those in this block's reach
+        missing = int(pdf["_below"].iloc[0])
+        total = int(pdf["_total"].iloc[0]) + np.arange(1, len(n) + 1)
+        v = pdf["_v"].to_numpy(float)
+        found = (smallest_of_prefix(v, n, (total - 1) // 2 - missing) + smallest_of_prefix(v, n, total // 2 - missing)) / 2
+        mine = pdf.iloc[copied:]
         head = {c: [pdf[c].iloc[0]] * len(mine) for c in k}
         return pd.DataFrame(head | {i: mine[i].to_numpy(), out: found})
 
@@ -62,6 +50,29 @@ def expanding_median(
     return df.join(done, [*k, i])
 
 
+def smallest_of_prefix(v: np.ndarray, n: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """For each query the value at `place` (from 0) among the sorted first `n` values; all queries at once.
+
+    Values become ranks, and the answer's bits are found from the highest: the values with a 0 at the bit stand before those with a
+    1, in their old order, and a running count says how many of the prefix they are.
+    """
+    sorted_ = np.sort(v)
+    rank = np.empty(len(v), np.int64)
+    rank[np.argsort(v, kind="stable")] = np.arange(len(v))
+    start, stop, place = np.zeros(len(n), np.int64), n.copy(), place.copy()
+    answer = np.zeros(len(n), np.int64)
+    for bit in range(max(len(v) - 1, 1).bit_length() - 1, -1, -1):
+        one = (rank >> bit) & 1
+        zeros = np.concatenate([[0], np.cumsum(1 - one)])
+        low, high = zeros[start], zeros[stop]
+        up = place >= high - low
+        place = np.where(up, place - (high - low), place)
+        answer |= up.astype(np.int64) << bit
+        start, stop = np.where(up, zeros[-1] + start - low, low), np.where(up, zeros[-1] + stop - high, high)
+        rank = np.concatenate([rank[one == 0], rank[one == 1]])
+    return sorted_[answer]
+
+
 def _bucket(cuts: Column, v: Column) -> Column:
     """Number of cut points under `v`, found in two steps of COARSE."""
     coarse = F.transform(F.sequence(F.lit(1), F.lit(COARSE - 1)), lambda j: F.get(cuts, j * COARSE - 1))

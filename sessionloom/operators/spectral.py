@@ -15,7 +15,6 @@ from ..session import settle
 from . import blocks, stats
 from .asof import interpolate
 
-LOCAL_SAMPLES = 1 << 20  # a series up to this length is transformed inside one task
 
 
 def fill_linear(df: DataFrame, k: Sequence[str], v: str, i: str = "i", block: int = blocks.BLOCK_ROWS) -> DataFrame:
@@ -166,6 +165,14 @@ def filter_metrics(df: DataFrame, k: Sequence[str], raw: str, filtered: Sequence
     return df.groupBy(*k).agg(*aggs).select(*k, F.inline(F.array(*rows)))
 
 
+def haar_basis(level: int) -> np.ndarray:
+    """Orthonormal Haar basis of 2**level samples: row 0 is constant, the others are differences of neighbouring halves."""
+    basis = np.ones((1, 1))
+    for _ in range(level):
+        basis = np.vstack([np.kron(basis, [1.0, 1.0]), np.kron(np.eye(len(basis)), [1.0, -1.0])]) / math.sqrt(2.0)
+    return basis
+
+
 def haar_denoise(df: DataFrame, k: Sequence[str], v: str, out: str, level: int = 4, i: str = "i", block: int = blocks.BLOCK_ROWS) -> DataFrame:
     """Soft-threshold Haar denoising.
 
@@ -197,20 +204,14 @@ def haar_denoise(df: DataFrame, k: Sequence[str], v: str, out: str, level: int =
         "_x", F.concat(F.transform("_s", lambda s: s[v]), F.array_repeat("_last", size - F.size("_s")))
     )
 
+    basis = haar_basis(level)
+
     @F.pandas_udf("array<double>")
     def denoise(x: pd.Series, thr: pd.Series) -> pd.Series:
-        a = np.stack(x.to_numpy())
-        limit = thr.to_numpy(float)[:, None]
-        kept = []
-        for _ in range(level):
-            low, high = (a[:, 0::2] + a[:, 1::2]) / root, (a[:, 0::2] - a[:, 1::2]) / root
-            kept.append(np.sign(high) * np.maximum(np.abs(high) - limit, 0.0))
-            a = low
-        for d in reversed(kept):
-            up = np.empty((a.shape[0], 2 * a.shape[1]))
-            up[:, 0::2], up[:, 1::2] = (a + d) / root, (a - d) / root
-            a = up
-        return pd.Series(list(a))
+        part = np.stack(x.to_numpy()) @ basis.T
+        detail = part[:, 1:]
+        part[:, 1:] = detail - np.clip(detail, -thr.to_numpy(float)[:, None], thr.to_numpy(float)[:, None])
+        return pd.Series(list(part @ basis))
 
     done = ready.withColumn("_y", denoise("_x", "_thr")).select(
         *k, F.inline(F.arrays_zip(F.transform("_s", lambda s: s[i]).alias(i), F.slice("_y", 1, F.size("_s")).alias(out)))
@@ -219,35 +220,16 @@ def haar_denoise(df: DataFrame, k: Sequence[str], v: str, out: str, level: int =
 
 
 def fft_lowpass(
-    df: DataFrame, k: Sequence[str], v: str, cutoff: float, out: str, fs: float = 25.0, i: str = "i",
-    block: int = blocks.BLOCK_ROWS, local: int = LOCAL_SAMPLES,
+    df: DataFrame, k: Sequence[str], v: str, cutoff: float, out: str, fs: float = 25.0, i: str = "i", block: int = blocks.BLOCK_ROWS,
 ) -> DataFrame:
     """Zero-phase low-pass of a whole series: frequencies above `cutoff` are removed.
 
-    Series of up to `local` samples are transformed inside a task. Longer ones are filtered by
-    the equal circular convolution, whose transforms are split over the cluster.
+    Series of any length are filtered by the equal circular convolution, whose transforms are split over the cluster.
     """
     k = list(k)
     whole = fill_linear(df.select(*k, i, v), k, v, i, block)
-    if not blocks.longer_than(df, k, local):
-        return df.join(_lowpass_local(whole, k, v, cutoff, out, fs, i), [*k, i])
     sized = stats.attach(whole, whole.groupBy(*k).agg(F.count(F.lit(1)).alias("_n")), k)
-    short = _lowpass_local(sized.filter(F.col("_n") <= local).drop("_n"), k, v, cutoff, out, fs, i)
-    long = _lowpass_split(sized.filter(F.col("_n") > local), k, v, cutoff, out, fs, i)
-    return df.join(short.unionByName(long), [*k, i])
-
-
-def _lowpass_local(whole, k, v, cutoff, out, fs, i) -> DataFrame:
-    schema = ", ".join(f"`{c}` {whole.schema[c].dataType.simpleString()}" for c in k)
-
-    def smooth(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(i)
-        x = pdf[v].to_numpy(float)
-        spectrum = np.fft.rfft(x)
-        spectrum[np.fft.rfftfreq(len(x), 1 / fs) > cutoff] = 0
-        return pdf[[*k, i]].assign(**{out: np.fft.irfft(spectrum, len(x))})
-
-    return whole.groupBy(*k).applyInPandas(smooth, f"{schema}, `{i}` bigint, `{out}` double")
+    return df.join(_lowpass_split(sized, k, v, cutoff, out, fs, i), [*k, i])
 
 
 def _lowpass_split(sized: DataFrame, k, v, cutoff, out, fs, i) -> DataFrame:
@@ -283,43 +265,49 @@ def _lowpass_split(sized: DataFrame, k, v, cutoff, out, fs, i) -> DataFrame:
     return back.filter(F.col("j") < F.col("_n")).select(*k, F.col("j").alias(i), (F.col("re") / F.col("_m")).alias(out))
 
 
+FFT_VALUES = 1 << 18  # values that one call transforms
+
+
 def split_fft(df: DataFrame, k: Sequence[str]) -> DataFrame:
     """Discrete transform of long series: k, _n, _m (length, a power of two), j, re, im.
 
-    With M = P * Q and j = Q * p + q, the series becomes Q transforms of length P, a phase per
-    value and P transforms of length Q. Missing places are zeros. No group exceeds sqrt(2 M).
+    With M = P * Q and j = Q * p + q, the series becomes Q transforms of length P, a phase per value and P transforms of
+    length Q. Missing places are zeros. A call takes as many of them as make `FFT_VALUES` values, so it never holds more
+    than that or sqrt(2 M), and a short series is two calls.
     """
     k = list(k)
     keys = [*k, "_n", "_m"]
     schema = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keys)
-    q_len = F.pow(F.lit(2.0), F.floor(F.log2("_m") / 2)).cast("bigint")
 
     def pieces(m: int) -> tuple[int, int]:
         q = 1 << int(math.floor(math.log2(m) / 2))
         return m // q, q
 
     def first(pdf: pd.DataFrame) -> pd.DataFrame:
-        m, q = int(pdf["_m"].iloc[0]), int(pdf["_q"].iloc[0])
+        m = int(pdf["_m"].iloc[0])
         p_len, q_len = pieces(m)
-        x = np.zeros(p_len, complex)
-        x[(pdf["j"] // q_len).to_numpy()] = pdf["re"].to_numpy() + 1j * pdf["im"].to_numpy()
+        q, row = np.unique(pdf["_q"].to_numpy(), return_inverse=True)
+        x = np.zeros((len(q), p_len), complex)
+        x[row, (pdf["j"] // q_len).to_numpy()] = pdf["re"].to_numpy() + 1j * pdf["im"].to_numpy()
         at = np.arange(p_len)
-        y = np.fft.fft(x) * np.exp(-2j * np.pi * ((q * at) % m) / m)
-        head = {c: [pdf[c].iloc[0]] * p_len for c in keys}
-        return pd.DataFrame(head | {"_p": at, "_q": [q] * p_len, "re": y.real, "im": y.imag})
+        y = (np.fft.fft(x, axis=1) * np.exp(-2j * np.pi * (np.outer(q, at) % m) / m)).reshape(-1)
+        head = {c: [pdf[c].iloc[0]] * len(y) for c in keys}
+        return pd.DataFrame(head | {"_p": np.tile(at, len(q)), "_q": np.repeat(q, p_len), "re": y.real, "im": y.imag})
 
     def second(pdf: pd.DataFrame) -> pd.DataFrame:
-        m, p = int(pdf["_m"].iloc[0]), int(pdf["_p"].iloc[0])
-        p_len, q_len = pieces(m)
-        x = np.zeros(q_len, complex)
-        x[pdf["_q"].to_numpy()] = pdf["re"].to_numpy() + 1j * pdf["im"].to_numpy()
-        y = np.fft.fft(x)
-        head = {c: [pdf[c].iloc[0]] * q_len for c in keys}
-        return pd.DataFrame(head | {"j": p + p_len * np.arange(q_len), "re": y.real, "im": y.imag})
-
-    columns = df.withColumn("_q", F.pmod(F.col("j"), q_len))
-    inner = columns.groupBy(*k, "_q").applyInPandas(first, f"{schema}, _p bigint, _q bigint, re double, im double")
-    return inner.groupBy(*k, "_p").applyInPandas(second, f"{schema}, j bigint, re double, im double")
+        p_len, q_len = pieces(int(pdf["_m"].iloc[0]))
+        p, row = np.unique(pdf["_p"].to_numpy(), return_inverse=True)
+        x = np.zeros((len(p), q_len), complex)
+        x[row, pdf["_q"].to_numpy()] = pdf["re"].to_numpy() + 1j * pdf["im"].to_numpy()
+        y = np.fft.fft(x, axis=1).reshape(-1)
+        head = {c: [pdf[c].iloc[0]] * len(y) for c in keys}
+        return pd.DataFrame(head | {"j": (p[:, None] + p_len * np.arange(q_len)[None, :]).reshape(-1), "re": y.real, "im": y.imag})
+
+    q_len = F.pow(F.lit(2.0), F.floor(F.log2("_m") / 2)).cast("bigint")
+    columns = df.withColumn("_q", F.pmod(F.col("j"), q_len)).withColumn("_g", F.floor(F.col("_q") * (F.col("_m") / q_len) / FFT_VALUES))
+    inner = columns.groupBy(*k, "_g").applyInPandas(first, f"{schema}, _p bigint, _q bigint, re double, im double")
+    inner = inner.withColumn("_g", F.floor(F.col("_p") * q_len / FFT_VALUES))
+    return inner.groupBy(*k, "_g").applyInPandas(second, f"{schema}, j bigint, re double, im double")
 
 
 def compare_smoothers(df: DataFrame, k: Sequence[str], columns: dict[str, DataFrame], v: str, i: str = "i") -> DataFrame:

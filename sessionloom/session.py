@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,20 +26,18 @@ def local_session(cores: int | str = "*", partitions: int = 8, **conf: str) -> S
     return spark
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder the cluster names for intermediate tables, else one in the warehouse, which all executors share too."""
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_intermediate"
+
+
 def settle(df: DataFrame) -> DataFrame:
-    """Write `df` once and continue from the written rows.
+    """Write `df` once as Parquet and continue from the written rows.
 
-    Used where several consumers read one expensive intermediate. The files go to the
-    folder the session names in spark.checkpoint.dir, so they outlive lost executors; the
-    partitioning of `df` is kept, so later windows on the same keys need no shuffle.
+    Used where several consumers read one expensive intermediate. The files lie in the shared folder, so they outlive lost
+    executors, and what reads them still prunes columns and pushes filters down.
     """
     spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a shared folder")
-            folder = tempfile.mkdtemp(prefix="sessionloom-")
-        context.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    path = f"{shared_folder(spark)}/settled-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
