@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import settle
@@ -250,7 +250,7 @@ def clock_jumps(df: DataFrame, k: Sequence[str], tod: str, elapsed: str, jump: f
     return framed.withColumn("is_jump", F.coalesce(F.abs("jump_s") > jump, F.lit(False)))
 
 
-def clock_continuity(df, k, tod: str, elapsed: str, jump: float = 0.5, show: int = 5, i="i", block=blocks.BLOCK_ROWS) -> DataFrame:
+def clock_continuity(df, k, tod: str, elapsed: str, jump: float = 0.5, i="i", block=blocks.BLOCK_ROWS) -> DataFrame:
     """Per session: rows, spans, residual at the end and at its largest, and clock jumps."""
     marked = clock_jumps(df, k, tod, elapsed, jump, i, block)
     facts = marked.groupBy(*k).agg(
@@ -262,13 +262,10 @@ def clock_continuity(df, k, tod: str, elapsed: str, jump: float = 0.5, show: int
         F.count(F.when(F.col("is_jump"), 1)).alias("n_jumps"),
         F.min(F.when(F.col("is_jump"), F.col("before_jump_s"))).alias("first_jump_at_s"),
     )
-    order = Window.partitionBy(*k).orderBy(i)
-    first_few = (
-        marked.filter("is_jump").withColumn("_r", F.row_number().over(order)).filter(F.col("_r") <= show)
-        .groupBy(*k).agg(F.sort_array(F.collect_list(F.struct("_r", "jump_s"))).alias("_j"))
-        .select(*k, F.transform("_j", lambda s: F.round(s["jump_s"], 2)).alias("jump_sizes_s"))
+    sizes = marked.filter("is_jump").groupBy(*k).agg(F.sort_array(F.collect_list(F.struct(i, "jump_s"))).alias("_j")).select(
+        *k, F.transform("_j", lambda s: F.round(s["jump_s"], 2)).alias("jump_sizes_s")
     )
-    return facts.join(first_few, list(k), "left").withColumn(
+    return facts.join(sizes, list(k), "left").withColumn(
         "jump_sizes_s", F.coalesce("jump_sizes_s", F.array().cast("array<double>"))
     )
 

@@ -422,20 +422,21 @@ def event_lag_profiles(
     """Normalised cross-correlation around every event, as an array over lags.
 
     starts: k, e (event number in its session), i0. Each event gathers only the samples within
-    half + max_lag of its start; events too close to an end of the series are left out.
+    half + max_lag of its start; events are left out unless a further sample lies beyond that at both ends of the series.
     """
     from .intervals import point_in_interval
 
     reach = half + max_lag
     spans = starts.select(
-        *k, "e", F.col("i0").alias("_at"), (F.col("i0") - reach).alias("_w0"), (F.col("i0") + reach - 1).alias("_w1")
+        *k, "e", F.col("i0").alias("_at"), (F.col("i0") - reach - 1).alias("_w0"), (F.col("i0") + reach).alias("_w1")
     )
     points = df.select(*k, F.col(i).alias("_j"), F.coalesce(F.col(a), F.lit(0.0)).alias("_x"), F.coalesce(F.col(b), F.lit(0.0)).alias("_y"))
     inside = point_in_interval(points, spans, k, "_j", "_w0", "_w1", width)
     packed = (
         inside.groupBy(*k, "e")
         .agg(F.sort_array(F.collect_list(F.struct("_j", "_x", "_y"))).alias("_s"))
-        .filter(F.size("_s") == 2 * reach)
+        .filter(F.size("_s") == 2 * reach + 2)
+        .withColumn("_s", F.slice("_s", 2, 2 * reach))
     )
 
     @F.pandas_udf("array<double>")
@@ -472,13 +473,13 @@ def event_xcorr(profiles: DataFrame, k: Sequence[str], max_lag: int, min_events:
 def bootstrap_peak(profiles: DataFrame, k: Sequence[str], max_lag: int, n_boot: int = 200, seed: int = 0, min_events: int = 8) -> DataFrame:
     """95 % interval of the peak lag over resampled events.
 
-    Every replicate draws as many events as the session has, with replacement; draws are a hash of
+    Every replicate draws as many events as the session has, with replacement; draws come from the MD5 of
     (seed, session, replicate, slot), so a rerun repeats them. Only draw counts meet the profiles.
     """
     sizes = profiles.groupBy(*k).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= min_events)
     slots = profiles.select(*k, "e").join(sizes, list(k))
     draws = slots.select(*k, "_n", "e", F.explode(F.sequence(F.lit(1), F.lit(n_boot))).alias("rep")).select(
-        *k, "rep", F.pmod(F.xxhash64(F.lit(seed), *k, "rep", "e"), F.col("_n")).alias("_pick")
+        *k, "rep", (F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(seed), *k, "rep", "e")), 1, 12), 16, 10).cast("bigint") % F.col("_n")).alias("_pick")
     )
     counts = draws.groupBy(*k, "rep", "_pick").agg(F.count(F.lit(1)).alias("_w"))
     # profiles are numbered densely, so a draw names one

@@ -199,7 +199,7 @@ def logger(spark, sf_dir):
     "clock_continuity",
     f"""WITH {CLOCK} SELECT user_id, count(*) AS rows, round(arg_max(elapsed, i), 4) AS elapsed_end_s, round(arg_max(tod, i) - arg_min(tod, i), 4) AS utc_span_s, round(arg_max(residual, i), 4) AS residual_end_s,
        round(max(abs(residual)), 4) AS max_abs_residual_s, count(*) FILTER (abs(jump) > 0.5) AS n_jumps, round(min(before) FILTER (abs(jump) > 0.5), 4) AS first_jump_at_s,
-       coalesce((list(round(jump, 2) ORDER BY i) FILTER (abs(jump) > 0.5))[1:5], []) AS jump_sizes_s FROM jp GROUP BY user_id""",
+       coalesce((list(round(jump, 2) ORDER BY i) FILTER (abs(jump) > 0.5)), []) AS jump_sizes_s FROM jp GROUP BY user_id""",
 )
 def clock_continuity(spark, sf_dir):
     out = clock.clock_continuity(logger(spark, sf_dir), K, "tod", "elapsed")

@@ -240,9 +240,9 @@ def find_offset(spark, sf_dir):
 
 PROFILE = f"""WITH {SER}, st AS (SELECT user_id, i AS i0, row_number() OVER {W}) - 1 AS e FROM ser WHERE event_type = 'error'),
     w AS (SELECT st.user_id, st.e, s.i - st.i0 AS d, s.value AS x, CAST(s.event_id % 17 AS DOUBLE) AS y, count(*) OVER (PARTITION BY st.user_id, st.e) AS n
-       FROM st JOIN ser s ON s.user_id = st.user_id AND s.i BETWEEN st.i0 - 7 AND st.i0 + 6),
-    a AS (SELECT user_id, e, d, (x - avg(x) OVER (PARTITION BY user_id, e)) / (stddev_pop(x) OVER (PARTITION BY user_id, e) + 1e-9) AS a FROM w WHERE n = 14 AND d BETWEEN -4 AND 3),
-    b0 AS (SELECT user_id, e, lag, d - lag AS d, y FROM w CROSS JOIN (SELECT unnest(generate_series(-3, 3)) AS lag) WHERE n = 14 AND d - lag BETWEEN -4 AND 3),
+       FROM st JOIN ser s ON s.user_id = st.user_id AND s.i BETWEEN st.i0 - 8 AND st.i0 + 7),
+    a AS (SELECT user_id, e, d, (x - avg(x) OVER (PARTITION BY user_id, e)) / (stddev_pop(x) OVER (PARTITION BY user_id, e) + 1e-9) AS a FROM w WHERE n = 16 AND d BETWEEN -4 AND 3),
+    b0 AS (SELECT user_id, e, lag, d - lag AS d, y FROM w CROSS JOIN (SELECT unnest(generate_series(-3, 3)) AS lag) WHERE n = 16 AND d - lag BETWEEN -4 AND 3),
     b AS (SELECT user_id, e, lag, d, (y - avg(y) OVER (PARTITION BY user_id, e, lag)) / (stddev_pop(y) OVER (PARTITION BY user_id, e, lag) + 1e-9) AS b FROM b0),
     r AS (SELECT user_id, e, lag, sum(a * b) / 8 AS r FROM a JOIN b USING (user_id, e, d) GROUP BY ALL),
     m AS (SELECT user_id, lag, avg(r) AS m, count(*) AS n FROM r GROUP BY ALL HAVING count(*) >= 4)"""
@@ -265,9 +265,17 @@ def event_xcorr(spark, sf_dir):
     return rounded(out.withColumn("peak_z", F.round("peak_z", 5)), "peak_r")
 
 
-@query("event_xcorr_bootstrap")
+@query(
+    "event_xcorr_bootstrap",
+    PROFILE
+    + """, num AS (SELECT user_id, e, row_number() OVER (PARTITION BY user_id ORDER BY e) - 1 AS pick, count(*) OVER (PARTITION BY user_id) AS n FROM (SELECT DISTINCT user_id, e FROM r)),
+    dr AS (SELECT user_id, rep, CAST('0x' || substr(md5(concat_ws('|', 0, user_id, rep, e)), 1, 12) AS BIGINT) % n AS pick FROM (SELECT *, unnest(range(1, 51)) AS rep FROM num WHERE n >= 4)),
+    mean AS (SELECT user_id, rep, lag, avg(r.r) AS v FROM dr JOIN num USING (user_id, pick) JOIN r USING (user_id, e) GROUP BY ALL),
+    peak AS (SELECT user_id, rep, arg_min(lag, (-round(v, 12), lag)) AS lag FROM mean GROUP BY ALL)
+    SELECT user_id, round(quantile_cont(lag, 0.025), 6) AS lag_lo, round(quantile_cont(lag, 0.975), 6) AS lag_hi, round(quantile_cont(lag, 0.975) - quantile_cont(lag, 0.025), 6) AS ci_width FROM peak GROUP BY user_id""",
+)
 def event_xcorr_bootstrap(spark, sf_dir):
-    return stats.bootstrap_peak(profiles(spark, sf_dir), K, 3, 50, 0, 4)
+    return rounded(stats.bootstrap_peak(profiles(spark, sf_dir), K, 3, 50, 0, 4), "lag_lo", "lag_hi", "ci_width")
 
 
 @query(

@@ -1,38 +1,27 @@
 """Resumable processing of files that keep arriving.
 
-A job that is run again skips finished keys. A file stream with a checkpoint does the
-same incrementally: it takes the files it has not seen, processes them with a batch function and
-remembers them once they are written. Run with `available_now`, it is a batch job that resumes.
+A file stream with a checkpoint takes the files it has not seen, processes them with a batch function and remembers them once they
+are written. Run with `available_now`, it is a batch job that resumes. A batch is written under its number and replaces what an earlier
+attempt of it left, so a batch that is repeated adds nothing, and a later file is never skipped, whatever its keys.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming.query import StreamingQuery
 from pyspark.sql.types import StructType
 
-from ..operators.relations import skip_done
-
 
 def resumable_ingest(
-    spark: SparkSession, source: str, schema: StructType | str, target: str, checkpoint: str, keys: Sequence[str],
+    spark: SparkSession, source: str, schema: StructType | str, target: str, checkpoint: str,
     process: Callable[[DataFrame], DataFrame], fmt: str = "parquet",
 ) -> StreamingQuery:
-    """Process new files of `source` into `target`, once per key, and stop.
-
-    Keys already in the target are skipped, so a batch repeated after a failure adds nothing.
-    """
+    """Process new files of `source` into `target`, each once, and stop. The target has a partition column `batch`."""
 
-    def write(batch: DataFrame, _: int) -> None:
-        session = batch.sparkSession
-        todo = batch
-        done = _read(session, target)
-        if done is not None:
-            todo = skip_done(batch, done, keys)
-        process(todo).write.mode("append").parquet(target)
+    def write(batch: DataFrame, number: int) -> None:
+        process(batch).write.mode("overwrite").parquet(f"{target}/batch={number}")
 
     stream = spark.readStream.schema(schema).format(fmt).load(source)
     return (
@@ -41,13 +30,3 @@ def resumable_ingest(
         .trigger(availableNow=True)
         .start()
     )
-
-
-def _read(spark: SparkSession, path: str) -> DataFrame | None:
-    """The target so far, or nothing before the first batch."""
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return None
-        raise
