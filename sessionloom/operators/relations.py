@@ -154,11 +154,10 @@ def stratified_sample(
 ) -> DataFrame:
     """A seeded sample of `n` items per stratum, spread over the sessions.
 
-    Items are drawn in hash order: at most `per_session` candidates of each session and
-    stratum, every session's first candidate before any second one. Two combinable steps
-    keep the ranking to the candidates.
+    Items are drawn in the order of an MD5: at most `per_session` candidates of each session and stratum, every session's
+    first candidate before any second one. Only the best `n` of each of 256 parts of a stratum are ranked together.
     """
-    keyed = df.select(*k, stratum, item).withColumn("_h", F.xxhash64(F.lit(seed), *k, stratum, item))
+    keyed = df.select(*k, stratum, item).withColumn("_h", F.md5(F.concat_ws("|", F.lit(seed), *k, stratum, item)))
     first = keyed.groupBy(*k, stratum).agg(F.min(F.struct("_h", item)).alias("_x"))
     candidates = first.withColumn("_round", F.lit(1))
     rest = keyed
@@ -167,9 +166,11 @@ def stratified_sample(
         rest = rest.join(taken, [*k, stratum]).filter(F.struct("_h", item) > F.col("_last")).drop("_last")
         first = rest.groupBy(*k, stratum).agg(F.min(F.struct("_h", item)).alias("_x"))
         candidates = candidates.unionByName(first.withColumn("_round", F.lit(draw)))
-    order = Window.partitionBy(stratum).orderBy("_round", "_x")
+    order = ("_round", "_x")
+    salted = candidates.withColumn("_salt", F.substring("_x._h", 1, 2))
+    best = salted.withColumn("_rank", F.row_number().over(Window.partitionBy(stratum, "_salt").orderBy(*order))).filter(F.col("_rank") <= n)
     return (
-        candidates.withColumn("_rank", F.row_number().over(order))
+        best.withColumn("_rank", F.row_number().over(Window.partitionBy(stratum).orderBy(*order)))
         .filter(F.col("_rank") <= n)
         .select(*k, stratum, F.col(f"_x.{item}").alias(item), F.col("_rank").alias("position"))
     )

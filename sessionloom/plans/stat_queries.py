@@ -481,13 +481,30 @@ def fold_sizes(spark, sf_dir):
     return relations.fold_sizes(events(spark, sf_dir), "user_id")
 
 
-@query("leaking_groups", "SELECT fold, event_type, roles FROM (SELECT '' AS fold, '' AS event_type, CAST(2 AS BIGINT) AS roles) WHERE false")
+@query(
+    "leaking_groups",
+    """SELECT 'f' || CAST(user_id % 3 AS VARCHAR) AS fold, user_id, count(DISTINCT event_id % 2) AS roles FROM events GROUP BY ALL HAVING count(DISTINCT event_id % 2) > 1""",
+)
 def leaking_groups(spark, sf_dir):
+    """A split by row instead of by session leaks."""
+    role = F.when(F.pmod("event_id", F.lit(2)) == 0, "train").otherwise("test")
+    fold = F.concat(F.lit("f"), F.pmod("user_id", F.lit(3)).cast("string"))
+    return relations.leaking_groups(events(spark, sf_dir).withColumns({"fold": fold, "role": role}), "user_id")
+
+
+@query("sound_folds", "SELECT fold, event_type, roles FROM (SELECT '' AS fold, '' AS event_type, CAST(2 AS BIGINT) AS roles) WHERE false")
+def sound_folds(spark, sf_dir):
     kinds = ["click", "error", "purchase", "signup", "view"]
     return relations.leaking_groups(relations.leave_one_group_out(events(spark, sf_dir), "event_type", kinds), "event_type")
 
 
-@query("stratified_sample")
+@query(
+    "stratified_sample",
+    """WITH h AS (SELECT user_id, event_type, event_id, md5(concat_ws('|', 7, user_id, event_type, event_id)) AS h FROM events),
+    c AS (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY h, event_id) AS r FROM h),
+    p AS (SELECT user_id, event_type, event_id, CAST(row_number() OVER (PARTITION BY event_type ORDER BY r, h, event_id) AS INT) AS position FROM c WHERE r <= 2)
+    SELECT * FROM p WHERE position <= 40""",
+)
 def stratified_sample(spark, sf_dir):
     return relations.stratified_sample(events(spark, sf_dir), K, "event_type", "event_id", 40, 2, 7)
 
