@@ -38,6 +38,7 @@ def hhmmss_to_seconds(c: Column | str) -> Column:
 def parse_degree_minutes(c: Column | str, plain_float: bool = True) -> Column:
     """`24°44.742936 N` in signed degrees, south and west negative (P5)."""
     text = F.trim(col(c).cast("string"))
+    # fixed value: the logger's format
     shape = r"^(\d+)\s*[°º]\s*([\d.]+)\s*'?\s*([NSEWnsew])"
     degrees = F.regexp_extract(text, shape, 1).try_cast("double")
     minutes = F.regexp_extract(text, shape, 2).try_cast("double")
@@ -49,6 +50,7 @@ def parse_degree_minutes(c: Column | str, plain_float: bool = True) -> Column:
 
 def stamp_to_epoch(c: Column | str, utc_offset_h: int = 3, micros: bool = False) -> Column:
     """First `YYYY-MM-DD_HH-MM-SS[-fraction]` in a text as epoch seconds."""
+    # fixed value: the recorder's file names
     shape = r"(\d{4}-\d{2}-\d{2})_(\d{2})-(\d{2})-(\d{2})(?:-(\d+))?"
 
     def part(n: int) -> Column:

@@ -320,6 +320,7 @@ def native_candidates(df: DataFrame, k: Sequence[str], v: str, present: str, i="
 
     bent = blocks.over_blocks(scaled, k, 1, 1, bend, i, block)
     edge = F.col(i).isin(F.col("run_i0"), F.col("run_i1"))
+    # fixed value: a second difference below this part of the peak is rounding
     kink = F.col("_bend") > 1e-7 * F.greatest(F.lit(1.0), F.col("_peak"))
     return bent.filter(edge | kink).drop("_bend", "_peak", "run_i0", "run_i1")
 
@@ -485,6 +486,7 @@ def stop_verdict(at: Column, later: Column, control: Column) -> Column:
     """Whether the scene stands still at the stop instant, from change ratios."""
     base = F.greatest(control, F.lit(1e-6))
     now, then = at / base, later / base
+    # fixed values: below 0.35 of the control the scene stands, above 0.5 it moves
     return (
         F.when((now < 0.35) & (then > 0.5), "aligned, moving after the lead")
         .when(now < 0.35, "aligned")

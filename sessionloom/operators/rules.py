@@ -35,6 +35,7 @@ G_MS2 = 9.81
 class Rule:
     """Parameters of the smoothed rule; lengths in samples, accelerations in g."""
 
+    # fixed values: the adopted rule's
     smooth_n: int = 13
     median_n: int = 5
     close_n: int = 5

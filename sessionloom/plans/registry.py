@@ -39,14 +39,14 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @cache
-def _width(sf_dir: str, k: tuple[str, ...]) -> float:
+def _width(session: str, sf_dir: str, k: tuple[str, ...]) -> float:
     spark = SparkSession.active()
     return blocks.pick_width(events(spark, sf_dir), k, "t")
 
 
 def width(sf_dir: str, *k: str) -> float:
-    """Chunk width in seconds for series keyed by `k`, measured once per table."""
-    return _width(sf_dir, k or ("user_id",))
+    """Chunk width in seconds for series keyed by `k`, measured once per table and application."""
+    return _width(SparkSession.active().sparkContext.applicationId, sf_dir, k or ("user_id",))
 
 
 def series(spark: SparkSession, sf_dir: str, *k: str) -> DataFrame:
