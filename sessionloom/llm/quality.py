@@ -29,7 +29,7 @@ EPOCHS = 6
 STEPS = 6000
 RATE = 0.5
 #: The bound of the sample of labelled rows.
-TRAIN_ROWS = 3000
+TRAIN_ROWS = 1500
 FOLDS = 3
 HELD_OUT = 1
 
