@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import LOWER, NOT_BLANK, Texts, owner, prefix_sums, query, settle, stretch_hash, table, texts, words
-from .repeats import shards, text_classes
+from .repeats import shards, text_classes, text_key
 
 N = 5
 PERCENT = 80
@@ -37,7 +37,8 @@ PERCENT = 80
 PER_COUNTER = 64
 COUNTERS = (1 << 16, 1 << 26)
 BLOCK = 1 << 16
-PAIR_ROWS = 512
+#: Pairs that one numpy pass looks at.
+PAIRS = 1 << 20
 #: Bytes of a block of columns.
 MATRIX_BYTES = 4 << 20
 
@@ -165,26 +166,30 @@ def crossings(rows: pa.Table, percent: int = PERCENT) -> pa.Table:
     """Pairs of different components in a column; those with the pivot were settled before."""
     gram, node, meta, comp, pivot = (rows[c].to_numpy() for c in ("gram", "node", "meta", "comp", "pivot"))
     order = np.lexsort((meta >> 40, gram))
-    gram, node, meta, comp, pivot = (x[order] for x in (gram, node, meta, comp, pivot))
+    gram, comp = gram[order], comp[order]
     head = np.flatnonzero(np.concatenate([[True], gram[1:] != gram[:-1]])) if len(gram) else np.empty(0, np.int64)
-    out = []
-    for lo, hi in zip(head, np.append(head[1:], len(gram))):
-        if (comp[lo:hi] == comp[lo]).all():
-            continue
-        size = meta[lo:hi] >> 40
-        # partners stand behind, up to the size at which even equal n-grams are too few
-        reach = np.searchsorted(size, size * 100 // percent, side="right")
-        for at in range(0, hi - lo, PAIR_ROWS):
-            stop = min(at + PAIR_ROWS, hi - lo)
-            width = reach[at:stop] - np.arange(at, stop) - 1
-            x = np.repeat(np.arange(at, stop), width) + lo
-            y = np.arange(int(width.sum())) + np.repeat(np.arange(at, stop) + 1 - (np.cumsum(width) - width), width) + lo
-            ok = (comp[x] != comp[y]) & (node[x] != pivot[x]) & (node[y] != pivot[x])
-            x, y = x[ok], y[ok]
-            ok = possible(meta[x], meta[y], percent)
-            out.append(np.column_stack([np.minimum(node[x], node[y])[ok], np.maximum(node[x], node[y])[ok]]))
-            if sum(map(len, out)) > 1 << 21:
-                out = [np.unique(np.concatenate(out), axis=0)]
+    column = np.repeat(np.arange(len(head)), np.diff(np.append(head, len(gram))))
+    # columns of one component have nothing to tell
+    mixed = (np.minimum.reduceat(comp, head) < np.maximum.reduceat(comp, head))[column] if len(head) else np.empty(0, bool)
+    order, comp, column = order[mixed], comp[mixed], column[mixed]
+    node, meta, pivot = node[order], meta[order], pivot[order]
+    size = meta >> 40
+    # partners stand behind, up to the size at which even equal n-grams are too few
+    place = np.arange(len(size))
+    width = np.searchsorted((column << 32) | size, (column << 32) | (size * 100 // percent), side="right") - place - 1
+    out, at, run = [], 0, np.concatenate([[0], np.cumsum(width)])
+    while at < len(size):
+        stop = max(at + 1, int(np.searchsorted(run, run[at] + PAIRS, side="right")) - 1)
+        w = width[at:stop]
+        x = np.repeat(place[at:stop], w)
+        y = np.arange(len(x)) + np.repeat(place[at:stop] + 1 - (np.cumsum(w) - w), w)
+        at = stop
+        ok = (comp[x] != comp[y]) & (node[x] != pivot[x]) & (node[y] != pivot[x])
+        x, y = x[ok], y[ok]
+        ok = possible(meta[x], meta[y], percent)
+        out.append(np.column_stack([np.minimum(node[x], node[y])[ok], np.maximum(node[x], node[y])[ok]]))
+        if sum(map(len, out)) > PAIRS:
+            out = [np.unique(np.concatenate(out), axis=0)]
     pair, count = np.unique(np.concatenate(out), axis=0, return_counts=True) if out else (np.empty((0, 2), np.int64), np.empty(0, np.int64))
     return pa.table({"a": pa.array(pair[:, 0], pa.int64()), "b": pa.array(pair[:, 1], pa.int64()), "shared": pa.array(count, pa.int64())})
 
@@ -250,7 +255,7 @@ def jaccard_components(docs: DataFrame, n: int = N, percent: int = PERCENT, id_c
     label = components(settle(first.unionByName(second), "links"))
     size = counted.where("block IS NULL").select("key", "size")
     named = classes.select("key", "lead").join(size, "key").join(label.select(F.col("node").alias("lead"), "comp"), "lead", "left")
-    sized = own.select("doc_id", F.unhex(F.md5(F.coalesce("text", F.lit("")))).alias("key")).join(named, "key")
+    sized = own.select("doc_id", text_key(F.col("text")).alias("key")).join(named, "key")
     return sized.select(
         "doc_id", F.col("size").alias("n_shingles"),
         F.when(F.col("size") > 0, F.when(F.col("doc_id").isNotNull(), F.coalesce("comp", "lead"))).otherwise(F.col("doc_id")).alias("component_id"),

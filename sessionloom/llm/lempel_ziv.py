@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import NOT_BLANK, prefix_sums, query, stretch_hash, table, texts, words
-from .repeats import distinct_regions, find_regions, place, region_symbols, repeated, shards, text_classes
+from .repeats import distinct_regions, find_regions, place, region_symbols, repeated, shards, text_classes, text_key
 from .suffix_dedup import covered, runs
 
 WINDOW = 20
@@ -153,7 +153,7 @@ def cut_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, id_col:
     kind = classes.schema["lead"].dataType.simpleString()
     done = classes.join(spans, "key", "left").select("key", "text", "spans", "lead").mapInArrow(cut, f"key binary, n_words long, n_removed long, sha string, kept string, lead {kind}")
     # rows that share id and text: the first of them may be the first of its text, all others come later
-    rows = docs.groupBy(F.col(id_col).alias("doc_id"), F.unhex(F.md5(F.coalesce(F.col(text_col), F.lit("")))).alias("key")).agg(F.count("*").alias("copies"))
+    rows = docs.groupBy(F.col(id_col).alias("doc_id"), text_key(F.col(text_col)).alias("key")).agg(F.count("*").alias("copies"))
     rows = rows.select("doc_id", "key", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("nth"))
     leads = F.col("doc_id").eqNullSafe(F.col("lead")) & (F.col("nth") == 1)
     whole = ~leads & (F.col("n_words") >= window)

@@ -25,6 +25,11 @@ from .common import prefix_sums, settle, stretch_hash
 HOT = 20_000
 
 
+def text_key(text):
+    """88 bits of the text's hash: enough to tell 10^11 texts apart, and a third less to shuffle than all of it. Null counts as empty."""
+    return F.substring(F.unhex(F.md5(F.coalesce(text, F.lit("")))), 1, 11)
+
+
 def text_classes(docs: DataFrame, id_col: str, text_col: str, least: int, null_leads: bool = True) -> DataFrame:
     """Distinct texts of at least `least` bytes: (key, text, n rows, lead smallest id), bucketed by key for the joins that follow.
     A null id is the smallest, or with `null_leads` off not looked at while there are others.
@@ -33,7 +38,7 @@ def text_classes(docs: DataFrame, id_col: str, text_col: str, least: int, null_l
     """
     spark = docs.sparkSession
     bare = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(F.unhex(F.md5(bare)).alias("key"), bare.alias("text"), F.col(id_col).alias("id")).where(F.octet_length("text") >= least)
+    rows = docs.select(text_key(bare).alias("key"), bare.alias("text"), F.col(id_col).alias("id")).where(F.octet_length("text") >= least)
     lead = F.min(F.struct("id")).getField("id") if null_leads else F.min("id")
     classes = rows.groupBy("key").agg(F.first("text").alias("text"), F.count("*").alias("n"), lead.alias("lead"))
     name = f"llm_classes_{uuid.uuid4().hex}"
@@ -120,18 +125,18 @@ def repeated(regions: DataFrame) -> DataFrame:
 
 
 def distinct_regions(members: DataFrame, order: list[str]) -> DataFrame:
-    """One row for each (fp, r): places, and the member that comes first by `order`, which ends with key and w; and whether its k-gram is hot."""
-    each = members.groupBy("fp", "r").agg(times().alias("total"), F.min(F.struct(*order)).alias("rep"))
+    """One row for each (fp, r): places, whether it has one member alone, and the member that comes first by `order`, which ends with key and w; and whether its k-gram is hot."""
+    each = members.groupBy("fp", "r").agg(times().alias("total"), (F.count("*") == 1).alias("alone"), F.min(F.struct(*order)).alias("rep"))
     hot = each.groupBy("fp").agg(F.count("*").alias("d")).where(F.col("d") > HOT).select("fp", F.lit(True).alias("hot"))
     return each.join(hot, "fp", "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
 
 
 def region_symbols(classes: DataFrame, distinct: DataFrame, symbols: Splitter, window: int, dtype: str) -> DataFrame:
-    """The symbols of every distinct region, dealt into shards: (shard_key, fp, r, off, many, body binary, total, rep).
+    """The symbols of every distinct region, dealt into shards: (shard_key, fp, r, off, many, body binary, total, alone, rep).
 
     off: windows of the region that come before this part; parts arise where a hot k-gram was split.
     """
-    wanted = distinct.groupBy("rep.key").agg(F.collect_list(F.struct("fp", "r", "total", "hot", "rep")).alias("parts"))
+    wanted = distinct.groupBy("rep.key").agg(F.collect_list(F.struct("fp", "r", "total", "alone", "hot", "rep")).alias("parts"))
     # a text's parts are bounded by its length, and their number is that of its regions
     rows = classes.select("key", "text").join(wanted, "key").select("text", "parts")
     sub = max(1, window // 16)
@@ -150,8 +155,8 @@ def region_symbols(classes: DataFrame, distinct: DataFrame, symbols: Splitter, w
             def flush():
                 at = pa.array(out["at"], pa.int64())
                 made = pa.RecordBatch.from_arrays(
-                    [pa.array(out["shard"], pa.int64()), flat.field("fp").take(at), flat.field("r").take(at), pa.array(out["off"], pa.int32()), pa.array(out["many"], pa.int32()), pa.array(out["body"], pa.binary()), flat.field("total").take(at), rep.take(at)],
-                    names=["shard_key", "fp", "r", "off", "many", "body", "total", "rep"],
+                    [pa.array(out["shard"], pa.int64()), flat.field("fp").take(at), flat.field("r").take(at), pa.array(out["off"], pa.int32()), pa.array(out["many"], pa.int32()), pa.array(out["body"], pa.binary()), flat.field("total").take(at), flat.field("alone").take(at), rep.take(at)],
+                    names=["shard_key", "fp", "r", "off", "many", "body", "total", "alone", "rep"],
                 )
                 for x in out.values():
                     x.clear()
@@ -188,7 +193,7 @@ def region_symbols(classes: DataFrame, distinct: DataFrame, symbols: Splitter, w
             if out["at"]:
                 yield flush()
 
-    schema = f"shard_key long, fp long, r long, off int, many int, body binary, total long, rep {rep_type}"
+    schema = f"shard_key long, fp long, r long, off int, many int, body binary, total long, alone boolean, rep {rep_type}"
     return rows.mapInArrow(run, schema)
 
 

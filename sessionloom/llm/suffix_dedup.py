@@ -18,8 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import prefix_sums, query, stretch_hash, table, texts
-from .repeats import distinct_regions, find_regions, place, region_symbols, repeated, shards, text_classes
+from .common import prefix_sums, query, settle, stretch_hash, table, texts
+from .repeats import distinct_regions, find_regions, place, region_symbols, repeated, shards, text_classes, text_key
 from .suffix import common_prefixes, suffix_array
 
 WINDOW = 400
@@ -64,7 +64,7 @@ def runs(on: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(begin), np.flatnonzero(end) + 1
 
 
-RESULT = "fp long, r long, start int, stop int"
+RESULT = "fp long, r long, start int, stop int, alone boolean, key binary, w long"
 
 
 def solve_shard(rows: pa.Table, window: int = WINDOW) -> pa.Table:
@@ -77,7 +77,9 @@ def solve_shard(rows: pa.Table, window: int = WINDOW) -> pa.Table:
     begin, end = runs(on, owner)
     own = owner[begin] if len(begin) else np.empty(0, np.int64)
     base = (np.cumsum(many) - many)[own] - off[own]
-    return pa.table({"fp": pa.array(fp[own]), "r": pa.array(r[own]), "start": pa.array(begin - base, pa.int32()), "stop": pa.array(end - base, pa.int32())})
+    at, rep = pa.array(own, pa.int64()), rows["rep"].combine_chunks()
+    return pa.table({"fp": pa.array(fp[own]), "r": pa.array(r[own]), "start": pa.array(begin - base, pa.int32()), "stop": pa.array(end - base, pa.int32()),
+                     "alone": rows["alone"].take(at), "key": rep.field("key").take(at), "w": rep.field("w").take(at)})
 
 
 def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text"):
@@ -85,9 +87,12 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, id_c
     classes = text_classes(docs, id_col, text_col, window)
     members = repeated(find_regions(classes, byte_symbols, window, gram))
     parts = region_symbols(classes, distinct_regions(members, ["key", "w"]), byte_symbols, window, "u1")
-    found = shards(parts, solve_shard if window == WINDOW else lambda rows: solve_shard(rows, window), RESULT, SHARD_BYTES)
+    found = settle(shards(parts, lambda rows: solve_shard(rows, window), RESULT, SHARD_BYTES), "repeats")
+    # most regions stand in one place, which is known; only those that equal another are looked up by member
     lo = place(F.col("w"))[0].cast("int")
-    spans = members.join(found, ["fp", "r"]).groupBy("key").agg(F.collect_list(F.struct((lo + F.col("start")).alias("a"), (lo + F.col("stop")).alias("b"))).alias("spans"))
+    stretch = [(lo + F.col("start")).alias("a"), (lo + F.col("stop")).alias("b")]
+    shared = members.join(found.where("NOT alone").select("fp", "r", "start", "stop"), ["fp", "r"]).select("key", *stretch)
+    spans = found.where("alone").select("key", *stretch).unionByName(shared).groupBy("key").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
     return classes, spans
 
 
@@ -129,7 +134,7 @@ def cut_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, id_col:
     done = classes.select("key", "text").join(spans, "key").mapInArrow(cut, "key binary, removed long, spans long, sha string, kept string")
     bare = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(
-        F.struct(*[F.col(c) for c in keep or docs.columns]).alias("row"), F.unhex(F.md5(text_col)).alias("key"),
+        F.struct(*[F.col(c) for c in keep or docs.columns]).alias("row"), text_key(F.col(text_col)).alias("key"),
         F.octet_length(bare).cast("long").alias("n_bytes"), F.sha2(bare, 256).alias("whole"), *([F.col(text_col).alias("text")] if with_text else []),
     )
     zero = F.lit(0).cast("long")
