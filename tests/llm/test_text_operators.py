@@ -385,6 +385,7 @@ def test_attention_gradients():
         up[name][at] += 1e-4
         down[name][at] -= 1e-4
         assert abs((loss(up) - loss(down)) / 2e-4 - g[name][at]) < 1e-3 * max(1, abs(g[name][at]))
+    assert np.allclose(A.infer(A.start(1), slots, pad), A.forward(A.start(1), slots, pad)[-1], atol=1e-4)
     # probabilities of all next ids sum to one
     total = np.exp(know.inside + 0.0)
     assert np.allclose(np.bincount(know.cls, total, minlength=A.CLASSES)[np.unique(know.cls)], 1, atol=1e-4)
