@@ -16,6 +16,8 @@ SLOTS = 4096
 SCORED = 24
 SEEN = 8
 WIDTH = SCORED + SEEN
+#: Windows that training lays out at a time.
+HELD = 4096
 
 SHAPES = {"emb": (SLOTS + 1, DIM), "pos": (WIDTH, DIM), "qkv": (DIM, 3 * DIM), "out": (DIM, DIM), "up": (DIM, HIDDEN), "down": (HIDDEN, DIM), "cls": (DIM, CLASSES), "bias": (CLASSES,)}
 CAUSAL = np.where(np.arange(WIDTH)[None, :] <= np.arange(SEEN, WIDTH)[:, None], 0, -1e9).astype(np.float32)
@@ -49,12 +51,17 @@ class Ids:
         self.prior = np.log(np.bincount(cls, c, minlength=CLASSES) / c.sum() + 1e-12).astype(np.float32)
 
 
-def windows(ids: np.ndarray, first: np.ndarray, know: Ids, end: int):
-    """(slots, pad, target ids, valid): every window of the texts ids[first[i]:first[i + 1]]; the end of a text is scored too."""
+def numbered(first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(own, nth): the text of every window and its number within it; the end of a text is scored too."""
+    many = -(-(np.diff(first) + 1) // SCORED)
+    own = np.repeat(np.arange(len(many)), many)
+    return own, np.arange(len(own)) - np.repeat(np.cumsum(many) - many, many)
+
+
+def windows(ids: np.ndarray, first: np.ndarray, know: Ids, end: int, pick: tuple[np.ndarray, np.ndarray] | None = None):
+    """(slots, pad, target ids, valid, own): every window of the texts ids[first[i]:first[i + 1]], or those that `pick` has as (own, nth)."""
     size = np.diff(first) + 1
-    many = -(-size // SCORED)
-    own = np.repeat(np.arange(len(size)), many)
-    nth = np.arange(len(own)) - np.repeat(np.cumsum(many) - many, many)
+    own, nth = numbered(first) if pick is None else pick
     # place p of a text reads id p - 1 (the start mark at 0) and scores id p
     place = nth[:, None] * SCORED - SEEN + np.arange(WIDTH)[None, :]
     at = first[:-1][own][:, None] + place
@@ -158,15 +165,19 @@ def gradients(p, slots, pad, target_cls, valid):
 
 
 def train(p, know: Ids, ids, first, end, batch: int = 16, rate: float = 0.01, seed: int = 0):
-    """One pass of Adam over the texts' windows in random order; returns the parameters and the number of windows."""
-    slots, pad, target, valid, _ = windows(ids, first, know, end)
-    cls = know.cls[target]
+    """One pass of Adam over the texts' windows in random order; returns the parameters and the number of windows. Windows are laid
+    out `HELD` at a time, so that memory goes with the ids alone."""
+    own, nth = numbered(first)
     p = {k: v.copy() for k, v in p.items()}
     mean, square = ({k: np.zeros_like(v) for k, v in p.items()} for _ in range(2))
-    order = np.random.default_rng(seed).permutation(len(slots))
-    steps = -(-len(order) // batch)
+    order = np.random.default_rng(seed).permutation(len(own))
+    steps, held = -(-len(order) // batch), HELD // batch
     for step in range(steps):
-        at = order[step * batch : (step + 1) * batch]
+        if step % held == 0:
+            pick = order[step * batch : (step + held) * batch]
+            slots, pad, target, valid, _ = windows(ids, first, know, end, (own[pick], nth[pick]))
+            cls = know.cls[target]
+        at = slice(step % held * batch, (step % held + 1) * batch)
         g, dx = gradients(p, slots[at], pad[at], cls[at].reshape(-1), valid[at].reshape(-1))
         now = rate * (1 - step / steps) + rate / 50
         for name, d in g.items():
@@ -182,7 +193,7 @@ def train(p, know: Ids, ids, first, end, batch: int = 16, rate: float = 0.01, se
         s = square["emb"]
         s[rows] += d * d
         p["emb"][rows] -= now * 5 * d / (np.sqrt(s[rows]) + 1e-6)
-    return p, len(slots)
+    return p, len(order)
 
 
 def pack(p) -> bytes:

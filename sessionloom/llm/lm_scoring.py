@@ -2,8 +2,8 @@
 
 One pass turns all texts into subword ids and counts words and ids of the training documents. Word counts, however many words there are, stay
 in a table: the `HEAD` most frequent words are sent to every task, a bounded number, and the rare rest is joined by word. The attention
-model is trained by tasks on a fixed share (1 of `TRAIN_SHARE`) of the training documents, so training grows with the input; after each
-round the tasks' parameters are averaged, weighted by their windows.
+model is trained by tasks on all training documents, each in one of `ROUNDS` rounds; after each round the tasks' parameters are
+averaged, weighted by their windows.
 
 Defined cases: a null or empty text is the end token alone. Rows that repeat are scored each and teach each. The fold is decided by the id; a null
 id counts as the text "" there. Without training documents the model is its random start and all words are unknown. Only id and text
@@ -27,7 +27,6 @@ from .tokens import VOCABULARY, encoding
 
 FOLDS, HELD_OUT = 7, 2
 HEAD = 1 << 20
-TRAIN_SHARE = 24
 ROUNDS = 2
 BUCKETS = 256
 #: Distinct words that a task holds before it hands them on.
@@ -126,20 +125,21 @@ def _total(rows: DataFrame, column: str, kind: str, key: str = "part"):
     return sum(np.frombuffer(zlib.decompress(r[column]), kind) for r in got) if got else None
 
 
-def fit(prepared: DataFrame, know: attention.Ids, rounds: int = ROUNDS, share: int = TRAIN_SHARE) -> dict[str, np.ndarray]:
-    """Parameters after `rounds` rounds; each round trains on its own part of the sampled documents, in parallel from the same start."""
+def fit(prepared: DataFrame, know: attention.Ids, rounds: int = ROUNDS) -> dict[str, np.ndarray]:
+    """Parameters after `rounds` rounds, which deal all training documents among them; a round's tasks train in parallel from the same start."""
     spark = prepared.sparkSession
     p = attention.start()
-    draw = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(share * rounds))
+    draw = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(rounds))
     for n in range(rounds):
         rows = prepared.where(F.col("bucket").isNull() & F.col("train") & (draw == n)).select("ids")
         shared = spark.sparkContext.broadcast((p, know))
 
         def run(batches, shared=shared, n=n):
             p, know = shared.value
-            ids = [np.frombuffer(b, "<u2") for batch in batches for b in batch.column(0).to_pylist()]
+            # two bytes an id are held, the windows are not
+            ids = [(np.frombuffer(t.data.tobytes(), "<u2"), np.diff(t.at) // 2) for batch in batches for t in texts(batch.column(0))]
             if ids:
-                flat, first = np.concatenate(ids).astype(np.int64), np.concatenate([[0], np.cumsum([len(x) for x in ids])])
+                flat, first = np.concatenate([x for x, _ in ids]), np.concatenate([[0], np.cumsum(np.concatenate([n for _, n in ids]))])
                 new, weight = attention.train(p, know, flat, first, END, seed=n)
                 body = np.append(np.frombuffer(attention.pack(new), "<f4") * np.float64(weight), weight)
                 yield pa.RecordBatch.from_arrays([pa.array([zlib.compress(body.astype("<f8").tobytes(), 1)], pa.binary())], names=["body"])

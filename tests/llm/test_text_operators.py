@@ -13,7 +13,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from sessionloom.llm import decontaminate, jaccard, lempel_ziv, lm_scoring, packing, quality, repeats, sharding, suffix, suffix_dedup, tokens
+from sessionloom.llm import attention, decontaminate, jaccard, lempel_ziv, lm_scoring, packing, quality, repeats, sharding, suffix, suffix_dedup, tokens
 from sessionloom.llm.common import QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -359,6 +359,31 @@ def test_lm_query(spark):
     check_scores(QUERIES["op7_lm_scoring"](spark, SF).collect(), small(spark))
 
 
+def test_lm_learns_from_every_training_document(spark):
+    """An id moves its row of the embedding when it is read; every document has ids of its own."""
+    enc = tokens.encoding(tokens.VOCABULARY)
+    held = lambda d: zlib.crc32(str(d).encode()) % 7 == 2
+    rows = [(d, "".join(enc.decode([i]) for i in range(1000 + 20 * d, 1020 + 20 * d))) for d in range(60)]
+    prepared = lm_scoring.prepare(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), "doc_id", "text", tokens.VOCABULARY)
+    ids = {r.doc_id: np.frombuffer(r.ids, "<u2") for r in prepared.where("bucket IS NULL").select("doc_id", "ids").collect()}
+    know = attention.Ids(lm_scoring._total(prepared.where("bucket = -1").select("body"), "body", "<i8"))
+    new, old = lm_scoring.fit(prepared, know)["emb"], attention.start()["emb"]
+    moved = (new != old).any(axis=1)
+    taught = {i for d, own in ids.items() if not held(d) for i in own.tolist()}
+    assert len(ids) == 60 and all(moved[know.slot[list(taught)]])
+    others = {i for own in ids.values() for i in own.tolist()} - taught
+    assert others and not moved[know.slot[list(others)]].any()
+
+
+def test_training_lays_out_windows_in_parts(monkeypatch):
+    ids, first = np.random.default_rng(0).integers(0, 59, 4000).astype("<u2"), np.array([0, 900, 900, 4000])
+    know = attention.Ids(np.arange(60)[::-1])
+    whole, n = attention.train(attention.start(), know, ids, first, 59)
+    monkeypatch.setattr(attention, "HELD", 48)
+    parts, m = attention.train(attention.start(), know, ids, first, 59)
+    assert n == m == 38 + 1 + 130 and all((whole[k] == parts[k]).all() for k in whole)
+
+
 def test_lm_empty(docs):
     assert lm_scoring.score(docs.limit(0)).count() == 0
 
