@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import NOT_BLANK, prefix_sums, query, stretch_hash, table, texts, words
-from .repeats import distinct_regions, find_regions, place, region_symbols, repeated, shards, text_classes, text_key
+from .repeats import distinct_regions, find_regions, hot_grams, hot_windows, place, region_symbols, repeated, shards, text_classes, text_key
 from .suffix_dedup import covered, runs
 
 WINDOW = 20
@@ -89,7 +89,7 @@ def solve_shard(rows: pa.Table, window: int = WINDOW) -> pa.Table:
     """(key, a, b): stretches of windows of each region's first place that start earlier."""
     rows = rows.combine_chunks()
     rep = rows["rep"].combine_chunks()
-    order = pa.table({"lead": rep.field("lead"), "key": rep.field("key"), "at": place(rep.field("w").to_numpy())[0] + rows["off"].to_numpy()})
+    order = pa.table({"lead": rep.field("lead"), "key": rep.field("key"), "at": place(rep.field("w").to_numpy())[0]})
     rows = rows.take(pa.compute.sort_indices(order, sort_keys=[("lead", "ascending"), ("key", "ascending"), ("at", "ascending")], null_placement="at_start"))
     rep = rows["rep"].combine_chunks()
     body = rows["body"].to_pylist()
@@ -100,7 +100,7 @@ def solve_shard(rows: pa.Table, window: int = WINDOW) -> pa.Table:
     owner = np.repeat(np.arange(len(many)), many)
     a, b = runs(on, owner)
     own = owner[a] if len(a) else np.empty(0, np.int64)
-    base = place(rep.field("w").to_numpy())[0][own] + rows["off"].to_numpy()[own] - (np.cumsum(many) - many)[own]
+    base = place(rep.field("w").to_numpy())[0][own] - (np.cumsum(many) - many)[own]
     return pa.table({"key": rep.field("key").take(pa.array(own)), "a": pa.array(a + base, pa.int32()), "b": pa.array(b + base, pa.int32())})
 
 
@@ -108,9 +108,17 @@ def earlier_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, id_co
     """(classes, spans): all distinct texts, and for each key its stretches (a, b) of windows that start earlier, for the first row of the text."""
     classes = text_classes(docs, id_col, text_col, 0)
     members = repeated(find_regions(classes, word_symbols, window, gram))
-    distinct = distinct_regions(members, ["lead", "key", "w"])
-    parts = region_symbols(classes, distinct, word_symbols, window, "u8")
+    order = ["lead", "key", "w"]
+    distinct = distinct_regions(members, order)
+    hot = hot_grams(members)
+    parts = region_symbols(classes, distinct if hot is None else distinct.join(hot, "fp", "left_anti"), word_symbols, window, "u8")
     first = shards(parts, lambda rows: solve_shard(rows, window), "key binary, a int, b int", SHARD_BYTES)
+    if hot is not None:
+        each = hot_windows(classes, distinct.join(hot, "fp", "left_semi"), word_symbols, window)
+        each = each.select("fp", "wh", F.struct("rep.lead", "rep.key", (place(F.col("rep.w"))[0].cast("int") + F.col("at")).alias("a")).alias("here"))
+        least = each.groupBy("fp", "wh").agg(F.count("*").alias("n"), F.min("here").alias("least")).where("n > 1").select("fp", "wh", "least")
+        again = each.join(least, ["fp", "wh"]).where("here.key <> least.key OR here.a <> least.a")
+        first = first.unionByName(again.select("here.key", "here.a", (F.col("here.a") + 1).alias("b")))
     # a region that equals one before it starts earlier in all its windows
     rep = distinct.select("fp", "r", F.col("rep.key").alias("rep_key"), F.col("rep.w").alias("rep_w"))
     lo, many, _ = place(F.col("w"))

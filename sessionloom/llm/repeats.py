@@ -5,9 +5,9 @@ equal ones), so equal windows belong to equal k-grams, wherever they stand. Wind
 form a region; a region whose k-gram occurs nowhere else cannot repeat and is left behind after one count. Equal regions are stored
 once. What is left is dealt by k-gram into shards, where an operator compares the regions' symbols themselves.
 
-A k-gram with more than `HOT` different regions, such as a common line shorter than a window, is split: its regions are cut into runs
-of a few windows, dealt by the hash of the symbols that all windows of the run share. That is nearly the whole window, so what meets in
-a group then is nearly equal.
+A k-gram with more than `HOT` different regions, such as a common line shorter than a window, never stands in a shard: every window of its
+regions is one row with the hash of all its symbols, and equal windows meet by aggregation, which partial sums reduce. Before that,
+runs of a few windows are left behind whose common symbols stand nowhere else.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import prefix_sums, settle, stretch_hash
+from .common import list_array, prefix_sums, settle, stretch_hash
 
 HOT = 20_000
 
@@ -124,22 +124,27 @@ def repeated(regions: DataFrame) -> DataFrame:
     return settle(regions.join(count.select("fp"), "fp"), "repeated")
 
 
+def hot_grams(members: DataFrame) -> DataFrame | None:
+    """(fp): the k-grams with more than `HOT` different regions, if there are any."""
+    busy = members.groupBy("fp").count().where(F.col("count") > HOT).select("fp")
+    each = members.join(busy, "fp", "left_semi").select("fp", "r").distinct().groupBy("fp").count()
+    hot = settle(each.where(F.col("count") > HOT).select("fp"), "hot")
+    return hot if hot.limit(1).count() else None
+
+
 def distinct_regions(members: DataFrame, order: list[str]) -> DataFrame:
-    """One row for each (fp, r): places, whether it has one member alone, and the member that comes first by `order`, which ends with key and w; and whether its k-gram is hot."""
-    each = members.groupBy("fp", "r").agg(times().alias("total"), (F.count("*") == 1).alias("alone"), F.min(F.struct(*order)).alias("rep"))
-    hot = each.groupBy("fp").agg(F.count("*").alias("d")).where(F.col("d") > HOT).select("fp", F.lit(True).alias("hot"))
-    return each.join(hot, "fp", "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
+    """One row for each (fp, r): places, whether it has one member alone, and the member that comes first by `order`, which ends with key and w."""
+    return members.groupBy("fp", "r").agg(times().alias("total"), (F.count("*") == 1).alias("alone"), F.min(F.struct(*order)).alias("rep"))
 
 
-def region_symbols(classes: DataFrame, distinct: DataFrame, symbols: Splitter, window: int, dtype: str) -> DataFrame:
-    """The symbols of every distinct region, dealt into shards: (shard_key, fp, r, off, many, body binary, total, alone, rep).
+def with_text(classes: DataFrame, distinct: DataFrame) -> DataFrame:
+    """(text, parts): the regions that are cut from each text; their number is bounded by its length."""
+    wanted = distinct.groupBy("rep.key").agg(F.collect_list(F.struct("fp", "r", "total", "alone", "rep")).alias("parts"))
+    return classes.select("key", "text").join(wanted, "key").select("text", "parts")
 
-    off: windows of the region that come before this part; parts arise where a hot k-gram was split.
-    """
-    wanted = distinct.groupBy("rep.key").agg(F.collect_list(F.struct("fp", "r", "total", "alone", "hot", "rep")).alias("parts"))
-    # a text's parts are bounded by its length, and their number is that of its regions
-    rows = classes.select("key", "text").join(wanted, "key").select("text", "parts")
-    sub = max(1, window // 16)
+
+def region_symbols(classes: DataFrame, distinct: DataFrame, symbols: Splitter, window: int, dtype: str) -> DataFrame:
+    """The symbols of every distinct region, dealt into shards: (shard_key, fp, r, many, body binary, total, alone, rep)."""
     rep_type = distinct.schema["rep"].dataType.simpleString()
 
     def run(batches):
@@ -147,54 +152,80 @@ def region_symbols(classes: DataFrame, distinct: DataFrame, symbols: Splitter, w
             parts = batch.column(1)
             cut = parts.offsets.to_numpy() - parts.offsets[0].as_py()
             flat = parts.flatten()
-            rep = flat.field("rep")
-            fps, hots = flat.field("fp").to_numpy(), flat.field("hot").to_numpy(zero_copy_only=False)
-            los, manys, ats = place(rep.field("w").to_numpy())
-            out = {n: [] for n in ("shard", "at", "off", "many", "body")}
+            rep, fps = flat.field("rep"), flat.field("fp")
+            los, manys, _ = place(rep.field("w").to_numpy())
+            rows, bodies = [], []
 
             def flush():
-                at = pa.array(out["at"], pa.int64())
+                at = pa.array(rows, pa.int64())
                 made = pa.RecordBatch.from_arrays(
-                    [pa.array(out["shard"], pa.int64()), flat.field("fp").take(at), flat.field("r").take(at), pa.array(out["off"], pa.int32()), pa.array(out["many"], pa.int32()), pa.array(out["body"], pa.binary()), flat.field("total").take(at), flat.field("alone").take(at), rep.take(at)],
-                    names=["shard_key", "fp", "r", "off", "many", "body", "total", "alone", "rep"],
+                    [fps.take(at), fps.take(at), flat.field("r").take(at), pa.array(manys[rows], pa.int32()), pa.array(bodies, pa.binary()), flat.field("total").take(at), flat.field("alone").take(at), rep.take(at)],
+                    names=["shard_key", "fp", "r", "many", "body", "total", "alone", "rep"],
                 )
-                for x in out.values():
-                    x.clear()
+                rows.clear()
+                bodies.clear()
                 return made
 
             for base, syms, first in symbols(batch.column(0)):
-                sums = None
                 for i in range(len(first) - 1):
                     for p in range(cut[base + i], cut[base + i + 1]):
                         lo, many = int(los[p]) + int(first[i]), int(manys[p])
-                        if not hots[p]:
-                            out["shard"].append(int(fps[p]))
-                            out["at"].append(p)
-                            out["off"].append(0)
-                            out["many"].append(many)
-                            out["body"].append(syms[lo : lo + many + window - 1].astype(dtype, copy=False).tobytes())
-                            continue
-                        sums = prefix_sums(syms) if sums is None else sums
-                        anchor, s = lo + int(ats[p]), lo
-                        while s < lo + many:
-                            # runs are cut at fixed distances before the k-gram, so equal windows fall into equal runs
-                            nth = (anchor - s) // sub
-                            last = anchor - nth * sub
-                            core = stretch_hash(sums, np.array([last]), np.array([last - sub + 1 + window])) + np.uint64(nth)
-                            stop = min(lo + many, last + 1)
-                            out["shard"].append(int(core.view(np.int64)[0]))
-                            out["at"].append(p)
-                            out["off"].append(s - lo)
-                            out["many"].append(stop - s)
-                            out["body"].append(syms[s : stop + window - 1].astype(dtype, copy=False).tobytes())
-                            s = stop
-                    if len(out["at"]) >= 4000:
+                        rows.append(p)
+                        bodies.append(syms[lo : lo + many + window - 1].astype(dtype, copy=False).tobytes())
+                    if len(rows) >= 4000:
                         yield flush()
-            if out["at"]:
+            if rows:
                 yield flush()
 
-    schema = f"shard_key long, fp long, r long, off int, many int, body binary, total long, alone boolean, rep {rep_type}"
-    return rows.mapInArrow(run, schema)
+    schema = f"shard_key long, fp long, r long, many int, body binary, total long, alone boolean, rep {rep_type}"
+    return with_text(classes, distinct).mapInArrow(run, schema)
+
+
+def hot_windows(classes: DataFrame, distinct: DataFrame, symbols: Splitter, window: int) -> DataFrame:
+    """Windows of the distinct regions of hot k-grams that may repeat, one a row: (fp, wh, r, at, total, alone, rep); at counts from the region's
+    first window, wh is the hash of the window's symbols."""
+    sub = max(1, window // 16)
+    rep_type = distinct.schema["rep"].dataType.simpleString()
+
+    def run(batches):
+        for batch in batches:
+            parts = batch.column(1)
+            cut = parts.offsets.to_numpy() - parts.offsets[0].as_py()
+            flat = parts.flatten()
+            rep = flat.field("rep")
+            los, manys, ats = place(rep.field("w").to_numpy())
+            for base, syms, first in symbols(batch.column(0)):
+                from_, to = cut[base], cut[base + len(first) - 1]
+                if from_ == to:
+                    continue
+                sums = prefix_sums(syms)
+                text_at = np.repeat(first[:-1], np.diff(cut[base : base + len(first)]))
+                many = manys[from_:to]
+                own = np.repeat(np.arange(to - from_), many)
+                off = np.arange(len(own)) - np.repeat(np.cumsum(many) - many, many)
+                begin = text_at[own] + los[from_:to][own] + off
+                wh = stretch_hash(sums, begin, begin + window).view(np.int64)
+                # runs are cut at fixed distances before the k-gram, so equal windows fall into runs that share these symbols
+                nth = (ats[from_:to][own] - off) // sub
+                head = np.flatnonzero(np.concatenate([[True], (nth[1:] != nth[:-1]) | (own[1:] != own[:-1])]))
+                last = begin[head] + (ats[from_:to][own] - off)[head] - nth[head] * sub
+                core = (stretch_hash(sums, last, last - sub + 1 + window) + nth[head].astype(np.uint64)).view(np.int64)
+                at = pa.array(own[head] + from_)
+                for lo in range(0, len(head), 4000):
+                    s = slice(lo, lo + 4000)
+                    edge = np.append(head, len(own))[lo : lo + 4001]
+                    yield pa.RecordBatch.from_arrays(
+                        [flat.field("fp").take(at[s]), pa.array(core[s]), flat.field("r").take(at[s]), pa.array(off[head[s]], pa.int32()), list_array(wh[edge[0] : edge[-1]], edge - edge[0], pa.int64()), flat.field("total").take(at[s]), flat.field("alone").take(at[s]), rep.take(at[s])],
+                        names=["fp", "core", "r", "off", "hashes", "total", "alone", "rep"],
+                    )
+
+    schema = f"fp long, core long, r long, off int, hashes array<long>, total long, alone boolean, rep {rep_type}"
+    found = settle(with_text(classes, distinct).mapInArrow(run, schema), "hot-runs")
+    if sub > 1:
+        cores = found.groupBy("fp", "core").agg(F.sum("total").alias("n")).where("n > 1").select("fp", "core")
+        found = found.join(cores, ["fp", "core"])
+    each = found.select("fp", "r", "off", "total", "alone", "rep", F.posexplode("hashes").alias("nth", "wh"))
+    return each.select("fp", "wh", "r", (F.col("off") + F.col("nth")).alias("at"), "total", "alone", "rep")
 
 
 def shards(parts: DataFrame, solve, schema: str, limit: int, key: str = "shard_key") -> DataFrame:

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import prefix_sums, query, settle, stretch_hash, table, texts
-from .repeats import distinct_regions, find_regions, place, region_symbols, repeated, shards, text_classes, text_key
+from .repeats import distinct_regions, find_regions, hot_grams, hot_windows, place, region_symbols, repeated, shards, text_classes, text_key
 from .suffix import common_prefixes, suffix_array
 
 WINDOW = 400
@@ -70,13 +70,13 @@ RESULT = "fp long, r long, start int, stop int, alone boolean, key binary, w lon
 def solve_shard(rows: pa.Table, window: int = WINDOW) -> pa.Table:
     """Repeated windows of each region, as stretches of starts counted from the region's first window."""
     rows = rows.combine_chunks()
-    fp, r, off, many = (rows[c].to_numpy() for c in ("fp", "r", "off", "many"))
+    fp, r, many = (rows[c].to_numpy() for c in ("fp", "r", "many"))
     many = many.astype(np.int64)
     on = repeated_starts(rows["body"].to_pylist(), rows["total"].to_numpy(), many, window)
     owner = np.repeat(np.arange(len(many)), many)
     begin, end = runs(on, owner)
     own = owner[begin] if len(begin) else np.empty(0, np.int64)
-    base = (np.cumsum(many) - many)[own] - off[own]
+    base = (np.cumsum(many) - many)[own]
     at, rep = pa.array(own, pa.int64()), rows["rep"].combine_chunks()
     return pa.table({"fp": pa.array(fp[own]), "r": pa.array(r[own]), "start": pa.array(begin - base, pa.int32()), "stop": pa.array(end - base, pa.int32()),
                      "alone": rows["alone"].take(at), "key": rep.field("key").take(at), "w": rep.field("w").take(at)})
@@ -86,8 +86,16 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, id_c
     """(classes, spans): the distinct texts, and for each key with repeats its spans as flat pairs of starts and stops of windows."""
     classes = text_classes(docs, id_col, text_col, window)
     members = repeated(find_regions(classes, byte_symbols, window, gram))
-    parts = region_symbols(classes, distinct_regions(members, ["key", "w"]), byte_symbols, window, "u1")
-    found = settle(shards(parts, lambda rows: solve_shard(rows, window), RESULT, SHARD_BYTES), "repeats")
+    hot = hot_grams(members)
+    cold = members if hot is None else members.join(hot, "fp", "left_anti")
+    parts = region_symbols(classes, distinct_regions(cold, ["key", "w"]), byte_symbols, window, "u1")
+    found = shards(parts, lambda rows: solve_shard(rows, window), RESULT, SHARD_BYTES)
+    if hot is not None:
+        each = hot_windows(classes, distinct_regions(members.join(hot, "fp", "left_semi"), ["key", "w"]), byte_symbols, window)
+        more = each.groupBy("fp", "wh").agg(F.sum("total").alias("n")).where("n > 1").select("fp", "wh")
+        again = each.join(more, ["fp", "wh"]).select("fp", "r", F.col("at").alias("start"), (F.col("at") + 1).alias("stop"), "alone", "rep.key", "rep.w")
+        found = found.unionByName(again)
+    found = settle(found, "repeats")
     # most regions stand in one place, which is known; only those that equal another are looked up by member
     lo = place(F.col("w"))[0].cast("int")
     stretch = [(lo + F.col("start")).alias("a"), (lo + F.col("stop")).alias("b")]

@@ -192,6 +192,31 @@ def test_substring_dedup_query(spark):
     same(QUERIES["op8_substring_dedup"](spark, SF).select("doc_id", "n_words", "n_removed", "kept_sha256").collect(), earlier_words(small(spark)))
 
 
+def bounded(solve, bound):
+    """`solve`, which fails when a group of a shard has more than `bound` rows."""
+
+    def run(rows, *more):
+        assert max(Counter(rows["shard_key"].to_pylist()).values(), default=0) <= bound
+        return solve(rows, *more)
+
+    return run
+
+
+def test_no_shard_holds_a_hot_passage(spark, monkeypatch):
+    """A passage longer than a window that many texts hold between words of their own."""
+    draw = random.Random(8)
+    word = lambda: "".join(draw.choice("abcdefgh") for _ in range(8))
+    passage = " ".join(word() for _ in range(50))
+    rows = [(d, " ".join([*(word() for _ in range(30)), passage, *(word() for _ in range(30))])) for d in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    monkeypatch.setattr(repeats, "HOT", 10)
+    monkeypatch.setattr(lempel_ziv, "solve_shard", bounded(lempel_ziv.solve_shard, 10))
+    monkeypatch.setattr(suffix_dedup, "solve_shard", bounded(suffix_dedup.solve_shard, 10))
+    same(lempel_ziv.cut_repeats(docs).select("doc_id", "n_words", "n_removed", "kept_sha256").collect(), earlier_words(rows))
+    got = suffix_dedup.cut_repeats(docs).select("row.doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    same(got.collect(), repeated_bytes(rows, 400))
+
+
 # ------------------------------------------------------------------ Jaccard
 
 
