@@ -10,8 +10,9 @@ of all documents. Rare first means that what a copy has of its own stands before
 too much never meet.
 
 No column is multiplied in full. First every member of a column meets the member with the most frequent n-grams, the likely
-original of a group of copies; links found so join components. Then only members of different components meet. This loses no link between
-components, and links within one add nothing to it, so components are exact.
+original of a group of copies; links found so join components. Then only pairs of different components are made. This loses no link between
+components, and links within one add nothing to it, so components are exact. A column that may have more than `WIDE` members is dealt into
+blocks by document: each has its own pivot, and every two blocks meet in a group of their own.
 
 Copies of a text are one row from the start. Defined cases: a null, empty or blank text has no n-grams, size 0, and is linked with nothing,
 not with its like; with fewer words than n the whole sequence is the one n-gram. Rows that share an id are one document, linked
@@ -28,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import LOWER, NOT_BLANK, Texts, owner, prefix_sums, query, settle, stretch_hash, table, texts, words
+from .common import LOWER, NOT_BLANK, Texts, mix, owner, prefix_sums, query, settle, stretch_hash, table, texts, words
 from .repeats import shards, text_classes, text_key
 
 N = 5
@@ -39,6 +40,8 @@ COUNTERS = (1 << 16, 1 << 26)
 BLOCK = 1 << 16
 #: Pairs that one numpy pass looks at.
 PAIRS = 1 << 20
+#: Members of a column, or of a block of a wider one.
+WIDE = 1 << 13
 #: Bytes of a block of columns.
 MATRIX_BYTES = 4 << 20
 
@@ -86,14 +89,26 @@ def count_grams(classes: DataFrame, n: int, counters: int) -> DataFrame:
     return settle(classes.select("text", "key").mapInArrow(run, "key binary, size long, block int, counts binary"), "gram-counts")
 
 
+def packed(count: np.ndarray) -> np.ndarray:
+    """Counts in 16 bits that keep their order: exact below 2^15, by thousandths of an octave above."""
+    over = 32768 + 1000 * (np.log2(np.maximum(count, 32768)) - 15)
+    return np.where(count < 32768, count, np.minimum(over, 65535)).astype("<u2")
+
+
+def blocks_of(code: np.ndarray, most: int) -> np.ndarray:
+    """The number of blocks of about `most` members for a column whose n-gram has this packed counter."""
+    count = np.where(code < 32768, code, 2.0 ** ((code - 32768) / 1000 + 15))
+    return np.maximum(np.ceil(count / most), 1).astype(np.int64)
+
+
 def merge_counts(counted: DataFrame, counters: int) -> np.ndarray:
-    """All tasks' counters, cut at 65535; a fixed number of rows comes to the driver."""
+    """All tasks' counters, packed; a fixed number of rows comes to the driver."""
 
     def add(rows: pa.Table) -> pa.Table:
         total = np.zeros(BLOCK, np.int64)
         for c in rows["counts"].to_pylist():
             total += np.frombuffer(zlib.decompress(c), "<u4")
-        return pa.table({"block": rows["block"][:1].cast(pa.int32()), "counts": pa.array([np.minimum(total, 65535).astype("<u2").tobytes()], pa.binary())})
+        return pa.table({"block": rows["block"][:1].cast(pa.int32()), "counts": pa.array([packed(total).tobytes()], pa.binary())})
 
     # two steps, so that no task adds up more than a share of the tasks' counters
     part = counted.where("block IS NOT NULL").select("block", "counts")
@@ -104,7 +119,8 @@ def merge_counts(counted: DataFrame, counters: int) -> np.ndarray:
 
 
 def leading_grams(classes: DataFrame, counts: np.ndarray, n: int, percent: int) -> DataFrame:
-    """(gram, node, meta): the n-grams of each class among which a partner must show. meta packs size, place and how frequent its n-grams are."""
+    """(gram, node, meta, wide, part): the n-grams of each class among which a partner must show. meta packs size, place and how frequent its n-grams
+    are. In a wide column `gram` is that of the block, `wide` the column's own, and part packs the number of blocks and the block; else both are 0."""
     shared = classes.sparkSession.sparkContext.broadcast(counts)
 
     def run(batches):
@@ -126,9 +142,14 @@ def leading_grams(classes: DataFrame, counts: np.ndarray, n: int, percent: int)
                 width = np.diff(np.append(lead, len(row)))
                 central = np.repeat(np.minimum(often[at][lead + width // 2], 65535), width)
                 meta = (size[row] << 40) | (np.minimum(place, (1 << 24) - 1) << 16) | central
-                yield pa.RecordBatch.from_arrays([pa.array(h[at].view(np.int64)), batch.column(1).take(pa.array(row + t.first)), pa.array(meta, pa.int64())], names=["gram", "node", "meta"])
+                node = batch.column(1).take(pa.array(row + t.first))
+                blocks, gram = blocks_of(often[at], WIDE), h[at]
+                part = np.where(blocks > 1, (blocks << 32) | (mix(node.to_numpy().view(np.uint64)) % blocks.astype(np.uint64)).astype(np.int64), 0)
+                wide = np.where(part > 0, gram, np.uint64(0))
+                gram = np.where(part > 0, mix(gram + mix(part.view(np.uint64))), gram)
+                yield pa.RecordBatch.from_arrays([pa.array(gram.view(np.int64)), node, pa.array(meta, pa.int64()), pa.array(wide.view(np.int64)), pa.array(part, pa.int64())], names=["gram", "node", "meta", "wide", "part"])
 
-    return classes.where("lead IS NOT NULL").select("text", "lead").mapInArrow(run, "gram long, node long, meta long")
+    return classes.where("lead IS NOT NULL").select("text", "lead").mapInArrow(run, "gram long, node long, meta long, wide long, part long")
 
 
 def unpack(meta: np.ndarray):
@@ -136,16 +157,16 @@ def unpack(meta: np.ndarray):
 
 
 def with_pivot(rows: pa.Table) -> pa.Table:
-    """Columns with two members or more, and for each row its column's pivot: the member with the most frequent n-grams."""
-    gram, node, meta = (rows[c].to_numpy() for c in ("gram", "node", "meta"))
+    """Columns and blocks with two members or more, or of a wide column, and for each row its pivot: the member with the most frequent n-grams."""
+    gram, node, meta, wide, part = (rows[c].to_numpy() for c in ("gram", "node", "meta", "wide", "part"))
     order = np.lexsort((node, -(meta & 65535), gram))
-    gram, node, meta = gram[order], node[order], meta[order]
+    gram, node, meta, wide, part = gram[order], node[order], meta[order], wide[order], part[order]
     head = np.concatenate([[True], gram[1:] != gram[:-1]])
     at = np.flatnonzero(head)
     width = np.diff(np.append(at, len(gram)))
-    keep = np.repeat(width > 1, width)
+    keep = np.repeat(width > 1, width) | (part > 0)
     first = np.repeat(at, width)[keep]
-    return pa.table({"gram": gram[keep], "node": node[keep], "meta": meta[keep], "pivot": node[first], "pivot_meta": meta[first]})
+    return pa.table({"gram": gram[keep], "node": node[keep], "meta": meta[keep], "pivot": node[first], "pivot_meta": meta[first], "wide": wide[keep], "part": part[keep]})
 
 
 def possible(meta_a, meta_b, percent: int = PERCENT):
@@ -162,34 +183,62 @@ def stars(rows: pa.Table, percent: int = PERCENT) -> pa.Table:
     return pa.table({"a": pa.array(pair[:, 0], pa.int64()), "b": pa.array(pair[:, 1], pa.int64()), "shared": pa.array(count, pa.int64())})
 
 
+def meetings(rows: DataFrame) -> DataFrame:
+    """(gram, node, meta, comp, pivot, side): the groups for `crossings`. A narrow column is one, with side 0; of a wide column that has more than one
+    component each block is one, with side 0, and every two blocks are one, with sides 1 and 2."""
+    kept = ["node", "meta", "comp", "pivot"]
+    narrow = rows.where("part = 0").select("gram", *kept, F.lit(0).cast("long").alias("side"))
+    broad = rows.where("part <> 0")
+    mixed = broad.groupBy("wide").agg((F.min("comp") < F.max("comp")).alias("mixed")).where("mixed").select("wide")
+    block, blocks = F.col("part").bitwiseAND(F.lit((1 << 32) - 1)), F.shiftright("part", 32)
+    each = broad.join(mixed, "wide").select("wide", *kept, block.alias("block"), F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("other"))
+    cell = F.xxhash64("wide", F.least("block", "other"), F.greatest("block", "other"))
+    side = F.when(F.col("block") == F.col("other"), 0).when(F.col("block") < F.col("other"), 1).otherwise(2).cast("long")
+    return narrow.unionByName(each.select(cell.alias("gram"), *kept, side.alias("side")))
+
+
 def crossings(rows: pa.Table, percent: int = PERCENT) -> pa.Table:
-    """Pairs of different components in a column; those with the pivot were settled before."""
-    gram, node, meta, comp, pivot = (rows[c].to_numpy() for c in ("gram", "node", "meta", "comp", "pivot"))
-    order = np.lexsort((meta >> 40, gram))
+    """Pairs of different components in a group of `meetings`, and no others: components are numbered, and two of them part at one bit of their
+    numbers, the highest that differs. Pairs with the pivot were settled before."""
+    gram, node, meta, comp, pivot, side = (rows[c].to_numpy() for c in ("gram", "node", "meta", "comp", "pivot", "side"))
+    order = np.lexsort((comp, gram))
     gram, comp = gram[order], comp[order]
-    head = np.flatnonzero(np.concatenate([[True], gram[1:] != gram[:-1]])) if len(gram) else np.empty(0, np.int64)
-    column = np.repeat(np.arange(len(head)), np.diff(np.append(head, len(gram))))
+    column = np.cumsum(np.diff(gram, prepend=gram[:1]) != 0)
+    rank = np.cumsum((np.diff(comp, prepend=comp[:1]) != 0) | (np.diff(column, prepend=0) != 0))
+    head = np.flatnonzero(np.diff(column, prepend=-1))
+    width = np.diff(np.append(head, len(gram)))
+    rank = rank - np.repeat(rank[head], width)
+    top = np.repeat(rank[head + width - 1], width)
     # columns of one component have nothing to tell
-    mixed = (np.minimum.reduceat(comp, head) < np.maximum.reduceat(comp, head))[column] if len(head) else np.empty(0, bool)
-    order, comp, column = order[mixed], comp[mixed], column[mixed]
-    node, meta, pivot = node[order], meta[order], pivot[order]
-    size = meta >> 40
-    # partners stand behind, up to the size at which even equal n-grams are too few
-    place = np.arange(len(size))
-    width = np.searchsorted((column << 32) | size, (column << 32) | (size * 100 // percent), side="right") - place - 1
-    out, at, run = [], 0, np.concatenate([[0], np.cumsum(width)])
-    while at < len(size):
-        stop = max(at + 1, int(np.searchsorted(run, run[at] + PAIRS, side="right")) - 1)
-        w = width[at:stop]
-        x = np.repeat(place[at:stop], w)
-        y = np.arange(len(x)) + np.repeat(place[at:stop] + 1 - (np.cumsum(w) - w), w)
-        at = stop
-        ok = (comp[x] != comp[y]) & (node[x] != pivot[x]) & (node[y] != pivot[x])
-        x, y = x[ok], y[ok]
-        ok = possible(meta[x], meta[y], percent)
-        out.append(np.column_stack([np.minimum(node[x], node[y])[ok], np.maximum(node[x], node[y])[ok]]))
-        if sum(map(len, out)) > PAIRS:
-            out = [np.unique(np.concatenate(out), axis=0)]
+    order, column, rank, top = order[top > 0], column[top > 0], rank[top > 0], top[top > 0]
+    node, meta, pivot, side = node[order], meta[order], pivot[order], side[order]
+    size, other = meta >> 40, np.array([0, 2, 1])[side]
+    out: list[np.ndarray] = []
+    for bit in range(int(top.max(initial=0)).bit_length()):
+        live = np.flatnonzero(top >> bit)
+        group = np.cumsum((np.diff(column[live], prepend=-1) != 0) | (np.diff(rank[live] >> (bit + 1), prepend=0) != 0))
+        high = (rank[live] >> bit) & 1 == 1
+        partner = ((group * 3 + side[live]) << 32 | size[live])[high]
+        by = np.argsort(partner)
+        partner, right = partner[by], live[high][by]
+        left = live[~high]
+        base, n = (group[~high] * 3 + other[left]) << 32, size[left]
+        # sizes between which equal n-grams are enough
+        lo = np.searchsorted(partner, base | -(-percent * n // 100))
+        width = np.maximum(np.searchsorted(partner, base | (100 * n // percent), side="right") - lo, 0)
+        at, run = 0, np.concatenate([[0], np.cumsum(width)])
+        while at < len(left):
+            stop = max(at + 1, int(np.searchsorted(run, run[at] + PAIRS, side="right")) - 1)
+            w = width[at:stop]
+            x = np.repeat(left[at:stop], w)
+            y = right[np.arange(len(x)) + np.repeat(lo[at:stop] - (np.cumsum(w) - w), w)]
+            at = stop
+            ok = (side[x] > 0) | ((node[x] != pivot[x]) & (node[y] != pivot[y]))
+            x, y = x[ok], y[ok]
+            ok = possible(meta[x], meta[y], percent)
+            out.append(np.column_stack([np.minimum(node[x], node[y])[ok], np.maximum(node[x], node[y])[ok]]))
+            if sum(map(len, out)) > PAIRS:
+                out = [np.unique(np.concatenate(out), axis=0)]
     pair, count = np.unique(np.concatenate(out), axis=0, return_counts=True) if out else (np.empty((0, 2), np.int64), np.empty(0, np.int64))
     return pa.table({"a": pa.array(pair[:, 0], pa.int64()), "b": pa.array(pair[:, 1], pa.int64()), "shared": pa.array(count, pa.int64())})
 
@@ -245,12 +294,12 @@ def jaccard_components(docs: DataFrame, n: int = N, percent: int = PERCENT, id_c
         counters *= 2
     counted = count_grams(classes, n, counters)
     leading = leading_grams(classes, merge_counts(counted, counters), n, percent)
-    kept = settle(shards(leading, with_pivot, "gram long, node long, meta long, pivot long, pivot_meta long", MATRIX_BYTES, "gram"), "columns")
+    kept = settle(shards(leading, with_pivot, "gram long, node long, meta long, pivot long, pivot_meta long, wide long, part long", MATRIX_BYTES, "gram"), "columns")
     star = kept.mapInArrow(lambda batches: (b for x in batches for b in stars(pa.Table.from_batches([x]), percent).to_batches()), "a long, b long, shared long")
     first = links_of(star.groupBy("a", "b").agg(F.sum("shared").alias("shared")), classes, n, percent)
     label = components(first)
-    rows = kept.join(label, "node", "left").select("gram", "node", "meta", "pivot", F.coalesce("comp", "node").alias("comp"))
-    cross = shards(rows, lambda t: crossings(t, percent), "a long, b long, shared long", MATRIX_BYTES, "gram")
+    rows = kept.join(label, "node", "left").select("gram", "node", "meta", "pivot", "wide", "part", F.coalesce("comp", "node").alias("comp"))
+    cross = shards(meetings(rows), lambda t: crossings(t, percent), "a long, b long, shared long", MATRIX_BYTES, "gram")
     second = links_of(cross.groupBy("a", "b").agg(F.sum("shared").alias("shared")), classes, n, percent)
     label = components(settle(first.unionByName(second), "links"))
     size = counted.where("block IS NULL").select("key", "size")

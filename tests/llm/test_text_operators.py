@@ -6,10 +6,12 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -262,6 +264,52 @@ def test_jaccard_finds_links_across_a_group(spark):
     same(jaccard.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect(), linked(rows))
 
 
+def test_jaccard_counters_keep_their_order(spark):
+    total = np.zeros(jaccard.BLOCK, np.uint32)
+    total[:5] = 5, 65535, 70_000, 80_000, 4_000_000_000
+    counted = spark.createDataFrame([(0, bytearray(zlib.compress(total.tobytes())))], "block int, counts binary")
+    assert (np.diff(jaccard.merge_counts(counted, jaccard.BLOCK)[:5].astype(int)) > 0).all()
+
+
+def test_crossings_make_no_pairs_within_a_component():
+    n = 40_000
+    node = np.arange(n)
+    rows = pa.table({"gram": np.zeros(n, int), "node": node, "meta": np.full(n, 100 << 40), "comp": np.where(node == 7, 7, 0), "pivot": np.zeros(n, int), "side": np.zeros(n, int)})
+    start = time.process_time()
+    got = jaccard.crossings(rows)
+    assert time.process_time() - start < 5
+    assert got.num_rows == n - 2 and all(7 in (r["a"], r["b"]) for r in got.slice(0, 50).to_pylist())
+
+
+def test_jaccard_deals_wide_columns_into_blocks(spark, docs, rows, monkeypatch):
+    """A rare order of n-grams puts shared ones in front; groups of two blocks stay small."""
+    draw = random.Random(4)
+    word = lambda: "".join(draw.choice("abcdefgh") for _ in range(8))
+    base = [word() for _ in range(60)]
+    texts = []
+    for d in range(120):
+        own = list(base)
+        for at in draw.sample(range(60), draw.randint(1, 3)):
+            own[at] = word()
+        texts.append((d, " ".join(own)))
+
+    def small(solve):
+        def run(rows, *more):
+            assert max(Counter(rows["gram"].to_pylist()).values(), default=0) <= 60
+            return solve(rows, *more)
+
+        return run
+
+    monkeypatch.setattr(jaccard, "WIDE", 12)
+    monkeypatch.setattr(jaccard, "with_pivot", small(jaccard.with_pivot))
+    monkeypatch.setattr(jaccard, "crossings", small(jaccard.crossings))
+    blocks = jaccard.blocks_of
+    made = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+    same(jaccard.jaccard_components(made).collect(), linked(texts))
+    monkeypatch.setattr(jaccard, "blocks_of", lambda code, most: blocks(code, most) + 2)
+    same(jaccard.jaccard_components(docs).collect(), linked(rows))
+
+
 def test_jaccard_query(spark):
     same(QUERIES["op10_ngram_jaccard"](spark, SF).select("doc_id", "n_shingles", "component_id").collect(), linked(small(spark)))
 
