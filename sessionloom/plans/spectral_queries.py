@@ -253,9 +253,10 @@ def grip_table(spark, sf_dir):
     points = pose.filter("det").select(
         "label", F.inline(F.array(*[F.struct((F.col("vec_id") * 2 + n).alias("pid"), (F.col(x) + 0.5).alias("x"), (F.col(y) + 0.5).alias("y")) for n, (x, y) in enumerate((("x", "y"), ("x2", "y2")))]))
     ).filter((F.col("x") > 0) & (F.col("x") < 1) & (F.col("y") > 0) & (F.col("y") < 1))
-    return pose, posture.grip_clusters(points, ["label"], (0.3, 0.7, 0.3, 0.7), rounds=GRIP_ROUNDS, min_points=20)
+    return pose, posture.grip_clusters(points, ["label"], (0.3, 0.7, 0.3, 0.7), rounds=GRIP_ROUNDS, min_points=20, tolerance=None)
 
 
+#: The rounds that the SQL unrolls; the operator itself goes on until nothing moves.
 GRIP_ROUNDS = 6
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import inspect
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -9,7 +11,7 @@ from pyspark.sql import functions as F
 
 from sessionloom.functions import names
 from sessionloom.functions import scalars as S
-from sessionloom.operators import asof, blocks, clock, events as E, intervals, quality, relations, resample, spectral, stats
+from sessionloom.operators import asof, blocks, clock, events as E, intervals, posture, quality, relations, resample, spectral, stats
 
 
 def test_ties_and_duplicates(spark):
@@ -138,6 +140,32 @@ def test_lowpass_equals_one_transform(spark, cutoff):
         assert np.allclose(y, lowpass(x[s], cutoff, 25.0), atol=1e-9)
 
 
+def test_mixture_is_fitted_until_it_stands(spark):
+    """Clusters that part along y, where the start by x says little, against the same rounds in numpy; the plain session stands before."""
+    draw = np.random.default_rng(6)
+    sets = {"slow": np.vstack([draw.normal((0.5, 0.4 + 0.1 * j), 0.035, (200, 2)) for j in range(3)]), "plain": np.vstack([draw.normal((0.2 + 0.3 * j, 0.5), 0.01, (40, 2)) for j in range(3)])}
+    rows = [(s, n, float(x), float(y)) for s, own in sets.items() for n, (x, y) in enumerate(own)]
+    got = posture.grip_clusters(spark.createDataFrame(rows, "s string, pid long, x double, y double"), ["s"], (0.3, 0.7, 0.3, 0.7), rounds=7).collect()
+
+    def fitted(x, rounds):
+        r = np.eye(3)[np.minimum((x[:, 0] - x[:, 0].min()) / np.ptp(x[:, 0]) * 3, 2).astype(int)]
+        for n in range(rounds + 1):
+            m = r.sum(0)
+            c = r.T @ x / m[:, None]
+            v = np.array([(r[:, j, None] * (x - c[j])).T @ (x - c[j]) / m[j] * 0.99 + np.cov(x.T, bias=True) * 0.01 for j in range(3)])
+            now = np.sort(np.column_stack([m / len(x), c]), axis=0)
+            d = np.array([m[j] / len(x) / np.sqrt(np.linalg.det(v[j])) * np.exp(-np.einsum("ia,ab,ib->i", x - c[j], np.linalg.inv(v[j]), x - c[j]) / 2) for j in range(3)]).T
+            r = d / d.sum(1, keepdims=True)
+        return now
+
+    for r in got:
+        mine = np.sort([[c.weight, c.cx, c.cy] for c in r.clusters], axis=0)
+        assert np.abs(mine - fitted(sets[r.s], 7)).max() < 1e-4
+    # the cut of 12 rounds is not where the fit stands
+    assert inspect.signature(posture.grip_clusters).parameters["rounds"].default >= 60
+    assert len(got) == 2 and np.abs(fitted(sets["slow"], 12) - fitted(sets["slow"], 60)).max() > 1e-3
+
+
 def test_haar_denoise(spark):
     rng = np.random.default_rng(9)
     x = np.repeat(rng.normal(size=6), 13) + rng.normal(scale=0.05, size=78)
