@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import wrapped_diff
+from ..session import settle
 from . import asof, blocks, intervals, rules, runs, stats
 
 
@@ -330,61 +331,89 @@ def recover_events(df, k, t: str, v: str, present: str, width: float, min_sep: f
     return greedy_spacing(native_candidates(df, k, v, present, i, block), k, t, min_sep, width)
 
 
+#: Neighbouring summaries that are composed in one call.
+FAN = 64
+
+
 def greedy_spacing(df: DataFrame, k: Sequence[str], t: str, sep: float, width: float, strict: bool = True) -> DataFrame:
     """Rows kept when each must come more than `sep` after the last kept one.
 
-    Greedy choice is sequential, but a time chunk only needs the last time kept before it. Each
-    chunk is summarised by where it ends up for every entry that can matter (entries later than
-    one `sep` before its first row), the summaries are chained per session, and the chunks are
-    then filtered in parallel. `strict` false keeps rows exactly `sep` apart too.
+    Greedy choice is sequential, but a time chunk only needs the last time kept before it. A
+    chunk is a step function from the last time kept before it to the last one kept after it.
+    Such functions compose, so they are reduced in a tree, `FAN` neighbours a call, and what
+    enters each chunk comes back down the tree: the rounds are a logarithm of the chunks of the
+    longest series. The chunks are then filtered in parallel. `strict` false keeps rows exactly
+    `sep` apart too.
     """
     k = list(k)
     chunked = df.withColumn("_c", blocks.chunk_of(t, max(width, sep)))
-
-    def walk(times: np.ndarray, last: float) -> tuple[np.ndarray, float]:
-        keep = np.zeros(len(times), bool)
-        side = "right" if strict else "left"
-        pos = np.searchsorted(times, last + sep, side) if np.isfinite(last) else 0
-        while pos < len(times):
-            keep[pos] = True
-            last = times[pos]
-            pos = max(np.searchsorted(times, last + sep, side), pos + 1)
-        return keep, last
+    side = "right" if strict else "left"
+    keys = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in k)
+    node = f"{keys}, _c bigint, origin double, first array<double>, leave array<double>"
+
+    def reduced(first: np.ndarray, leave: np.ndarray, origin: float) -> tuple[np.ndarray, np.ndarray]:
+        """The step function's steps: entries come before `origin`, so times beyond the first one later than origin + sep don't matter."""
+        stop = np.searchsorted(first, origin + sep, side) + 1
+        first, leave = first[:stop], leave[:stop]
+        last = np.append(leave[1:] != leave[:-1], True)
+        return first[last], leave[last]
+
+    def after(first: np.ndarray, leave: np.ndarray, entry: np.ndarray) -> np.ndarray:
+        """The last time kept, for each entry."""
+        at = np.searchsorted(first, entry + sep, side)
+        return np.where(at < len(first), leave[np.minimum(at, len(first) - 1)], entry)
 
     def summarise(pdf: pd.DataFrame) -> pd.DataFrame:
         times = np.sort(pdf[t].to_numpy(float))
-        # an entry only matters through the first row it lets in: at most the rows within one sep
-        side = "right" if strict else "left"
-        starts = range(min(np.searchsorted(times, times[0] + sep, side), len(times) - 1) + 1)
-        leave = [walk(times[s:], -np.inf)[1] for s in starts]
-        head = {c: [pdf[c].iloc[0]] for c in [*k, "_c"]}
-        return pd.DataFrame(head | {"first": [[float(x) for x in times[: len(leave)]]], "leave": [leave], "latest": [float(times[-1])]})
-
-    key_schema = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in k)
-    summary = chunked.select(*k, "_c", F.col(t).cast("double").alias(t)).groupBy(*k, "_c").applyInPandas(
-        summarise, f"{key_schema}, _c bigint, first array<double>, leave array<double>, latest double"
-    )
-
-    def chain(pdf: pd.DataFrame) -> pd.DataFrame:
+        own = np.arange(len(times))
+        jump = np.maximum(np.searchsorted(times, times + sep, side), own + 1)
+        jump = np.where(jump < len(times), jump, own)
+        while not np.array_equal(further := jump[jump], jump):
+            jump = further
+        first, leave = reduced(times, times[jump], times[0])
+        return pd.DataFrame({c: [pdf[c].iloc[0]] for c in [*k, "_c"]} | {"origin": [float(times[0])], "first": [first], "leave": [leave]})
+
+    def compose(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("_c")
+        first, leave = (np.asarray(pdf[c].iloc[0], float) for c in ("first", "leave"))
+        origin = float(pdf["origin"].iloc[0])
+        for f, v in zip(pdf["first"].iloc[1:], pdf["leave"].iloc[1:]):
+            f, v = np.asarray(f, float), np.asarray(v, float)
+            first, leave = reduced(np.append(first, f), np.append(after(f, v, leave), v), origin)
+        return pd.DataFrame({c: [pdf[c].iloc[0]] for c in k} | {"_c": [int(pdf["_c"].iloc[0]) // FAN], "origin": [origin], "first": [first], "leave": [leave]})
+
+    def spread(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("_c")
-        last, entry = -np.inf, []
-        side = "right" if strict else "left"
-        for first, leave, latest in zip(pdf["first"], pdf["leave"], pdf["latest"]):
-            entry.append(last)
-            pos = np.searchsorted(first, last + sep, side) if np.isfinite(last) else 0
-            if pos < len(leave):
-                last = leave[pos]
+        last, entry = np.array(pdf["entry"].iloc[0], float), []
+        for f, v in zip(pdf["first"], pdf["leave"]):
+            entry.append(float(last))
+            last = after(np.asarray(f, float), np.asarray(v, float), last)
         return pdf[[*k, "_c"]].assign(entry=entry)
 
-    entries = summary.groupBy(*k).applyInPandas(chain, f"{key_schema}, _c bigint, entry double")
-
     def choose(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(t)
-        keep, _ = walk(pdf[t].to_numpy(float), float(pdf["_entry"].iloc[0]))
+        times, last = pdf[t].to_numpy(float), float(pdf["_entry"].iloc[0])
+        keep = np.zeros(len(times), bool)
+        at = np.searchsorted(times, last + sep, side)
+        while at < len(times):
+            keep[at] = True
+            at = max(np.searchsorted(times, times[at] + sep, side), at + 1)
         return pdf[keep].drop(columns=["_c", "_entry"])
 
-    ready = chunked.join(entries.withColumnRenamed("entry", "_entry"), [*k, "_c"])
-    return ready.groupBy(*k, "_c").applyInPandas(choose, df.schema)
+    start = chunked.groupBy(*k).agg(F.min("_c").alias("_c0"))
+    summary = chunked.select(*k, "_c", F.col(t).cast("double").alias(t)).groupBy(*k, "_c").applyInPandas(summarise, node)
+    levels = [settle(stats.attach(summary, start, k).withColumn("_c", F.col("_c") - F.col("_c0")).drop("_c0"))]
+    left = levels[0].agg(F.max("_c")).first()[0] or 0
+    while left:
+        left //= FAN
+        levels.append(settle(levels[-1].groupBy(*k, F.floor(F.col("_c") / FAN).alias("_up")).applyInPandas(compose, node)))
+    entries = levels.pop().select(*k, "_c", F.lit(float("-inf")).alias("entry"))
+    while levels:
+        below = levels.pop().withColumn("_up", F.floor(F.col("_c") / FAN))
+        entered = below.join(entries.withColumnRenamed("_c", "_up"), [*k, "_up"])
+        entries = entered.groupBy(*k, "_up").applyInPandas(spread, f"{keys}, _c bigint, entry double")
+    entries = stats.attach(entries, start, k).select(*k, (F.col("_c") + F.col("_c0")).alias("_c"), F.col("entry").alias("_entry"))
+    return chunked.join(entries, [*k, "_c"]).groupBy(*k, "_c").applyInPandas(choose, df.schema)
 
 
 def response_window(

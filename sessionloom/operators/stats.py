@@ -2,18 +2,24 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
-from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from . import blocks
+from ..session import settle
 from ..functions.scalars import haversine_m
 
 SKETCH = 10_000
+#: Values that are sorted for one quantile at most; a larger cell of the rank histogram is cut again.
+CELL_ROWS = 1_000_000
+CELLS = 4096
 
 
 def quantiles(
@@ -21,63 +27,67 @@ def quantiles(
 ) -> DataFrame:
     """Exact linear-interpolation quantiles of `v` per group (A2), without gathering a group.
 
-    A mergeable sketch brackets every quantile. One combinable count then keeps the distinct
-    values inside the brackets and lumps together the rest, and its running sum gives exact
-    ranks. The sort sees about 8/SKETCH of a large group, and all of a small one.
+    Distributed selection: cut points of a mergeable sketch part each group into cells, whose
+    exact counts, lowest and highest values are one combinable aggregation. The cell that holds
+    a rank is kept; while it has more than `CELL_ROWS` values that differ it is cut again into
+    `CELLS` equal widths. Only the last cells are sorted, each for itself. Any cut points are
+    right, so a sketch that errs costs a round at most. The values are written once, narrow.
     """
     by = list(by)
     names = list(names) if names else [f"q{str(p).replace('.', '_')}" for p in ps]
     margin = 4.0 / SKETCH
     sides = sorted({max(0.0, p - margin) for p in ps} | {min(1.0, p + margin) for p in ps})
-    values = df.select(*by, F.col(v).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
-    sketch = values.groupBy(*by).agg(
-        F.percentile_approx("_v", sides, SKETCH).alias("_cuts"), F.count(F.lit(1)).alias("_total")
-    )
-
-    def cut(p: float) -> Column:
-        return F.col("_cuts")[sides.index(p)]
-
-    brackets = [(cut(max(0.0, p - margin)), cut(min(1.0, p + margin))) for p in ps]
-    # a group no larger than the sketch is sorted whole: its brackets could miss the next rank
-    inside = reduce(
-        lambda a, b: a | b, [F.col("_v").between(lo, hi) for lo, hi in brackets], F.col("_total") <= SKETCH
-    )
-    # a value outside every bracket counts with the closest bracket end below it
-    floor_ = F.greatest(
-        F.lit(float("-inf")), *[F.when(hi < F.col("_v"), hi).otherwise(F.lit(float("-inf"))) for _, hi in brackets]
-    )
-    joined = values.join(sketch, by) if by else values.crossJoin(F.broadcast(sketch))
-    counted = (
-        joined.select(
-            *by, "_total", F.when(inside, F.col("_v")).otherwise(floor_).alias("_x"), (~inside).alias("_out")
-        )
-        .groupBy(*by, "_x", "_out")
-        .agg(F.count(F.lit(1)).alias("_n"), F.first("_total").alias("_total"))
-    )
-    w = Window.partitionBy(*by).orderBy("_x", "_out").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = counted.withColumn("_upto", F.sum("_n").over(w))
-    picks = []
-    for p, name in zip(ps, names):
-        at = F.lit(p) * (F.col("_total") - 1)
-
-        def value_at(rank: Column) -> Column:
-            here = (rank >= F.col("_upto") - F.col("_n")) & (rank < F.col("_upto"))
-            kept = F.when(F.col("_out"), F.raise_error(F.lit("quantile bracket missed"))).otherwise(F.col("_x"))
-            return F.max(F.when(here, kept))
-
-        picks += [
-            value_at(F.floor(at)).alias(f"_lo_{name}"),
-            value_at(F.ceil(at)).alias(f"_hi_{name}"),
-            F.max(at - F.floor(at)).alias(f"_w_{name}"),
-        ]
-    picked = ranked.groupBy(*by).agg(*picks)
-    return picked.select(
-        *by,
-        *[
-            (F.col(f"_lo_{n}") + (F.col(f"_hi_{n}") - F.col(f"_lo_{n}")) * F.col(f"_w_{n}")).alias(n)
-            for n in names
-        ],
-    )
+    values = settle(df.select(*by, F.col(v).cast("double").alias("_v")).filter(F.col("_v").isNotNull()))
+    cuts = values.groupBy(*by).agg(F.percentile_approx("_v", sides, SKETCH).alias("_cuts"))
+    parted = attach(values, cuts, by).withColumn("_cell", F.size(F.filter("_cuts", lambda c: c < F.col("_v"))))
+    ranks = []
+    for n, p in enumerate(ps):
+        at = F.lit(float(p)) * (F.col("_total") - 1)
+        ranks += [F.struct(F.lit(2 * n).alias("_q"), F.floor(at).alias("_rank")), F.struct(F.lit(2 * n + 1).alias("_q"), F.ceil(at).alias("_rank"))]
+    cells = parted.groupBy(*by, "_cell").agg(F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_least"), F.max("_v").alias("_most"))
+    total = F.sum("_n").over(Window.partitionBy(*by, F.lit(0)))
+    # a few cells a group, each under every rank that is asked for
+    held = cells.withColumn("_total", total).select("*", F.inline(F.array(*ranks)))
+    cell = settle(_cell_of_rank(held, by))
+    while cell.filter((F.col("_n") > CELL_ROWS) & (F.col("_least") < F.col("_most"))).limit(1).count():
+        wide = (F.col("_n") > CELL_ROWS) & (F.col("_least") < F.col("_most"))
+        share = (F.col("_v") / 2 - F.col("_least") / 2) / (F.col("_most") / 2 - F.col("_least") / 2)
+        # infinite ends have cells of their own
+        nth = F.when(F.col("_v") == F.col("_least"), 0).when(F.col("_v") == F.col("_most"), CELLS + 1).when(F.isnan(share), 1)
+        part = nth.otherwise(F.floor(share * (CELLS - 1)) + 1).cast("int")
+        inside = _inside(values, cell.filter(wide), by).withColumn("_cell", part)
+        finer = inside.groupBy(*by, "_q", "_rank", "_cell").agg(F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_least"), F.max("_v").alias("_most"))
+        cell = settle(cell.filter(~wide).unionByName(_cell_of_rank(finer, by)))
+    single = cell.filter(F.col("_least") == F.col("_most")).select(*by, "_q", F.col("_least").alias("_x"))
+    several = _inside(values, cell.filter(F.col("_least") < F.col("_most")), by)
+    counted = several.groupBy(*by, "_q", "_rank", "_v").agg(F.count(F.lit(1)).alias("_n"))
+    upto = F.sum("_n").over(Window.partitionBy(*by, "_q").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0))
+    here = (F.col("_rank") < F.col("_upto")) & (F.col("_rank") >= F.col("_upto") - F.col("_n"))
+    found = single.unionByName(counted.withColumn("_upto", upto).filter(here).select(*by, "_q", F.col("_v").alias("_x")))
+    sizes = cells.groupBy(*by).agg(F.sum("_n").alias("_total"))
+    picks = [F.max(F.when(F.col("_q") == q, F.col("_x"))).alias(f"_x{q}") for q in range(2 * len(ps))]
+    picked = attach(found.groupBy(*by).agg(*picks), settle(sizes), by)
+    out = []
+    for n, (p, name) in enumerate(zip(ps, names)):
+        at = F.lit(float(p)) * (F.col("_total") - 1)
+        low, high = F.col(f"_x{2 * n}"), F.col(f"_x{2 * n + 1}")
+        out.append(F.when(low == high, low).otherwise(low + (high - low) * (at - F.floor(at))).alias(name))
+    return picked.select(*by, *out)
+
+
+def _cell_of_rank(cells: DataFrame, by: Sequence[str]) -> DataFrame:
+    """For every rank the cell that holds it; `_rank` counts from the cell's first value then."""
+    upto = F.sum("_n").over(Window.partitionBy(*by, "_q").orderBy("_cell").rowsBetween(Window.unboundedPreceding, 0))
+    before = F.col("_upto") - F.col("_n")
+    held = cells.withColumn("_upto", upto).filter((F.col("_rank") < F.col("_upto")) & (F.col("_rank") >= before))
+    return held.select(*by, "_q", (F.col("_rank") - before).alias("_rank"), "_n", "_least", "_most")
+
+
+def _inside(values: DataFrame, cells: DataFrame, by: Sequence[str]) -> DataFrame:
+    """The values of each cell, once for every rank it is kept for."""
+    one = cells.groupBy(*by).agg(F.collect_list(F.struct("_q", "_rank", "_least", "_most")).alias("_kept"))
+    hit = F.filter("_kept", lambda c: (c["_least"] <= F.col("_v")) & (F.col("_v") <= c["_most"]))
+    return attach(values, one, by).select(*by, "_v", F.inline(hit))
 
 
 def medians(df: DataFrame, by: Sequence[str], v: str, name: str = "median") -> DataFrame:
@@ -293,25 +303,41 @@ def without_shortest(df: DataFrame, by: Sequence[str], size: str, tie: Sequence[
     return attach(df, shortest, by).filter(F.struct(*tie) != F.col("_s")).drop("_s")
 
 
-def lag_products(
+def lag_sums(
     df: DataFrame, k: Sequence[str], a: str, b: str, max_lag: int, i="i", block=blocks.BLOCK_ROWS
 ) -> DataFrame:
-    """Pairs (a at i, b at i + lag) for every lag, read from a bounded frame.
+    """For every lag the sums over the pairs (a at i, b at i + lag) with both sides present: n, sx, sy, sxx, syy, sxy.
 
-    The pairs are produced next to the partial aggregation, so they never cross a shuffle.
+    A block is one call: its values and those `max_lag` rows around lie in dense arrays, and a sum
+    for all lags is one sliding product of the two. A row per block and lag leaves the call.
+    Values are taken from the series' means, so sums of squares do not cancel.
     """
-    framed = blocks.over_blocks(
-        df,
-        k,
-        max_lag,
-        max_lag,
-        lambda w: [{"_near": F.collect_list(F.struct(F.col(i).alias("j"), F.col(b).alias("y"))).over(w.rowsBetween(-max_lag, max_lag))}],
-        i,
-        block,
-    )
-    return framed.select(*k, F.col(i).alias("_i"), F.col(a).alias("x"), F.inline("_near")).select(
-        *k, (F.col("j") - F.col("_i")).alias("lag"), "x", "y"
-    )
+    k = list(k)
+    means = df.groupBy(*k).agg(F.avg(a).alias("_ma"), F.avg(b).alias("_mb"))
+    near = attach(df.select(*k, i, F.col(a).cast("double").alias(a), F.col(b).cast("double").alias(b)), means, k)
+    near = near.select(*k, i, (F.col(a) - F.col("_ma")).alias("_x"), (F.col(b) - F.col("_mb")).alias("_y"))
+    cut = blocks.with_halo(near, max_lag, max_lag, i, block)
+    schema = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in k)
+    lags = np.arange(-max_lag, max_lag + 1)
+
+    def sums(rows: pa.Table) -> pa.Table:
+        at = rows[i].to_numpy()
+        at = at - at.min() + max_lag
+        own = rows["_home"].to_numpy()
+        size = int(at.max()) + max_lag + 1
+        x, y = (np.full(size, np.nan) for _ in range(2))
+        x[at[own]] = rows["_x"].to_numpy()[own]
+        y[at] = rows["_y"].to_numpy()
+        x = x[max_lag : size - max_lag]
+        seen_x, seen_y = np.isfinite(x).astype(float), np.isfinite(y).astype(float)
+        x, y = np.where(seen_x > 0, x, 0.0), np.where(seen_y > 0, y, 0.0)
+        slide = lambda b, a: np.correlate(b, a, "valid")
+        parts = {"n": slide(seen_y, seen_x), "sx": slide(seen_y, x), "sy": slide(y, seen_x), "sxx": slide(seen_y, x * x), "syy": slide(y * y, seen_x), "sxy": slide(y, x)}
+        keys = {c: pa.array(rows[c][:1].to_pylist() * len(lags), rows.schema.field(c).type) for c in k}
+        return pa.table(keys | {"lag": pa.array(lags, pa.int64())} | {c: pa.array(v) for c, v in parts.items()})
+
+    made = cut.groupBy(*k, "_b").applyInArrow(sums, f"{schema}, lag long, n double, sx double, sy double, sxx double, syy double, sxy double")
+    return made.groupBy(*k, "lag").agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")])
 
 
 def xcorr(
@@ -322,13 +348,12 @@ def xcorr(
 
     Pairs with a missing side are skipped; a lag needs more than `min_pairs` of them.
     """
-    per_lag = (
-        lag_products(df, k, a, b, max_lag, i, block)
-        .filter(F.col("x").isNotNull() & F.col("y").isNotNull())
-        .groupBy(*k, "lag")
-        .agg(F.count(F.lit(1)).alias("n"), F.corr("x", "y").alias("r"))
-        .filter((F.col("n") > min_pairs) & F.col("r").isNotNull())
-    )
+    n = F.col("n")
+    xx, yy = F.col("sxx") - F.col("sx") * F.col("sx") / n, F.col("syy") - F.col("sy") * F.col("sy") / n
+    # what rounding leaves of a constant side is none
+    varies = (xx > 1e-12 * F.col("sxx")) & (yy > 1e-12 * F.col("syy"))
+    r = F.when(varies, (F.col("sxy") - F.col("sx") * F.col("sy") / n) / F.sqrt(xx * yy))
+    per_lag = lag_sums(df, k, a, b, max_lag, i, block).filter(n > min_pairs).select(*k, "lag", r.alias("r")).filter("r IS NOT NULL")
     return per_lag.groupBy(*k).agg(
         F.min_by("lag", F.struct(-F.round("r", 9), F.col("lag"))).alias("peak_lag"),
         F.max("r").alias("peak_r"),
@@ -337,30 +362,64 @@ def xcorr(
 
 
 def find_offset(
-    raw: DataFrame, probe: DataFrame, k: Sequence[str], v: str, n_probe: int, max_off: int, i="i"
+    raw: DataFrame, probe: DataFrame, k: Sequence[str], v: str, n_probe: int, max_off: int, i="i", block=blocks.BLOCK_ROWS
 ) -> DataFrame:
     """First offset into `raw` with the smallest summed distance to the head of `probe`.
 
-    Offsets run from 0 below min(rows - probe rows, max_off). Only rows inside that reach take
-    part, and the head is an array of at most `n_probe` values, so the products stay next to
-    their partial sums.
+    Offsets run from 0 below min(rows - probe rows, max_off). A block of offsets is one call: it
+    holds the raw values its windows cover, the head comes with it once, and partial sums over
+    pieces of the head drop the offsets that are already further away than the best whole one. A
+    distance with a missing value is over the values present. One row a block leaves the call.
     """
+    k = list(k)
     head = probe.filter(F.col(i) < n_probe).groupBy(*k).agg(
-        F.collect_list(F.struct(F.col(i).alias("_j"), F.col(v).alias("_p"))).alias("_head"),
-        F.count(F.lit(1)).alias("_m"),
+        F.transform(F.array_sort(F.collect_list(F.struct(F.col(i).alias("j"), F.col(v).cast("double").alias("p")))), lambda s: s["p"]).alias("_head"),
     )
     length = raw.groupBy(*k).agg(F.count(F.lit(1)).alias("_len"))
-    span = head.join(length, list(k)).withColumn(
-        "_stop", F.least(F.col("_len") - F.col("_m"), F.lit(max_off))
-    )
-    reach = raw.filter(F.col(i) < n_probe + max_off).select(*k, F.col(i).alias("_i"), F.col(v).alias("_x"))
-    products = reach.join(span, list(k)).select(*k, "_i", "_x", "_stop", F.inline("_head"))
-    scored = (
-        products.withColumn("_off", F.col("_i") - F.col("_j"))
-        .filter((F.col("_off") >= 0) & (F.col("_off") < F.col("_stop")))
-        .groupBy(*k, "_off")
-        .agg(F.sum(F.abs(F.col("_x") - F.col("_p"))).alias("distance"))
-    )
+    span = head.join(length, k).withColumn("_stop", F.least(F.col("_len") - F.size("_head"), F.lit(max_off))).filter("_stop > 0")
+    reach = raw.filter(F.col(i) < n_probe + max_off).select(*k, i, F.col(v).cast("double").alias("_x"))
+    # a block of offsets is as wide as a head at least, so its windows end in the next block
+    cut = blocks.with_halo(reach.join(span.select(*k), k, "left_semi"), 0, n_probe, i, max(block, n_probe))
+    schema = ", ".join(f"`{c}` {raw.schema[c].dataType.simpleString()}" for c in k)
+    # one head and stop a key, joined once a block
+    heads = cut.filter("_home").select(*k, "_b").distinct().join(span, k)
+    heads = heads.select(*[F.col(c).alias(f"_h_{c}") for c in k], F.col("_b").alias("_hb"), "_head", "_stop")
+
+    def search(key, rows: pa.Table, heads: pa.Table) -> pa.Table:
+        if rows.num_rows == 0 or heads.num_rows == 0:
+            return pa.table({c: pa.array([], raw_types[c]) for c in k} | {"_off": pa.array([], pa.int64()), "distance": pa.array([], pa.float64())})
+        at, x = rows[i].to_numpy(), rows["_x"].to_numpy()
+        own, low = rows["_home"].to_numpy(), int(at.min())
+        p = heads["_head"].combine_chunks()[0].values.to_numpy(zero_copy_only=False).astype(float)
+        stop = int(heads["_stop"][0].as_py())
+        line = np.full(int(at.max()) - low + 1 + len(p), np.nan)
+        line[at - low] = x
+        offs = np.sort(at[own])
+        # an offset without any pair of values has no distance
+        pairs = np.correlate(np.isfinite(line).astype(float), np.isfinite(p).astype(float), "valid")
+        offs = offs[(offs < stop) & (pairs[np.minimum(offs - low, len(pairs) - 1)] > 0)]
+        sums, left = np.zeros(len(offs)), np.arange(len(offs))
+        best, piece = np.inf, 64
+        for lo in range(0, len(p) if len(left) else 0, piece):
+            hi = min(lo + piece, len(p))
+            if lo:
+                if not np.isfinite(best):
+                    first = left[np.argmin(sums[left])]
+                    best = np.nansum(np.abs(line[offs[first] - low : offs[first] - low + len(p)] - p))
+                # rounding must not drop the best
+                left = left[sums[left] <= best * (1 + 1e-9) + 1e-9]
+            windows = np.lib.stride_tricks.sliding_window_view(line, hi - lo)
+            for some in np.array_split(left, max(1, len(left) // 4096)):
+                sums[some] += np.nansum(np.abs(windows[offs[some] - low + lo] - p[lo:hi]), axis=1)
+        if len(left) == 0:
+            got = np.empty(0, np.int64)
+        else:
+            got = left[np.lexsort((offs[left], np.round(sums[left], 9)))[:1]]
+        keys = {c: pa.array([w.as_py()] * len(got), raw_types[c]) for c, w in zip(k, key)}
+        return pa.table(keys | {"_off": pa.array(offs[got], pa.int64()), "distance": pa.array(sums[got])})
+
+    raw_types = {c: to_arrow_type(raw.schema[c].dataType) for c in k}
+    scored = cut.groupBy(*k, "_b").cogroup(heads.groupBy(*[f"_h_{c}" for c in k], "_hb")).applyInArrow(search, f"{schema}, _off long, distance double")
     return scored.groupBy(*k).agg(
         F.min_by("_off", F.struct(F.round("distance", 9), F.col("_off"))).alias("offset"),
         F.min("distance").alias("distance"),
@@ -470,26 +529,57 @@ def event_xcorr(profiles: DataFrame, k: Sequence[str], max_lag: int, min_events:
     )
 
 
-def bootstrap_peak(profiles: DataFrame, k: Sequence[str], max_lag: int, n_boot: int = 200, seed: int = 0, min_events: int = 8) -> DataFrame:
+#: Events whose draws, and whose profiles, are one matrix.
+EVENT_BLOCK = 4096
+
+
+def bootstrap_peak(profiles: DataFrame, k: Sequence[str], max_lag: int, n_boot: int = 200, seed: int = 0, min_events: int = 8, block: int = EVENT_BLOCK) -> DataFrame:
     """95 % interval of the peak lag over resampled events.
 
     Every replicate draws as many events as the session has, with replacement; draws come from the MD5 of
-    (seed, session, replicate, slot), so a rerun repeats them. Only draw counts meet the profiles.
+    (seed, session, replicate, slot), so a rerun repeats them. A block of slots is one call that counts its draws by replicate and event and
+    sends each block of events its counts as one packed row; there the matrix of draw counts times that of profiles gives sums by replicate
+    and lag, one row a replicate, which partial sums reduce.
     """
+    k = list(k)
     sizes = profiles.groupBy(*k).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= min_events)
-    slots = profiles.select(*k, "e").join(sizes, list(k))
-    draws = slots.select(*k, "_n", "e", F.explode(F.sequence(F.lit(1), F.lit(n_boot))).alias("rep")).select(
-        *k, "rep", (F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(seed), *k, "rep", "e")), 1, 12), 16, 10).cast("bigint") % F.col("_n")).alias("_pick")
-    )
-    counts = draws.groupBy(*k, "rep", "_pick").agg(F.count(F.lit(1)).alias("_w"))
     # profiles are numbered densely, so a draw names one
-    numbered = blocks.index_rows(profiles, k, ["e"], blocks.chunk_of("e", 65_536.0), "_pick")
-    means = (
-        counts.join(numbered, [*k, "_pick"])
-        .select(*k, "rep", "_w", F.posexplode("r").alias("_p", "_r"))
-        .groupBy(*k, "rep", "_p")
-        .agg((F.sum(F.col("_r") * F.col("_w")) / F.sum("_w")).alias("_m"))
-    )
+    numbered = settle(blocks.index_rows(profiles.select(*k, "e", "r"), k, ["e"], blocks.chunk_of("e", float(block)), "_at").join(sizes, k))
+    home = F.floor(F.col("_at") / block).cast("long")
+    schema = ", ".join(f"`{c}` {profiles.schema[c].dataType.simpleString()}" for c in k)
+    name = F.concat_ws("|", F.lit(seed), *k)
+
+    def draw(rows: pa.Table) -> pa.Table:
+        start, slots, n = rows["_name"][0].as_py(), rows["e"].to_pylist(), rows["_n"][0].as_py()
+        heads = [[int(hashlib.md5(f"{start}|{rep}|{e}".encode()).hexdigest()[:12], 16) % n for e in slots] for rep in range(1, n_boot + 1)]
+        picks = np.array(heads, np.int64)
+        cell, count = np.unique(np.arange(n_boot)[:, None] * n + picks, return_counts=True)
+        rep, at = cell // n, cell % n
+        order = np.lexsort((rep, at // block))
+        rep, at, count = rep[order], at[order], count[order]
+        to, first = np.unique(at // block, return_index=True)
+        cut = [slice(a, b) for a, b in zip(first, np.append(first[1:], len(at)))]
+        pack = lambda v, kind: pa.array([v[s].astype(kind).tobytes() for s in cut], pa.binary())
+        keys = {c: pa.array(rows[c][:1].to_pylist() * len(to), rows.schema.field(c).type) for c in k}
+        return pa.table(keys | {"_b": pa.array(to, pa.int64()), "_rep": pack(rep, "<i4"), "_pick": pack(at % block, "<i4"), "_count": pack(count, "<i4")})
+
+    drawn = numbered.select(*k, "e", "_n", name.alias("_name"), home.alias("_b")).groupBy(*k, "_b").applyInArrow(draw, f"{schema}, _b long, _rep binary, _pick binary, _count binary")
+
+    def weigh(key, counts: pa.Table, rows: pa.Table) -> pa.Table:
+        read = lambda c: np.concatenate([np.frombuffer(b, "<i4") for b in counts[c].to_pylist()] or [np.empty(0, np.int32)])
+        at = rows["_at"].to_numpy() % block
+        profile = np.zeros((block, len(rows["r"][0]) if rows.num_rows else 0))
+        profile[at] = np.array(rows["r"].to_pylist(), float).reshape(len(at), -1)
+        weight = np.zeros((n_boot, block))
+        np.add.at(weight, (read("_rep"), read("_pick")), read("_count"))
+        sums = weight @ profile
+        keys = {c: pa.array([v.as_py()] * n_boot, kinds[c]) for c, v in zip(k, key)}
+        return pa.table(keys | {"rep": pa.array(np.arange(1, n_boot + 1)), "_w": pa.array(weight.sum(axis=1)), "_r": pa.array(list(sums), pa.list_(pa.float64()))})
+
+    kinds = {c: to_arrow_type(profiles.schema[c].dataType) for c in k}
+    events = numbered.select(*[F.col(c).alias(f"_h_{c}") for c in k], "_at", F.col("r").cast("array<double>").alias("r"), home.alias("_hb"))
+    made = drawn.groupBy(*k, "_b").cogroup(events.groupBy(*[f"_h_{c}" for c in k], "_hb")).applyInArrow(weigh, f"{schema}, rep long, _w double, _r array<double>")
+    means = made.select(*k, "rep", "_w", F.posexplode("_r").alias("_p", "_r")).groupBy(*k, "rep", "_p").agg((F.sum("_r") / F.sum("_w")).alias("_m"))
     peaks = means.groupBy(*k, "rep").agg((F.min_by("_p", F.struct(-F.round("_m", 12), F.col("_p"))) - max_lag).alias("lag"))
     ends = quantiles(peaks, k, "lag", [0.025, 0.975], ["lag_lo", "lag_hi"])
     return ends.withColumn("ci_width", F.col("lag_hi") - F.col("lag_lo"))
