@@ -338,7 +338,7 @@ def thresholds(df: DataFrame, k: Sequence[str], cfg: PeakRule, adaptive: bool =
 
 
 def braking_layers(
-    w, name: str, n: int, min_speed: float, brake_g: Column, max_speed_ms2: float, dt: float, gradient: bool = False
+    w, name: str, n: int, min_speed: float, brake_g: Column, max_speed_ms2: float, dt: float | Column, gradient: bool = False
 ) -> list[dict[str, Column]]:
     """Braking mask: moving, slowing down and decelerating within the last `n` samples."""
     accel = F.col("lon_acc_g") * G_MS2
@@ -346,7 +346,7 @@ def braking_layers(
         slope = F.atan(F.coalesce(F.col("gradient_pct"), F.lit(0.0)) / 100)
         accel = accel - F.sin(slope) * G_MS2
     trailing = w.rowsBetween(-(n - 1), 0)
-    period = F.coalesce(F.nullif(F.col("sampleperiod_s"), F.lit(0.0)), F.lit(dt))
+    period = F.coalesce(F.nullif(F.col("sampleperiod_s"), F.lit(0.0)), dt if isinstance(dt, Column) else F.lit(dt))
     slow = (F.col("speed_kph") - F.lag("speed_kph").over(w)) * (1000.0 / 3600.0) / period
     return [
         {f"_{name}_dv": slow, f"_{name}_a": accel},
@@ -363,18 +363,46 @@ def braking_layers(
 
 def label_v1(
     df: DataFrame, k: Sequence[str], cfg: PeakRule = PeakRule(), adaptive: bool = False, i="i",
-    block=blocks.BLOCK_ROWS,
+    block=blocks.BLOCK_ROWS, gradient: bool = False,
 ) -> DataFrame:
     """Column `label` by the peak rule (D9): close, drop short, dilate, drop short, priority.
 
     The speed gates read speed_kph. The weak braking path holds the same gates at a threshold
-    0.05 g weaker (at most -0.15 g), so it contains the strong one.
+    0.05 g weaker (at most -0.15 g), so it contains the strong one. Lengths follow from `cfg.dt`
+    for all sessions; `gradient` takes the road's slope (gradient_pct) out of the braking (D8).
+    """
+    lengths = cfg.samples(cfg.window_s, 1), cfg.samples(cfg.min_s, 1), cfg.samples(cfg.expand_s, 0)
+    return _label_peaks(df, k, cfg, lengths, F.lit(cfg.dt), adaptive, i, block, gradient)
+
+
+def label_v1_sessions(
+    df: DataFrame, k: Sequence[str], cfg: PeakRule = PeakRule(), adaptive: bool = False, period: str = "sampleperiod_s", i="i",
+    block=blocks.BLOCK_ROWS, gradient: bool = False,
+) -> DataFrame:
+    """The peak rule with each session's own sampling period (D9): its median, `cfg.dt` where it has none.
+
+    Window lengths in samples are rounded, so sessions of one recorder share them; the sessions of one set of lengths
+    are labelled in one pass with their own periods, and the passes are as many as there are different lengths.
     """
-    n = cfg.samples(cfg.window_s, 1)
-    least = cfg.samples(cfg.min_s, 1)
-    wide = cfg.samples(cfg.expand_s, 0)
+    dt = sample_period(df, k, period, cfg.dt)
+    length = lambda seconds, least: F.greatest(F.lit(least), F.bround(F.lit(seconds) / F.col("dt"))).cast("int")
+    own = settle(dt.select(*k, F.col("dt").alias("_dt"), F.struct(length(cfg.window_s, 1).alias("n"), length(cfg.min_s, 1).alias("least"), length(cfg.expand_s, 0).alias("wide")).alias("_lengths")))
+    # a handful of rates
+    kinds = [tuple(r["_lengths"]) for r in own.select("_lengths").distinct().collect()]
+    if not kinds:
+        return label_v1(df, k, cfg, adaptive, i, block, gradient)
+    parts = []
+    for n, least, wide in sorted(kinds):
+        some = own.filter((F.col("_lengths.n") == n) & (F.col("_lengths.least") == least) & (F.col("_lengths.wide") == wide)).select(*k, "_dt")
+        labelled = _label_peaks(df.join(some, list(k)), k, cfg, (n, least, wide), F.col("_dt"), adaptive, i, block, gradient)
+        parts.append(labelled.drop("_dt"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _label_peaks(df, k, cfg: PeakRule, lengths: tuple[int, int, int], dt: Column, adaptive: bool, i: str, block: int, gradient: bool) -> DataFrame:
+    n, least, wide = lengths
     if "sampleperiod_s" not in df.columns:
-        df = df.withColumn("sampleperiod_s", F.lit(cfg.dt))
+        df = df.withColumn("sampleperiod_s", dt)
         given = [c for c in df.columns if c != "sampleperiod_s"]
     else:
         given = df.columns
@@ -385,7 +413,7 @@ def label_v1(
     def layers(w):
         trailing = w.rowsBetween(trailing_n, 0)
         brake = braking_layers(
-            w, "_brake", n, cfg.min_speed, F.greatest(F.col("thr_brake_g"), weak), cfg.max_speed_ms2, cfg.dt
+            w, "_brake", n, cfg.min_speed, F.greatest(F.col("thr_brake_g"), weak), cfg.max_speed_ms2, dt, gradient
         )
         peaks = {
             "_lon_peak": F.max("lon_acc_g").over(trailing),

@@ -164,6 +164,37 @@ def rule_v1_labels(spark, sf_dir):
     return rules.label_v1(drive(spark, sf_dir), K, PEAK_RULE).select(*K, "i", "label")
 
 
+# Sessions with an odd id are sampled half as often: windows, closing and runs of one sample, dilation by 2 and 1.
+_SLOW = """, oa AS (SELECT *, (speed_kph - lag(speed_kph) OVER """ + W + """)) * (1000.0 / 3600.0) / 0.08 AS odv FROM dr WHERE user_id % 2 = 1),
+    ob AS (SELECT *, coalesce(speed_kph > 15 AND odv <= -0.3 AND lon_acc_g * 9.81 <= (-0.35::DOUBLE + 0.05::DOUBLE) * 9.81, false) AS ob0 FROM oa),
+    oc AS (SELECT *, coalesce(speed_kph > 15 AND lon_acc_g >= 0.38 AND throttle_pct > 25 AND NOT ob0, false) AS oa0, coalesce(speed_kph > 30 AND abs(lat_acc_g) >= 0.75, false) AS ot0 FROM ob),
+    od AS (SELECT *, ot0 OR coalesce(lead(ot0) OVER """ + W + """), false) AS ot1 FROM oc)"""
+_EVERY = """ SELECT user_id, i, CASE WHEN t0h THEN 'Harsh Turning' WHEN b0h THEN 'Harsh Braking' WHEN a0h THEN 'Harsh Acceleration' ELSE 'Normal' END AS label FROM qth WHERE user_id % 2 = 0
+    UNION ALL SELECT user_id, i, CASE WHEN ot1 THEN 'Harsh Turning' WHEN ob0 THEN 'Harsh Braking' WHEN oa0 THEN 'Harsh Acceleration' ELSE 'Normal' END AS label FROM od"""
+
+
+def two_rates(spark, sf_dir):
+    # one period in five is missing, and the session's own stands for it
+    own = F.when(F.pmod("user_id", F.lit(2)) == 1, 0.08).otherwise(0.04)
+    return drive(spark, sf_dir).withColumn("sampleperiod_s", F.when(F.pmod("event_id", F.lit(5)) != 0, own))
+
+
+@query("rule_v1_two_rates", PEAK + _SLOW + _EVERY)
+def rule_v1_two_rates(spark, sf_dir):
+    return rules.label_v1_sessions(two_rates(spark, sf_dir), K, PEAK_RULE).select(*K, "i", "label")
+
+
+@query(
+    "rule_v1_gradient",
+    PEAK.replace("pa AS (SELECT *,", "pg AS (SELECT *, event_id % 21 - 10.0 AS gradient_pct FROM dr), pa AS (SELECT *, lon_acc_g * 9.81 - sin(atan(gradient_pct / 100)) * 9.81 AS flat,")
+    .replace("AS dv FROM dr)", "AS dv FROM pg)").replace("min(lon_acc_g) OVER", "min(flat) OVER").replace("lonm * 9.81 <=", "lonm <=")
+    + " SELECT user_id, i, CASE WHEN t0h THEN 'Harsh Turning' WHEN b0h THEN 'Harsh Braking' WHEN a0h THEN 'Harsh Acceleration' ELSE 'Normal' END AS label FROM qth",
+)
+def rule_v1_gradient(spark, sf_dir):
+    sloped = drive(spark, sf_dir).withColumn("gradient_pct", F.pmod("event_id", F.lit(21)) - F.lit(10.0))
+    return rules.label_v1(sloped, K, PEAK_RULE, gradient=True).select(*K, "i", "label")
+
+
 @query(
     "rule_thresholds_adaptive",
     f"""WITH {DRIVE}, q AS (SELECT user_id, quantile_cont(lon_acc_g, 0.025) AS b, quantile_cont(lon_acc_g, 0.975) FILTER (lon_acc_g > 0) AS a,

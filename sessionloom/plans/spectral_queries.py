@@ -253,15 +253,12 @@ def grip_table(spark, sf_dir):
     points = pose.filter("det").select(
         "label", F.inline(F.array(*[F.struct((F.col("vec_id") * 2 + n).alias("pid"), (F.col(x) + 0.5).alias("x"), (F.col(y) + 0.5).alias("y")) for n, (x, y) in enumerate((("x", "y"), ("x2", "y2")))]))
     ).filter((F.col("x") > 0) & (F.col("x") < 1) & (F.col("y") > 0) & (F.col("y") < 1))
-    return pose, posture.grip_clusters(points, ["label"], (0.3, 0.7, 0.3, 0.7), rounds=GRIP_ROUNDS, min_points=20, tolerance=None)
+    return pose, posture.grip_clusters(points, ["label"], (0.3, 0.7, 0.3, 0.7), min_points=20)
 
 
-#: The rounds that the SQL unrolls; the operator itself goes on until nothing moves.
-GRIP_ROUNDS = 6
-
-
-def _grip_sql(n: int = 3, rounds: int = GRIP_ROUNDS, ridge: float = 0.01) -> str:
-    """The rounds of the mixture, one after the other; `cl` has the clusters as rows."""
+def _grip_sql(n: int = 3, rounds: int = 60, ridge: float = 0.01, tolerance: float = 1e-6) -> str:
+    """The mixture as a recursion that goes on until no cluster of a label moves, or `rounds` are made; `cl` has the clusters as rows."""
+    own = [c + str(j) for j in range(n) for c in ("w", "cx", "cy", "a", "b", "d")]
     sums = ", ".join(f"sum(r{j}) AS m{j}, sum(r{j} * x) AS x{j}, sum(r{j} * y) AS y{j}, sum(r{j} * x * x) AS xx{j}, sum(r{j} * x * y) AS xy{j}, sum(r{j} * y * y) AS yy{j}" for j in range(n))
     found = ", ".join(
         f"m{j} / n AS w{j}, CASE WHEN m{j} > 0 THEN x{j} / m{j} END AS cx{j}, CASE WHEN m{j} > 0 THEN y{j} / m{j} END AS cy{j}, "
@@ -272,31 +269,35 @@ def _grip_sql(n: int = 3, rounds: int = GRIP_ROUNDS, ridge: float = 0.01) -> str
     )
     parts = [
         f"{LM}, gp AS (SELECT label, unnest([x, x2]) + 0.5 AS x, unnest([y, y2]) + 0.5 AS y FROM lm WHERE vec_id % 8 <> 0)",
-        "pts AS (SELECT * FROM gp WHERE x > 0 AND x < 1 AND y > 0 AND y < 1)",
+        "pts AS MATERIALIZED (SELECT * FROM gp WHERE x > 0 AND x < 1 AND y > 0 AND y < 1)",
         "own AS (SELECT label, count(*) AS n, min(x) AS lo, max(x) AS hi, var_pop(x) AS vx, var_pop(y) AS vy, covar_pop(x, y) AS vxy FROM pts GROUP BY label HAVING count(*) >= 20)",
         f"q0 AS (SELECT label, x, y, least(floor((x - lo) / greatest(hi - lo, 1e-12) * {n}), {n - 1}) AS part FROM pts JOIN own USING (label))",
         "s0 AS (SELECT label, x, y, " + ", ".join(f"CAST(part = {j} AS DOUBLE) AS r{j}" for j in range(n)) + " FROM q0)",
-        f"c0 AS (SELECT label, {found} FROM (SELECT label, {sums} FROM s0 GROUP BY label) JOIN own USING (label))",
     ]
-    for t in range(1, rounds + 1):
-        dens = ", ".join(
-            f"coalesce(w{j} * exp((d{j} * (x - cx{j}) * (x - cx{j}) - b{j} * (x - cx{j}) * (y - cy{j}) * 2 + a{j} * (y - cy{j}) * (y - cy{j})) / (a{j} * d{j} - b{j} * b{j}) / -2) / sqrt(a{j} * d{j} - b{j} * b{j}), 0) AS p{j}"
-            for j in range(n)
-        )
-        total = " + ".join(f"p{j}" for j in range(n))
-        shares = ", ".join(f"CASE WHEN {total} > 0 THEN p{j} / ({total}) ELSE {1.0 / n} END AS r{j}" for j in range(n))
-        parts += [
-            f"q{t} AS (SELECT label, x, y, {dens} FROM pts JOIN c{t - 1} USING (label))",
-            f"s{t} AS (SELECT label, x, y, {shares} FROM q{t})",
-            f"c{t} AS (SELECT label, {found} FROM (SELECT label, {sums} FROM s{t} GROUP BY label) JOIN own USING (label))",
-        ]
-    rows = " UNION ALL ".join(f"SELECT label, w{j} AS w, cx{j} AS cx, cy{j} AS cy, a{j} AS a, b{j} AS b, d{j} AS d FROM c{rounds}" for j in range(n))
+    dens = ", ".join(
+        f"coalesce(w{j} * exp((d{j} * (x - cx{j}) * (x - cx{j}) - b{j} * (x - cx{j}) * (y - cy{j}) * 2 + a{j} * (y - cy{j}) * (y - cy{j})) / (a{j} * d{j} - b{j} * b{j}) / -2) / sqrt(a{j} * d{j} - b{j} * b{j}), 0) AS p{j}"
+        for j in range(n)
+    )
+    total = " + ".join(f"p{j}" for j in range(n))
+    shares = ", ".join(f"CASE WHEN {total} > 0 THEN p{j} / ({total}) ELSE {1.0 / n} END AS r{j}" for j in range(n))
+    was, now = ", ".join(f"any_value({c}) AS was_{c}" for c in own), ", ".join(own)
+    moved = " OR ".join(f"coalesce(abs({c} - was_{c}) > {tolerance}, false)" for c in own)
+    parts.append(f"""c AS (
+        SELECT label, 0 AS t, {found}, true AS moves FROM (SELECT label, {sums} FROM s0 GROUP BY label) JOIN own USING (label)
+        UNION ALL
+        SELECT label, t, {now}, {moved} AS moves FROM (
+            SELECT label, t, {", ".join("was_" + c for c in own)}, {found} FROM (
+                SELECT label, any_value(t) + 1 AS t, {was}, {sums} FROM (
+                    SELECT *, {shares} FROM (SELECT label, x, y, t, {now}, {dens} FROM pts JOIN c USING (label) WHERE moves AND t < {rounds}))
+                GROUP BY label) JOIN own USING (label)))""")
+    parts.append("fin AS (SELECT * FROM c QUALIFY t = max(t) OVER (PARTITION BY label))")
+    rows = " UNION ALL ".join(f"SELECT label, w{j} AS w, cx{j} AS cx, cy{j} AS cy, a{j} AS a, b{j} AS b, d{j} AS d FROM fin" for j in range(n))
     parts.append(f"comps AS (SELECT *, a * d - b * b AS det, sqrt((a + d) / 2 + sqrt(pow((a - d) / 2, 2) + b * b)) AS major, sqrt(greatest((a + d) / 2 - sqrt(pow((a - d) / 2, 2) + b * b), 0)) AS minor FROM ({rows}) WHERE w > 0)")
     parts.append(
         "cl AS (SELECT label, w AS weight, cx, cy, major AS sd_major, minor AS sd_minor, d / det AS ixx, -b / det AS ixy, a / det AS iyy, "
         "cx BETWEEN 0.3 AND 0.7 AND cy BETWEEN 0.3 AND 0.7 AND w >= 0.15 AND major < 0.12 AS kept FROM comps)"
     )
-    return "WITH " + ", ".join(parts)
+    return "WITH RECURSIVE " + ", ".join(parts)
 
 
 _FIELDS = ("weight", "cx", "cy", "sd_major", "sd_minor", "ixx", "ixy", "iyy")
