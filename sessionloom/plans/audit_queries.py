@@ -334,12 +334,13 @@ def endpoint_audit(spark, sf_dir):
 
 @query(
     "duration_differences",
-    f"""WITH {EV}, a AS (SELECT user_id, max(t) - min(t) AS d FROM ev WHERE event_type = 'view' GROUP BY user_id), b AS (SELECT user_id, max(t) - min(t) AS d FROM ev WHERE event_type = 'click' GROUP BY user_id), x AS (SELECT a.d - b.d AS diff FROM a JOIN b USING (user_id))
+    f"""WITH {EV}, a AS (SELECT user_id, max(t) - min(t) AS d FROM ev WHERE event_type IN ('view', 'click') GROUP BY user_id), b AS (SELECT user_id, max(t) - min(t) AS d FROM ev WHERE event_type NOT IN ('view', 'click') GROUP BY user_id), x AS (SELECT a.d - b.d AS diff FROM a JOIN b USING (user_id))
     SELECT count(*) AS n, count(*) FILTER (abs(diff) > 86400) AS "n_gt_86400s", count(*) FILTER (abs(diff) > 300000) AS "n_gt_300000s", round(avg(abs(diff)), 3) AS mean_abs_diff_s FROM x""",
 )
 def duration_differences(spark, sf_dir):
     ev = events(spark, sf_dir)
-    a, b = (ev.filter(F.col("event_type") == e).groupBy(*K).agg((F.max("t") - F.min("t")).alias("duration_s")) for e in ("view", "click"))
+    first = F.col("event_type").isin("view", "click")
+    a, b = (ev.filter(e).groupBy(*K).agg((F.max("t") - F.min("t")).alias("duration_s")) for e in (first, ~first))
     return rounded(trim.duration_tally(trim.duration_diff(a, b, K), (86_400, 300_000)), "mean_abs_diff_s", digits=3)
 
 
@@ -630,13 +631,13 @@ def native_candidates(spark, sf_dir):
 
 @query(
     "greedy_spacing",
-    f"""WITH RECURSIVE {EV}, s AS (SELECT user_id, event_id, t FROM ev WHERE value > 20),
+    f"""WITH RECURSIVE {EV}, s AS (SELECT user_id, event_id, t FROM ev),
     g AS (SELECT user_id, min(t) AS t FROM s GROUP BY user_id UNION ALL SELECT g.user_id, (SELECT min(s.t) FROM s WHERE s.user_id = g.user_id AND s.t > g.t + 172800) FROM g WHERE (SELECT min(s.t) FROM s WHERE s.user_id = g.user_id AND s.t > g.t + 172800) IS NOT NULL)
     SELECT s.user_id, s.event_id FROM s JOIN g ON g.user_id = s.user_id AND g.t = s.t""",
 )
 def greedy_spacing(spark, sf_dir):
-    strong = events(spark, sf_dir).filter("value > 20").select(*K, "event_id", "t")
-    return E.greedy_spacing(strong, K, "t", 172_800.0, width(sf_dir)).select(*K, "event_id")
+    every = events(spark, sf_dir).select(*K, "event_id", "t")
+    return E.greedy_spacing(every, K, "t", 172_800.0, width(sf_dir)).select(*K, "event_id")
 
 
 @query(
@@ -669,7 +670,7 @@ def response_window(spark, sf_dir):
 
 @query(
     "native_event_table",
-    f"""WITH {EV}, a AS (SELECT user_id, event_id, t, value AS amp FROM ev WHERE event_type = 'purchase'), r AS (SELECT user_id, t AS rt, value * 100 AS rise FROM ev WHERE event_type = 'error'), s AS (SELECT user_id, t AS st, value AS sv FROM ev WHERE event_type IN ('view', 'click')),
+    f"""WITH {EV}, a AS (SELECT user_id, event_id, t, value AS amp FROM ev WHERE event_type IN ('purchase', 'signup')), r AS (SELECT user_id, t AS rt, value * 100 AS rise FROM ev WHERE event_type = 'error'), s AS (SELECT user_id, t AS st, value AS sv FROM ev WHERE event_type IN ('view', 'click')),
     w AS (SELECT user_id, min(st) AS w0, max(st) AS w1, arg_max(sv, st) AS vend FROM s GROUP BY user_id),
     j AS (SELECT a.*, p.rt AS pt, p.rise AS pr, n.rt AS nt, n.rise AS nr FROM a ASOF LEFT JOIN r p ON a.user_id = p.user_id AND a.t >= p.rt ASOF LEFT JOIN r n ON a.user_id = n.user_id AND a.t <= n.rt),
     k AS (SELECT user_id, event_id, t, amp, CASE WHEN pt IS NOT NULL AND (nt IS NULL OR t - pt <= nt - t) THEN CASE WHEN t - pt <= 86400 THEN pr END ELSE CASE WHEN nt - t <= 86400 THEN nr END END AS rise FROM j),
@@ -680,7 +681,7 @@ def response_window(spark, sf_dir):
 )
 def native_event_table(spark, sf_dir):
     ev = events(spark, sf_dir)
-    amplitude = ev.filter("event_type = 'purchase'").select(*K, "event_id", "t", F.col("value").alias("amplitude"))
+    amplitude = ev.filter(F.col("event_type").isin("purchase", "signup")).select(*K, "event_id", "t", F.col("value").alias("amplitude"))
     rise = ev.filter("event_type = 'error'").select(*K, "t", (F.col("value") * 100).alias("rise_time"))
     signal = ev.filter(F.col("event_type").isin("view", "click")).select(*K, "t", "value")
     windows = signal.groupBy(*K).agg(F.min("t").alias("w_start"), F.max("t").alias("w_end"))

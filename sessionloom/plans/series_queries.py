@@ -315,10 +315,10 @@ def unwrap_heading(spark, sf_dir):
     return frames.unwrap_angle(headed, K, "h", "unwrapped").select(*K, "i", r6("unwrapped").alias("unwrapped"))
 
 
-# Alignment: views are looked up in purchases of the same user.
+# Alignment: views and clicks are looked up in the other events of the same user.
 
-SIDES = EV + """, l AS (SELECT user_id, event_id, t FROM ev WHERE event_type = 'view'),
-    r AS (SELECT user_id, event_id AS r_id, t AS rt, value FROM ev WHERE event_type = 'purchase'),
+SIDES = EV + """, l AS (SELECT user_id, event_id, t FROM ev WHERE event_type IN ('view', 'click')),
+    r AS (SELECT user_id, event_id AS r_id, t AS rt, value FROM ev WHERE event_type NOT IN ('view', 'click')),
     j AS (SELECT l.*, p.r_id AS p_id, p.rt AS p_t, p.value AS p_v, n.r_id AS n_id, n.rt AS n_t, n.value AS n_v
           FROM l ASOF LEFT JOIN r p ON l.user_id = p.user_id AND l.t >= p.rt
           ASOF LEFT JOIN r n ON l.user_id = n.user_id AND l.t <= n.rt),
@@ -328,9 +328,9 @@ SIDES = EV + """, l AS (SELECT user_id, event_id, t FROM ev WHERE event_type = '
 
 
 def sides(spark, sf_dir):
-    ev = events(spark, sf_dir)
-    left = ev.filter("event_type = 'view'").select(*K, "event_id", "t")
-    right = ev.filter("event_type = 'purchase'").select(*K, F.col("event_id").alias("r_id"), "t", "value")
+    left, right = streams(spark, sf_dir)
+    left = left.select(*K, "event_id", "t")
+    right = right.select(*K, F.col("event_id").alias("r_id"), "t", "value")
     return left, right
 
 
@@ -354,9 +354,12 @@ def asof_next_prev(spark, sf_dir):
     return both.select(*K, "event_id", "p_id", "n_id")
 
 
+CHAIN = ("('view', 'click')", "('purchase', 'signup')", "('error')")
+
+
 @query(
     "asof_chain",
-    f"""WITH {EV}, {", ".join(f"s{n} AS (SELECT user_id, t AS t{n}, value AS v{n} FROM ev WHERE event_type = '{e}')" for n, e in enumerate(["view", "click", "error"]))},
+    f"""WITH {EV}, {", ".join(f"s{n} AS (SELECT user_id, t AS t{n}, value AS v{n} FROM ev WHERE event_type IN {e})" for n, e in enumerate(CHAIN))},
     a AS (SELECT s0.*, p.t1 AS pt, p.v1 AS pv, n.t1 AS nt, n.v1 AS nv FROM s0
           ASOF LEFT JOIN s1 p ON s0.user_id = p.user_id AND s0.t0 >= p.t1
           ASOF LEFT JOIN s1 n ON s0.user_id = n.user_id AND s0.t0 <= n.t1),
@@ -372,8 +375,8 @@ def asof_next_prev(spark, sf_dir):
 def asof_chain(spark, sf_dir):
     ev = events(spark, sf_dir)
     parts = [
-        ev.filter(F.col("event_type") == e).select(*K, "t", F.col("value").alias(n))
-        for e, n in (("view", "x"), ("click", "y"), ("error", "z"))
+        ev.filter(f"event_type IN {e}").select(*K, "t", F.col("value").alias(n))
+        for e, n in zip(CHAIN, "xyz")
     ]
     return asof.asof_chain(parts, K, "t", 43_200.0, width(sf_dir)).select(*K, r6("t").alias("t"), "x", "y", "z")
 
@@ -384,7 +387,7 @@ GRID_FS = 1.0 / 21_600
 GRID = EV + """, win AS (SELECT user_id, min(t) AS w_start, max(t) AS w_end FROM ev GROUP BY user_id),
     gi AS (SELECT user_id, w_start, unnest(generate_series(0, CAST(ceil((w_end - w_start) / (1.0 / (1.0 / 21600))) AS BIGINT) - 1)) AS i FROM win),
     grid AS (SELECT user_id, i, w_start + i * (1.0 / (1.0 / 21600)) AS g FROM gi),
-    smp AS (SELECT user_id, t AS st, value AS sv, event_type AS sl FROM ev WHERE event_type = 'view'),
+    smp AS (SELECT user_id, t AS st, value AS sv, event_type AS sl FROM ev),
     cnt AS (SELECT user_id, count(*) AS n FROM smp GROUP BY user_id),
     br AS (SELECT grid.*, p.st AS pt, p.sv AS pv, p.sl AS pl, n.st AS nt, n.sv AS nv, n.sl AS nl, coalesce(c.n, 0) AS n
            FROM grid ASOF LEFT JOIN smp p ON grid.user_id = p.user_id AND grid.g > p.st
@@ -400,8 +403,8 @@ def grid_of(spark, sf_dir):
     return resample.uniform_grid(windows, K, GRID_FS)
 
 
-def views(spark, sf_dir):
-    return events(spark, sf_dir).filter("event_type = 'view'").select(*K, "t", "value")
+def samples(spark, sf_dir):
+    return events(spark, sf_dir).select(*K, "t", "value")
 
 
 @query("uniform_grid", f"WITH {GRID} SELECT user_id, i, round(g, 6) AS t FROM grid")
@@ -411,13 +414,13 @@ def uniform_grid(spark, sf_dir):
 
 @query("resample_linear", f"WITH {GRID} SELECT user_id, i, round(v, 6) AS value FROM lin")
 def resample_linear(spark, sf_dir):
-    done = resample.resample_linear(views(spark, sf_dir), grid_of(spark, sf_dir), K, "t", "value", width(sf_dir))
+    done = resample.resample_linear(samples(spark, sf_dir), grid_of(spark, sf_dir), K, "t", "value", width(sf_dir))
     return done.select(*K, "i", r6("value").alias("value"))
 
 
 @query("gap_mask", f"WITH {GRID} SELECT user_id, i, gap AS in_gap FROM lin")
 def gap_mask(spark, sf_dir):
-    done = resample.gap_mask(views(spark, sf_dir), grid_of(spark, sf_dir), K, "t", "value", 3 * 43_200.0, width(sf_dir))
+    done = resample.gap_mask(samples(spark, sf_dir), grid_of(spark, sf_dir), K, "t", "value", 3 * 43_200.0, width(sf_dir))
     return done.select(*K, "i", "in_gap")
 
 
@@ -427,7 +430,7 @@ def gap_mask(spark, sf_dir):
 )
 def resample_gap_aware(spark, sf_dir):
     done = resample.resample_gap_aware(
-        views(spark, sf_dir), grid_of(spark, sf_dir), K, "t", "value", 43_200.0, width(sf_dir)
+        samples(spark, sf_dir), grid_of(spark, sf_dir), K, "t", "value", 43_200.0, width(sf_dir)
     )
     return done.select(*K, "i", r6("value").alias("value"), F.col("value_dropout_flag").alias("dropout_flag"))
 
@@ -443,13 +446,13 @@ def resample_gap_aware(spark, sf_dir):
     SELECT user_id, i, round(CASE WHEN n >= 4 THEN CASE WHEN d < 0 THEN d + 360 ELSE d END END, 5) AS heading FROM a""",
 )
 def resample_circular(spark, sf_dir):
-    done = resample.resample_circular(views(spark, sf_dir), grid_of(spark, sf_dir), K, "t", "value", width(sf_dir))
+    done = resample.resample_circular(samples(spark, sf_dir), grid_of(spark, sf_dir), K, "t", "value", width(sf_dir))
     return done.select(*K, "i", F.round("value", 5).alias("heading"))
 
 
 @query(
     "lookup_next",
-    f"""WITH {GRID.replace("FROM ev WHERE event_type = 'view'", "FROM ev")} SELECT user_id, i, coalesce(nl, pl) AS event_type FROM br""",
+    f"""WITH {GRID} SELECT user_id, i, coalesce(nl, pl) AS event_type FROM br""",
 )
 def lookup_next(spark, sf_dir):
     labels = events(spark, sf_dir).select(*K, "t", "event_type")
@@ -458,7 +461,7 @@ def lookup_next(spark, sf_dir):
 
 
 def _channel_sql(e):
-    return f"""{e}_s AS (SELECT user_id, t AS st, value AS sv FROM ev WHERE event_type = '{e}'),
+    return f"""{e}_s AS (SELECT user_id, t AS st, value AS sv FROM ev WHERE event_type = '{e}' OR '{e}' = 'every'),
     {e}_c AS (SELECT user_id, count(*) AS n FROM {e}_s GROUP BY user_id),
     {e}_b AS (SELECT grid.user_id, grid.i, grid.g, p.st AS pt, p.sv AS pv, n.st AS nt, n.sv AS nv, coalesce(c.n, 0) AS n
         FROM grid ASOF LEFT JOIN {e}_s p ON grid.user_id = p.user_id AND grid.g > p.st
@@ -467,44 +470,49 @@ def _channel_sql(e):
         ELSE pv + (nv - pv) / (nt - pt) * (g - pt) END AS v, pt IS NULL OR nt IS NULL OR nt - pt > 3 * 43200.0 AS gap FROM {e}_b)"""
 
 
+#: The event types of the table.
+CHANNELS = ["view", "click", "purchase", "error", "signup"]
+
+
 @query(
     "fuse_channels",
-    f"""WITH {GRID}, {", ".join(_channel_sql(e) for e in ("view", "click", "signup"))}
-    SELECT a.user_id, a.i, round(a.v, 6) AS view, round(b.v, 6) AS click,
+    f"""WITH {GRID}, {", ".join(_channel_sql(e) for e in CHANNELS)}
+    SELECT a.user_id, a.i, round(a.v, 6) AS view, round(b.v, 6) AS click, round(d.v, 6) AS purchase, round(e.v, 6) AS error,
            round(CASE WHEN NOT c.gap THEN c.v END, 6) AS signup, (c.gap OR c.v IS NULL) AS signup_dropout_flag
-    FROM view_v a JOIN click_v b USING (user_id, i) JOIN signup_v c USING (user_id, i)""",
+    FROM view_v a JOIN click_v b USING (user_id, i) JOIN signup_v c USING (user_id, i) JOIN purchase_v d USING (user_id, i) JOIN error_v e USING (user_id, i)""",
 )
 def fuse_channels(spark, sf_dir):
-    samples = events(spark, sf_dir).select(*K, "t", F.col("event_type").alias("channel"), "value")
+    long = events(spark, sf_dir).select(*K, "t", F.col("event_type").alias("channel"), "value")
     done = resample.resample_channels(
-        samples, grid_of(spark, sf_dir), K, "t", "value", ["view", "click", "signup"], width(sf_dir), {"signup": 43_200.0}
+        long, grid_of(spark, sf_dir), K, "t", "value", CHANNELS, width(sf_dir), {"signup": 43_200.0}
     )
-    return done.select(*K, "i", *[r6(c).alias(c) for c in ("view", "click", "signup")], "signup_dropout_flag")
+    return done.select(*K, "i", *[r6(c).alias(c) for c in CHANNELS], "signup_dropout_flag")
 
 
 @query(
     "resample_axes",
-    f"""WITH {GRID}, {", ".join(_channel_sql(e) for e in ("view",))}
-    SELECT user_id, i, round(v, 6) AS acc_x, round(2 * v, 6) AS acc_y, round(sqrt(v * v + 4 * v * v), 6) AS acc_mag FROM view_v""",
+    f"""WITH {GRID}, {_channel_sql("every")}
+    SELECT user_id, i, round(v, 6) AS acc_x, round(2 * v, 6) AS acc_y, round(sqrt(v * v + 4 * v * v), 6) AS acc_mag FROM every_v""",
 )
 def resample_axes(spark, sf_dir):
-    samples = views(spark, sf_dir).select(*K, "t", F.col("value").alias("x"), (F.col("value") * 2).alias("y"))
-    done = resample.resample_axes(samples, grid_of(spark, sf_dir), K, "t", ["x", "y"], width(sf_dir), "acc")
+    axes = samples(spark, sf_dir).select(*K, "t", F.col("value").alias("x"), (F.col("value") * 2).alias("y"))
+    done = resample.resample_axes(axes, grid_of(spark, sf_dir), K, "t", ["x", "y"], width(sf_dir), "acc")
     return done.select(*K, "i", *[r6(c).alias(c) for c in ("acc_x", "acc_y", "acc_mag")])
 
 
 @query(
     "sample_at_times",
-    f"""WITH {EV}, smp AS (SELECT user_id, t AS st, value AS sv FROM ev WHERE event_type = 'view'),
+    f"""WITH {EV}, smp AS (SELECT user_id, t AS st, value AS sv FROM ev WHERE event_type IN ('view', 'click')),
     br AS (SELECT e.user_id, e.event_id, e.t AS g, p.st AS pt, p.sv AS pv, n.st AS nt, n.sv AS nv
-           FROM (SELECT * FROM ev WHERE event_type = 'error') e ASOF LEFT JOIN smp p ON e.user_id = p.user_id AND e.t > p.st
+           FROM (SELECT * FROM ev WHERE event_type NOT IN ('view', 'click')) e ASOF LEFT JOIN smp p ON e.user_id = p.user_id AND e.t > p.st
            ASOF LEFT JOIN smp n ON e.user_id = n.user_id AND e.t <= n.st)
     SELECT user_id, event_id, round(CASE WHEN pt IS NULL THEN nv WHEN nt IS NULL THEN pv WHEN nt = g THEN nv
             ELSE pv + (nv - pv) / (nt - pt) * (g - pt) END, 6) AS value FROM br""",
 )
 def sample_at_times(spark, sf_dir):
-    probes = events(spark, sf_dir).filter("event_type = 'error'").select(*K, "event_id", "t")
-    return asof.sample_at(views(spark, sf_dir), probes, K, "t", "value", width(sf_dir)).select(
+    series_, probes = streams(spark, sf_dir)
+    probes = probes.select(*K, "event_id", "t")
+    return asof.sample_at(series_.select(*K, "t", "value"), probes, K, "t", "value", width(sf_dir)).select(
         *K, "event_id", r6("value").alias("value")
     )
 

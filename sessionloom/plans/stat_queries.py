@@ -351,13 +351,14 @@ def point_in_interval(spark, sf_dir):
 
 @query(
     "overlap_join",
-    f"""WITH {EV}, a AS (SELECT user_id, event_id AS a_id, t AS a0, t + 3600 + value * 100 AS a1 FROM ev WHERE event_type = 'view'), b AS (SELECT user_id, event_id AS b_id, t AS b0, t + 5400 AS b1 FROM ev WHERE event_type = 'click')
+    f"""WITH {EV}, a AS (SELECT user_id, event_id AS a_id, t AS a0, t + 3600 + value * 100 AS a1 FROM ev WHERE event_type IN ('view', 'click')), b AS (SELECT user_id, event_id AS b_id, t AS b0, t + 5400 AS b1 FROM ev WHERE event_type NOT IN ('view', 'click'))
     SELECT user_id, a_id, b_id FROM a JOIN b USING (user_id) WHERE a0 <= b1 AND b0 <= a1""",
 )
 def overlap_join(spark, sf_dir):
     ev = events(spark, sf_dir)
-    a = ev.filter("event_type = 'view'").select(*K, F.col("event_id").alias("a_id"), F.col("t").alias("a0"), (F.col("t") + 3600 + F.col("value") * 100).alias("a1"))
-    b = ev.filter("event_type = 'click'").select(*K, F.col("event_id").alias("b_id"), F.col("t").alias("b0"), (F.col("t") + 5400).alias("b1"))
+    first = F.col("event_type").isin("view", "click")
+    a = ev.filter(first).select(*K, F.col("event_id").alias("a_id"), F.col("t").alias("a0"), (F.col("t") + 3600 + F.col("value") * 100).alias("a1"))
+    b = ev.filter(~first).select(*K, F.col("event_id").alias("b_id"), F.col("t").alias("b0"), (F.col("t") + 5400).alias("b1"))
     return intervals.overlap_join(a, b, K, ("a0", "a1"), ("b0", "b1"), 14_400.0).select(*K, "a_id", "b_id")
 
 
@@ -447,10 +448,10 @@ def attach_overrides(spark, sf_dir):
 
 @query(
     "exception_tags",
-    """SELECT c_custkey, coalesce(t.tags, []) AS tags FROM customer LEFT JOIN (SELECT o_custkey, list_sort(list(DISTINCT o_orderpriority)) AS tags FROM orders WHERE o_orderstatus = 'P' GROUP BY o_custkey) t ON o_custkey = c_custkey""",
+    """SELECT c_custkey, coalesce(t.tags, []) AS tags FROM customer LEFT JOIN (SELECT o_custkey, list_sort(list(DISTINCT o_orderpriority)) AS tags FROM orders GROUP BY o_custkey) t ON o_custkey = c_custkey""",
 )
 def exception_tags(spark, sf_dir):
-    tags = table(spark, sf_dir, "orders").filter("o_orderstatus = 'P'").select(F.col("o_custkey").alias("c_custkey"), "o_orderpriority")
+    tags = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey"), "o_orderpriority")
     return relations.attach_tags(table(spark, sf_dir, "customer").select("c_custkey"), tags, ["c_custkey"], "o_orderpriority", "tags")
 
 
@@ -570,7 +571,7 @@ def parse_texts(spark, sf_dir):
 
 @query(
     "load_aligned",
-    f"""WITH {EV}, l AS (SELECT * FROM ev WHERE event_type IN ('view', 'click')), r AS (SELECT user_id, t AS rt, value AS rv FROM ev WHERE event_type = 'purchase'),
+    f"""WITH {EV}, l AS (SELECT * FROM ev WHERE event_type IN ('view', 'click')), r AS (SELECT user_id, t AS rt, value AS rv FROM ev WHERE event_type NOT IN ('view', 'click')),
     j AS (SELECT l.user_id, l.event_id, l.t, l.value BETWEEN 1 AND 100 AS value_valid, p.rt AS pt, p.rv AS pv, n.rt AS nt, n.rv AS nv FROM l ASOF LEFT JOIN r p ON l.user_id = p.user_id AND l.t >= p.rt ASOF LEFT JOIN r n ON l.user_id = n.user_id AND l.t <= n.rt)
     SELECT user_id, event_id, value_valid, CASE WHEN pt IS NOT NULL AND (nt IS NULL OR t - pt <= nt - t) THEN pv ELSE nv END AS face FROM j""",
 )
@@ -579,6 +580,6 @@ def load_aligned(spark, sf_dir):
 
     ev = events(spark, sf_dir)
     fused = ev.filter(F.col("event_type").isin("view", "click")).select(*K, "event_id", "t", "value")
-    face = ev.filter("event_type = 'purchase'").select(*K, "t", F.col("value").alias("face"))
+    face = ev.filter(~F.col("event_type").isin("view", "click")).select(*K, "t", F.col("value").alias("face"))
     out = align_modalities(fused, {"face": face}, K, "t", width(sf_dir), {"value": (1, 100)}, {})
     return out.select(*K, "event_id", "value_valid", "face")
