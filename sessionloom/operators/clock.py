@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import settle
@@ -156,12 +156,20 @@ def device_to_unix(df: DataFrame, maps: DataFrame, k: Sequence[str], ts_ms: str,
 
 
 def anchor_shift(old: DataFrame, new: DataFrame, k: Sequence[str]) -> DataFrame:
-    """Shift of each session's anchor between two calibrations, largest first."""
+    """Shift of each session's anchor between two calibrations (C7); `largest` lists the worst."""
     a = old.select(*k, F.col("anchor_s").alias("_old"))
     b = new.select(*k, F.col("anchor_s").alias("_new"))
     return a.join(b, list(k)).select(*k, (F.col("_new") - F.col("_old")).alias("shift_s"))
 
 
+def largest(df: DataFrame, k: Sequence[str], c: str, n: int) -> DataFrame:
+    """The `n` sessions with the largest size of `c`, worst first, with their rank."""
+    order = [F.round(F.abs(c), 6).desc(), *k]
+    few = df.filter(F.col(c).isNotNull()).orderBy(*order).limit(n)
+    # n rows
+    return few.withColumn("rank", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*order)))
+
+
 def shift_summary(shifts: DataFrame) -> DataFrame:
     """How many anchors moved by more than 0.5, 1 and 2 seconds."""
     size = F.abs("shift_s")
@@ -270,6 +278,27 @@ def clock_continuity(df, k, tod: str, elapsed: str, jump: float = 0.5, i="i", bl
     )
 
 
+def clock_health(df: DataFrame, k: Sequence[str], segment: str, satellites: str) -> DataFrame:
+    """Video segments and the fewest satellites of each session."""
+    return df.groupBy(*k).agg(F.count_distinct(segment).alias("n_segments"), F.min(satellites).alias("min_satellites"))
+
+
+def clock_segments(df: DataFrame, k: Sequence[str], segment: str, video: str, elapsed: str, jump: float = 0.5, i="i", block=blocks.BLOCK_ROWS) -> DataFrame:
+    """Per video segment: rows, the range of video time minus elapsed time, and its jumps.
+
+    Rows are numbered inside their segment, so a segment may be of any length and need not be in one piece.
+    """
+    rows = df.select(*k, segment, i, elapsed, (F.col(video) - F.col(elapsed)).alias("_gap"))
+    own = [*k, segment]
+    numbered = blocks.index_rows(rows, own, [i], blocks.chunk_of(i, float(block)), "_s")
+    framed = blocks.over_blocks(numbered, own, 1, 0, lambda w: [{"_j": F.col("_gap") - F.lag("_gap").over(w), "_at": F.lag(elapsed).over(w)}], "_s", block)
+    jumps = F.abs("_j") > jump
+    return framed.groupBy(*own).agg(
+        F.count(F.lit(1)).alias("n"), (F.max("_gap") - F.min("_gap")).alias("residual_range_s"), F.count(F.when(jumps, 1)).alias("n_jumps"),
+        F.min(F.when(jumps, F.col("_at"))).alias("first_jump_at_s"), F.max(F.when(jumps, F.abs("_j"))).alias("largest_jump_s"),
+    )
+
+
 def first_jumps(df, k, tod: str, elapsed: str, jump: float = 0.5, i="i", block=blocks.BLOCK_ROWS) -> DataFrame:
     """Cut table for T25: the last elapsed time before each session's first clock jump."""
     marked = clock_jumps(df, k, tod, elapsed, jump, i, block)

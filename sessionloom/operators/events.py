@@ -117,6 +117,27 @@ def clip_outcome(base: DataFrame, clipped: DataFrame, k: Sequence[str], width: f
     return kept.unionByName(appears)
 
 
+def implausible(limit: float) -> Column:
+    return F.coalesce((F.abs("lat_acc_g") > limit) | (F.abs("lon_acc_g") > limit), F.lit(False))
+
+
+def artefact_classes(samples: DataFrame, k: Sequence[str], label: str, limit: float = 1.2, i="i", block=blocks.BLOCK_ROWS) -> DataFrame:
+    """Events of each class per session, and how many of them hold an implausible acceleration."""
+    marked = runs.mark_runs(samples.select(*k, i, label, implausible(limit).alias("_bad")), k, label, i, block=block).filter(F.col(label) != rules.NORMAL)
+    each = marked.groupBy(*k, "run_i0", label).agg(F.max(F.col("_bad").cast("bigint")).alias("_hit"))
+    return each.groupBy(*k, F.col(label).alias("class")).agg(F.count(F.lit(1)).alias("n_events"), F.sum("_hit").alias("n_affected"))
+
+
+def artefact_run_details(samples: DataFrame, k: Sequence[str], label: str, t: str, speed: str, limit: float = 1.2, i="i", block=blocks.BLOCK_ROWS) -> DataFrame:
+    """Runs of implausible accelerations with where they start, how fast, and the labels they touch."""
+    flagged = samples.select(*k, i, t, speed, label, implausible(limit).alias("_bad"))
+    marked = runs.mark_runs(flagged, k, "_bad", i, {"start_t": F.col(t), "start_speed": F.col(speed)}, block=block).filter("_bad")
+    # a set of classes, of which there are few
+    return marked.groupBy(*k, F.col("run_i0").alias("i0"), F.col("run_i1").alias("i1")).agg(
+        F.first("start_t").alias("start_t"), F.first("start_speed").alias("start_speed"), F.sort_array(F.collect_set(label)).alias("labels_in_run")
+    )
+
+
 def artefact_overlap(
     samples: DataFrame, k: Sequence[str], label: str, limit: float = 1.2, brief: int = 3, ctx: int = 5,
     i="i", block=blocks.BLOCK_ROWS,
@@ -524,6 +545,12 @@ def stop_verdict(at: Column, later: Column, control: Column) -> Column:
     )
 
 
+def attempted_turns(df: DataFrame, k: Sequence[str], lateral: str, speed: str, label: str, least_g: float = 0.20, moving: float = 30.0) -> DataFrame:
+    """Per drive the largest smoothed lateral acceleration of `least_g` or more, at speed, outside labelled turns; 0 where there is none."""
+    outside = (F.col(lateral) >= least_g) & (F.col(speed) > moving) & (F.col(label) != rules.TURN)
+    return df.groupBy(*k).agg(F.coalesce(F.max(F.when(outside, F.col(lateral))), F.lit(0.0)).alias("max_lateral_outside_turns_g"))
+
+
 def manoeuvre_table(df: DataFrame, k: Sequence[str], p: rules.Rule = rules.ADOPTED, substitutions: dict[str, Column] | None = None, i="i", t="t") -> DataFrame:
     """Events of a calibration drive: channels it lacks are substituted, then labelled and
     described (E9)."""

@@ -253,6 +253,17 @@ def availability(meta: DataFrame, manifest: DataFrame, k: Sequence[str], kinds:
     return meta.join(has, list(k), "left").withColumns({f"has_{x}": F.coalesce(F.col(f"_{x}") == 1, F.lit(False)) for x in kinds}).drop(*[f"_{x}" for x in kinds])
 
 
+def availability_totals(available: DataFrame, kinds: Sequence[str], rates: Mapping[str, str], duration_s: str) -> DataFrame:
+    """One row: sessions, those with each kind of file, the mean rate of a kind where it is there, and hours in all (Q14). `available`: has_<kind> columns;
+    rates: a kind's rate column."""
+    return available.agg(
+        F.count(F.lit(1)).alias("n_sessions"),
+        *[F.count(F.when(F.col(f"has_{x}"), 1)).alias(f"n_{x}") for x in kinds],
+        *[F.avg(F.when(F.col(f"has_{x}"), F.col(c))).alias(f"mean_rate_{x}") for x, c in rates.items()],
+        (F.sum(duration_s) / 3600).alias("hours"),
+    )
+
+
 def session_metadata(fused: DataFrame, features: Mapping[str, tuple[DataFrame, Column]], k: Sequence[str], t: str) -> DataFrame:
     """Per session: duration, rows, and rows and detection rate of each feature table (Q15)."""
     out = fused.groupBy(*k).agg((F.max(t) - F.min(t)).alias("duration_s"), F.count(F.lit(1)).alias("n_rows"))

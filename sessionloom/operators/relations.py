@@ -149,6 +149,16 @@ def leaking_groups(folds: DataFrame, group: str) -> DataFrame:
     return folds.groupBy("fold", group).agg(F.count_distinct("role").alias("roles")).filter("roles > 1")
 
 
+def shuffled_ids(sample: DataFrame, items: Sequence[str], seed: int = 0, prefix: str = "F") -> DataFrame:
+    """Ids F001, F002, ... in a seeded shuffle, so that strata are mixed and a rater can't tell them.
+
+    `sample` is a drawn sample: its size is a number of items for each stratum, so its order is one small sort.
+    """
+    order = F.md5(F.concat_ws("|", F.lit(seed), *items))
+    rank = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(order, *items))
+    return sample.withColumn("frame_id", F.concat(F.lit(prefix), F.when(rank < 1000, F.lpad(rank.cast("string"), 3, "0")).otherwise(rank.cast("string"))))
+
+
 def stratified_sample(
     df: DataFrame, k: Sequence[str], stratum: str, item: str, n: int, per_session: int = 2, seed: int = 0
 ) -> DataFrame:

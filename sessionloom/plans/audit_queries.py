@@ -138,6 +138,17 @@ def anchor_shift(spark, sf_dir):
     return clock.shift_summary(clock.anchor_shift(old, new, K)).withColumn("largest_s", F.round("largest_s", 3))
 
 
+@query(
+    "largest_anchor_shifts",
+    f"""WITH {PING}, st AS (SELECT user_id, min(sent_s) AS s FROM pg GROUP BY user_id), d AS (SELECT user_id, y0_s + intercept - s AS shift FROM cal JOIN st USING (user_id))
+    SELECT user_id, round(shift, 3) AS shift_s, CAST(row_number() OVER (ORDER BY round(abs(shift), 6) DESC, user_id) AS INT) AS rank FROM d WHERE shift IS NOT NULL QUALIFY rank <= 10""",
+)
+def largest_anchor_shifts(spark, sf_dir):
+    old = pings(spark, sf_dir).groupBy(*K).agg(F.min("sent_s").alias("anchor_s"))
+    new = calibrated(spark, sf_dir).select(*K, (F.col("y0_s") + F.col("intercept")).alias("anchor_s"))
+    return clock.largest(clock.anchor_shift(old, new, K), K, "shift_s", 10).withColumn("shift_s", F.round("shift_s", 3))
+
+
 @query(
     "map_drift",
     f"""WITH {PING}, e AS (SELECT user_id, arg_min(device_ms, i) AS a0, arg_max(device_ms, i) AS a1, arg_min(sent_s, i) AS b0, arg_max(sent_s, i) AS b1 FROM pg GROUP BY user_id)
@@ -206,6 +217,24 @@ def clock_continuity(spark, sf_dir):
     return rounded(out, "elapsed_end_s", "utc_span_s", "residual_end_s", "max_abs_residual_s", "first_jump_at_s", digits=4)
 
 
+@query("clock_health", f"WITH {CLOCK} SELECT user_id, count(DISTINCT i // 25) AS n_segments, min(event_id % 12) AS min_satellites FROM jp GROUP BY user_id")
+def clock_health(spark, sf_dir):
+    log = logger(spark, sf_dir).withColumns({"segment": F.floor(F.col("i") / 25), "satellites": F.pmod("event_id", F.lit(12))})
+    return clock.clock_health(log, K, "segment", "satellites")
+
+
+@query(
+    "clock_segments",
+    f"""WITH {CLOCK}, sg AS (SELECT *, i // 25 AS segment, tod - elapsed AS r FROM ck), sj AS (SELECT *, r - lag(r) OVER w AS j, lag(elapsed) OVER w AS was FROM sg WINDOW w AS (PARTITION BY user_id, segment ORDER BY i))
+    SELECT user_id, segment, count(*) AS n, round(max(r) - min(r), 4) AS residual_range_s, count(*) FILTER (abs(j) > 0.5) AS n_jumps, round(min(was) FILTER (abs(j) > 0.5), 4) AS first_jump_at_s,
+       round(max(abs(j)) FILTER (abs(j) > 0.5), 4) AS largest_jump_s FROM sj GROUP BY user_id, segment""",
+)
+def clock_segments(spark, sf_dir):
+    log = logger(spark, sf_dir).withColumn("segment", F.floor(F.col("i") / 25))
+    out = clock.clock_segments(log, K, "segment", "tod", "elapsed", block=40)
+    return rounded(out, "residual_range_s", "first_jump_at_s", "largest_jump_s", digits=4)
+
+
 @query(
     "truncate_at_jump",
     f"""WITH {CLOCK}, c AS (SELECT user_id, min(before) FILTER (abs(jump) > 0.5) AS cut FROM jp GROUP BY user_id) SELECT user_id, i FROM jp JOIN c USING (user_id) WHERE cut IS NULL OR elapsed <= cut""",
@@ -344,6 +373,19 @@ def duration_differences(spark, sf_dir):
     return rounded(trim.duration_tally(trim.duration_diff(a, b, K), (86_400, 300_000)), "mean_abs_diff_s", digits=3)
 
 
+@query(
+    "largest_duration_differences",
+    f"""WITH {EV}, a AS (SELECT user_id, max(t) - min(t) AS d FROM ev WHERE event_type IN ('view', 'click') GROUP BY user_id), b AS (SELECT user_id, max(t) - min(t) AS d FROM ev WHERE event_type NOT IN ('view', 'click') GROUP BY user_id),
+    x AS (SELECT user_id, a.d - b.d AS diff FROM a JOIN b USING (user_id))
+    SELECT user_id, round(diff, 3) AS diff_s, CAST(row_number() OVER (ORDER BY round(abs(diff), 6) DESC, user_id) AS INT) AS rank FROM x WHERE diff IS NOT NULL QUALIFY rank <= 10""",
+)
+def largest_duration_differences(spark, sf_dir):
+    ev = events(spark, sf_dir)
+    first = F.col("event_type").isin("view", "click")
+    a, b = (ev.filter(e).groupBy(*K).agg((F.max("t") - F.min("t")).alias("duration_s")) for e in (first, ~first))
+    return clock.largest(trim.duration_diff(a, b, K), K, "diff_s", 10).withColumn("diff_s", F.round("diff_s", 3))
+
+
 # Quality checks: two event types form the reference stream, the others are device channels.
 
 RATES = {"purchase": 1 / 200_000, "error": 1 / 150_000, "signup": 1 / 100_000}
@@ -541,6 +583,17 @@ def availability(spark, sf_dir):
     return quality.availability(table(spark, sf_dir, "customer").select("c_custkey"), manifest, ["c_custkey"], ["O", "F", "P"])
 
 
+@query(
+    "availability_totals",
+    """WITH h AS (SELECT c_custkey, any_value(c_acctbal) AS bal, coalesce(bool_or(o_orderstatus = 'O'), false) AS o, coalesce(bool_or(o_orderstatus = 'F'), false) AS f, coalesce(bool_or(o_orderstatus = 'P'), false) AS p FROM customer LEFT JOIN orders ON o_custkey = c_custkey GROUP BY c_custkey)
+    SELECT count(*) AS n_sessions, count(*) FILTER (o) AS "n_O", count(*) FILTER (f) AS "n_F", count(*) FILTER (p) AS "n_P", round(avg(bal) FILTER (p), 4) AS "mean_rate_P", round(sum(bal) / 3600, 4) AS hours FROM h""",
+)
+def availability_totals(spark, sf_dir):
+    manifest = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey"), F.col("o_orderstatus").alias("kind"))
+    has = quality.availability(table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal"), manifest, ["c_custkey"], ["O", "F", "P"])
+    return rounded(quality.availability_totals(has, ["O", "F", "P"], {"P": "c_acctbal"}, "c_acctbal"), "mean_rate_P", "hours", digits=4)
+
+
 META = EV + """, b AS (SELECT user_id, max(t) - min(t) AS d, count(*) AS n FROM ev GROUP BY user_id), f AS (SELECT user_id, count(*) AS fn, avg(CAST(value > 10 AS DOUBLE)) * 100 AS fp FROM ev WHERE event_type = 'view' GROUP BY user_id)"""
 
 

@@ -388,6 +388,35 @@ def artefact_sessions(spark, sf_dir):
     return E.artefact_overlap(labelled, K, "label", 1.0, 1, 2)[0]
 
 
+@query(
+    "artefact_classes",
+    f"""WITH {DRIVE}, {rule_sql(PLAIN, 'p')}, {event_sql('plab', 'label_p', 'ea')}, b AS (SELECT *, abs(lat_acc_g) > 1.0 OR abs(lon_acc_g) > 1.0 AS bad FROM plab),
+    e AS (SELECT ea.user_id, ea.label, ea.i0, bool_or(bad) AS hit FROM ea JOIN b ON b.user_id = ea.user_id AND b.i BETWEEN ea.i0 AND ea.i1 GROUP BY ALL)
+    SELECT user_id, label AS class, count(*) AS n_events, count(*) FILTER (hit) AS n_affected FROM e GROUP BY user_id, label""",
+)
+def artefact_classes(spark, sf_dir):
+    return E.artefact_classes(rules.label_v2(drive(spark, sf_dir), K, PLAIN), K, "label", 1.0)
+
+
+@query(
+    "artefact_run_details",
+    f"""WITH {DRIVE}, {rule_sql(PLAIN, 'p')}, b AS (SELECT *, abs(lat_acc_g) > 1.0 OR abs(lon_acc_g) > 1.0 AS bad FROM plab), b1 AS (SELECT *, i - row_number() OVER (PARTITION BY user_id, bad ORDER BY i) AS g FROM b)
+    SELECT user_id, min(i) AS i0, max(i) AS i1, round(arg_min(t, i), 3) AS start_t, arg_min(speed_kph, i) AS start_speed, list_sort(list(DISTINCT label_p)) AS labels_in_run FROM b1 WHERE bad GROUP BY user_id, g""",
+)
+def artefact_run_details(spark, sf_dir):
+    out = E.artefact_run_details(rules.label_v2(drive(spark, sf_dir), K, PLAIN), K, "label", "t", "speed_kph", 1.0)
+    return out.withColumn("start_t", F.round("start_t", 3))
+
+
+@query(
+    "attempted_turns",
+    f"""WITH {DRIVE}, {rule_sql(PLAIN, 'p')} SELECT user_id, coalesce(max(abs(lat_acc_g)) FILTER (abs(lat_acc_g) >= 0.2 AND gps_speed_kmh > 30 AND label_p <> 'Harsh Turning'), 0) AS max_lateral_outside_turns_g FROM plab GROUP BY user_id""",
+)
+def attempted_turns(spark, sf_dir):
+    labelled = rules.label_v2(drive(spark, sf_dir), K, PLAIN).withColumn("lateral", F.abs("lat_acc_g"))
+    return E.attempted_turns(labelled, K, "lateral", "gps_speed_kmh", "label")
+
+
 @query(
     "artefact_runs",
     f"""WITH {DRIVE}, b AS (SELECT *, abs(lat_acc_g) > 1.0 OR abs(lon_acc_g) > 1.0 AS bad FROM dr),

@@ -510,6 +510,18 @@ def stratified_sample(spark, sf_dir):
     return relations.stratified_sample(events(spark, sf_dir), K, "event_type", "event_id", 40, 2, 7)
 
 
+@query(
+    "shuffled_sample",
+    """WITH h AS (SELECT user_id, event_type, event_id, md5(concat_ws('|', 7, user_id, event_type, event_id)) AS h FROM events),
+    c AS (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY h, event_id) AS r FROM h),
+    p AS (SELECT user_id, event_type, event_id, row_number() OVER (PARTITION BY event_type ORDER BY r, h, event_id) AS position FROM c WHERE r <= 2)
+    SELECT user_id, event_type, event_id, 'F' || lpad(CAST(row_number() OVER (ORDER BY md5(concat_ws('|', 7, event_id))) AS VARCHAR), 3, '0') AS frame_id FROM p WHERE position <= 40""",
+)
+def shuffled_sample(spark, sf_dir):
+    drawn = relations.stratified_sample(events(spark, sf_dir), K, "event_type", "event_id", 40, 2, 7)
+    return relations.shuffled_ids(drawn, ["event_id"], 7).drop("position")
+
+
 @query(
     "sorted_series",
     "SELECT user_id, event_id, value FROM events",
