@@ -84,7 +84,8 @@ def overlap_join(
 def match_events(
     a: DataFrame, b: DataFrame, k: Sequence[str], width: float, start: str = "i0", end: str = "i1", label: str = "label"
 ) -> DataFrame:
-    """Each event of `a` with how many events of `b` it overlaps, and how many of its class."""
+    """Each event of `a` with how many events of `b` it overlaps, and how many of its class (E3). Both tables of events are written once."""
+    a = settle(a)
     other = b.select(*k, F.col(start).alias("_b0"), F.col(end).alias("_b1"), F.col(label).alias("_bl"))
     pairs = overlap_join(a.select(*k, start, end, label), other, k, (start, end), ("_b0", "_b1"), width)
     hits = pairs.groupBy(*k, start).agg(
@@ -96,6 +97,7 @@ def match_events(
 
 def lost_new(a: DataFrame, b: DataFrame, k: Sequence[str], width: float, **names) -> DataFrame:
     """Events of `a` without a partner in `b` and the reverse, any class or same class."""
+    a, b = settle(a), settle(b)
     label = names.get("label", "label")
     kept = [*k, names.get("start", "i0"), label, "n_any", "n_same"]
     left = match_events(a, b, k, width, **names).select(*kept, F.lit("lost").alias("kind"))
