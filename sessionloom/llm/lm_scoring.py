@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from . import attention
 from .common import LOWER, NOT_BLANK, Texts, owner, prefix_sums, query, settle, stretch_hash, table, texts, words
-from .tokens import VOCABULARY, encoding
+from .tokens import VOCABULARY, encode
 
 FOLDS, HELD_OUT = 7, 2
 HEAD = 1 << 20
@@ -52,7 +52,6 @@ def prepare(docs: DataFrame, id_col: str, text_col: str, vocabulary: str) -> Dat
     """Written rows of three kinds: documents (doc_id, train, text, ids), counted words (bucket, body), and counts of ids (bucket -1, body)."""
 
     def run(batches):
-        enc = encoding(vocabulary)
         count = np.zeros(IDS, np.int64)
         held: list[tuple[np.ndarray, np.ndarray]] = []
         size = 0
@@ -79,7 +78,7 @@ def prepare(docs: DataFrame, id_col: str, text_col: str, vocabulary: str) -> Dat
                 if size > HELD_WORDS:
                     yield flush()
                     held, size = [], 0
-                ids = [np.array(enc.encode_ordinary(t.raw(i).decode()), "<u2") for i in range(len(t))]
+                ids = [encode(t.raw(i).decode(), vocabulary).astype("<u2") for i in range(len(t))]
                 for own, ok in zip(ids, teach):
                     if ok:
                         count += np.bincount(own, minlength=IDS)

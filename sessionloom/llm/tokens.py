@@ -1,7 +1,8 @@
 """Subword ids of whole texts, by a public byte-level BPE vocabulary whose path is a parameter.
 
-`tiktoken` reads the same vocabulary as ranks and gives the ids that `tokenizers` gives for `byte_bpe_50k.json` (a test holds
-the two against each other), in a third of the time. Strings of special tokens in a text are ordinary text.
+`tiktoken` reads the same vocabulary as ranks and gives the ids that `tokenizers` gives for `byte_bpe_50k.json`, in a third of the time, but its
+pattern engine gives up on very long runs of blanks; texts of more than `LONG` characters go to `tokenizers` itself (a test holds the two
+against each other on both sides of it). Strings of special tokens in a text are ordinary text.
 """
 
 from __future__ import annotations
@@ -12,8 +13,11 @@ from functools import lru_cache
 import numpy as np
 import public_tokenizers
 import tiktoken
+from tokenizers import Tokenizer
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
+FULL = "byte_bpe_50k.json"
+LONG = 100_000
 
 
 @lru_cache(maxsize=4)
@@ -25,5 +29,15 @@ def encoding(name: str = VOCABULARY) -> tiktoken.Encoding:
     return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
-def encode(text: str, name: str = VOCABULARY) -> np.ndarray:
+@lru_cache(maxsize=4)
+def tokenizer(name: str = FULL) -> Tokenizer:
+    made = Tokenizer.from_file(name if "/" in name else public_tokenizers.path(name))
+    made.encode_special_tokens = True
+    return made
+
+
+def encode(text: str, name: str = VOCABULARY, full: str = FULL) -> np.ndarray:
+    """`full` is the vocabulary `name` as `tokenizers` reads it."""
+    if len(text) > LONG:
+        return np.array(tokenizer(full).encode(text, add_special_tokens=False).ids, dtype=np.uint32)
     return np.array(encoding(name).encode_ordinary(text), dtype=np.uint32)
