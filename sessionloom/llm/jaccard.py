@@ -38,6 +38,9 @@ PERCENT = 80
 PER_COUNTER = 64
 COUNTERS = (1 << 16, 1 << 26)
 BLOCK = 1 << 16
+#: Different counters that a task holds before it sends them off, and rows that one call adds up.
+HELD = 1 << 22
+FAN_IN = 256
 #: Pairs that one numpy pass looks at.
 PAIRS = 1 << 20
 #: Members of a column, or of a block of a wider one.
@@ -68,23 +71,55 @@ def need(n, m, percent: int = PERCENT):
     return -(-percent * (n + m) // (100 + percent))
 
 
+def _summed(slot: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct slots with their summed counts."""
+    order = np.argsort(slot, kind="stable")
+    slot, count = slot[order], count[order]
+    head = np.flatnonzero(np.concatenate([[True], slot[1:] != slot[:-1]]))
+    return slot[head], np.add.reduceat(count, head)
+
+
+def _body(slot: np.ndarray, count: np.ndarray) -> bytes:
+    """Slots (2 bytes) and counts (4 bytes) of a block, or all its counts where that is shorter."""
+    if 6 * len(slot) < 4 * BLOCK:
+        return slot.astype("<u2").tobytes() + count.astype("<u4").tobytes()
+    all_ = np.zeros(BLOCK, "<u4")
+    all_[slot] = count
+    return all_.tobytes()
+
+
 def count_grams(classes: DataFrame, n: int, counters: int) -> DataFrame:
-    """Rows (key, size) for each class, and rows (block, counts) of the task's counters; written."""
+    """Rows (key, size) for each class, and rows (block, counts) of what a task has counted, as pairs of slot and count; written. Memory goes with the
+    n-grams of a part of the task, not with the number of counters."""
 
     def run(batches):
-        total = np.zeros(counters, np.int64)
+        held, waiting = [], 0
+
+        def flush():
+            slot, count = _summed(np.concatenate([s for s, _ in held]), np.concatenate([c for _, c in held]))
+            blocks, first = np.unique(slot >> 16, return_index=True)
+            cut = list(zip(first, np.append(first[1:], len(slot))))
+            body = [zlib.compress(_body(slot[a:b] & (BLOCK - 1), count[a:b]), 1) for a, b in cut]
+            return pa.RecordBatch.from_arrays([pa.nulls(len(blocks), pa.binary()), pa.nulls(len(blocks), pa.int64()), pa.array(blocks, pa.int32()), pa.array(body, pa.binary())], names=["key", "size", "block", "counts"])
+
         for batch in batches:
             sizes = []
             for t in texts(batch.column(0)):
                 h, first = grams(t, n)
-                total += np.bincount((h & np.uint64(counters - 1)).astype(np.int64), minlength=counters)
                 sizes.append(np.diff(first))
+                if len(h):
+                    slot = (h & np.uint64(counters - 1)).astype(np.int64)
+                    held.append(_summed(slot, np.ones(len(slot), np.int64)))
+                    waiting += len(held[-1][0])
+                if waiting > HELD:
+                    yield flush()
+                    held.clear()
+                    waiting = 0
             if sizes:
                 size = np.concatenate(sizes)
                 yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(size, pa.int64()), pa.nulls(len(size), pa.int32()), pa.nulls(len(size), pa.binary())], names=["key", "size", "block", "counts"])
-        blocks = [zlib.compress(total[at : at + BLOCK].astype("<u4").tobytes(), 1) for at in range(0, counters, BLOCK)]
-        if total.any():
-            yield pa.RecordBatch.from_arrays([pa.nulls(len(blocks), pa.binary()), pa.nulls(len(blocks), pa.int64()), pa.array(range(len(blocks)), pa.int32()), pa.array(blocks, pa.binary())], names=["key", "size", "block", "counts"])
+        if held:
+            yield flush()
 
     return settle(classes.select("text", "key").mapInArrow(run, "key binary, size long, block int, counts binary"), "gram-counts")
 
@@ -104,16 +139,31 @@ def blocks_of(code: np.ndarray, most: int) -> np.ndarray:
 def merge_counts(counted: DataFrame, counters: int) -> np.ndarray:
     """All tasks' counters, packed; a fixed number of rows comes to the driver."""
 
-    def add(rows: pa.Table) -> pa.Table:
-        total = np.zeros(BLOCK, np.int64)
+    def total(rows: pa.Table) -> np.ndarray:
+        out = np.zeros(BLOCK, np.int64)
         for c in rows["counts"].to_pylist():
-            total += np.frombuffer(zlib.decompress(c), "<u4")
-        return pa.table({"block": rows["block"][:1].cast(pa.int32()), "counts": pa.array([packed(total).tobytes()], pa.binary())})
+            body = zlib.decompress(c)
+            if len(body) in (4 * BLOCK, 8 * BLOCK):  # all counts, or a sum
+                out += np.frombuffer(body, "<u4" if len(body) == 4 * BLOCK else "<i8")
+                continue
+            k = len(body) // 6
+            out[np.frombuffer(body, "<u2", k)] += np.frombuffer(body, "<u4", k, 2 * k)
+        return out
+
+    def add(rows: pa.Table) -> pa.Table:
+        return pa.table({"block": rows["block"][:1].cast(pa.int32()), "counts": pa.array([zlib.compress(total(rows).tobytes(), 1)], pa.binary())})
+
+    def finish(rows: pa.Table) -> pa.Table:
+        return pa.table({"block": rows["block"][:1].cast(pa.int32()), "counts": pa.array([packed(total(rows)).tobytes()], pa.binary())})
 
-    # two steps, so that no task adds up more than a share of the tasks' counters
     part = counted.where("block IS NOT NULL").select("block", "counts")
+    # steps of `FAN_IN` rows a group, so that no task adds up more than a share of what all tasks have counted
+    many = part.groupBy("block").count().agg(F.max("count")).first()[0] or 0
+    while many > FAN_IN:
+        many = -(-many // FAN_IN)
+        part = settle(part.groupBy("block", F.pmod(F.xxhash64("counts"), F.lit(many))).applyInArrow(add, "block int, counts binary"), "gram-sums")
     out = np.zeros(counters, np.uint16)
-    for r in part.groupBy("block").applyInArrow(add, "block int, counts binary").collect():
+    for r in part.groupBy("block").applyInArrow(finish, "block int, counts binary").toLocalIterator():
         out[r["block"] * BLOCK : (r["block"] + 1) * BLOCK] = np.frombuffer(r["counts"], "<u2")
     return out
 
@@ -141,7 +191,9 @@ def leading_grams(classes: DataFrame, counts: np.ndarray, n: int, percent: int)
                 lead = np.flatnonzero(np.diff(row, prepend=-1))
                 width = np.diff(np.append(lead, len(row)))
                 central = np.repeat(np.minimum(often[at][lead + width // 2], 65535), width)
-                meta = (size[row] << 40) | (np.minimum(place, (1 << 24) - 1) << 16) | central
+                # a size beyond its 23 bits is the largest there is, and its places count as first: bounds get weaker, never wrong
+                large = size[row] >= (1 << 23) - 1
+                meta = (np.minimum(size[row], (1 << 23) - 1) << 40) | (np.where(large, 0, np.minimum(place, (1 << 24) - 1)) << 16) | central
                 node = batch.column(1).take(pa.array(row + t.first))
                 blocks, gram = blocks_of(often[at], WIDE), h[at]
                 part = np.where(blocks > 1, (blocks << 32) | (mix(node.to_numpy().view(np.uint64)) % blocks.astype(np.uint64)).astype(np.int64), 0)
