@@ -2,6 +2,9 @@
 
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame; it is written as Parquet and read again as the next stage's docs. All but the
 last return the columns of documents. Part of the text operators: without them this module can't be imported.
+
+Defined cases, in every stage: a null or empty text is a document like others, an empty table gives an empty table, further columns of any name go along.
+Repeated rows are scored alike; they, and rows that share an id, become one at the second stage; rows without id stay. Texts may be of any length.
 """
 
 from __future__ import annotations
@@ -30,9 +33,14 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     return once.unionByName(first).select(*docs.columns)
 
 
+#: Bytes that are repeated together to be cut, and the k-grams that find them: about what 50 words have when they are short.
+REPEAT = 224
+REPEAT_GRAM = 48
+
+
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Bytes under strings of 400 bytes that stand twice are cut out of the texts; all documents stay."""
-    cut = suffix_dedup.cut_repeats(docs)
+    """Bytes under strings of `REPEAT` bytes that stand twice are cut out of the texts; all documents stay."""
+    cut = suffix_dedup.cut_repeats(docs, REPEAT, REPEAT_GRAM)
     text = F.when(F.col("row.text").isNotNull(), F.col("kept_text"))
     out = cut.select("row.*", text.alias("_kept")).withColumn("text", F.col("_kept")).drop("_kept")
     return out.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import NOT_BLANK, prefix_sums, query, stretch_hash, table, texts, words
-from .repeats import distinct_regions, find_regions, hot_grams, hot_windows, place, region_symbols, repeated, shards, text_classes, text_key
+from .repeats import bundled, distinct_regions, find_regions, finer, meet, place, region_symbols, repeated, shards, split_hot, text_classes, text_key
 from .suffix_dedup import covered, runs
 
 WINDOW = 20
@@ -104,27 +104,30 @@ def solve_shard(rows: pa.Table, window: int = WINDOW) -> pa.Table:
     return pa.table({"key": rep.field("key").take(pa.array(own)), "a": pa.array(a + base, pa.int32()), "b": pa.array(b + base, pa.int32())})
 
 
+def earlier_regions(classes: DataFrame, members: DataFrame, window: int, subs: tuple[int, ...]) -> DataFrame:
+    """(key, a, b): stretches of windows that start earlier in another region of `members` or in the same. Groups too large for a shard are dealt on into regions of
+    `subs[0]` windows, and so on."""
+    distinct = distinct_regions(members, ["lead", "key", "w"])
+    cold, hot = split_hot(distinct)
+    first = shards(region_symbols(classes, cold, word_symbols, window, "u8"), lambda rows: solve_shard(rows, window), "key binary, a int, b int", SHARD_BYTES)
+    # a region that equals one before it starts earlier in all its windows
+    rep = distinct.where("rows > 1").select("fp", "r", "rows", F.col("rep.key").alias("rep_key"), F.col("rep.w").alias("rep_w"))
+    lo, many, _ = place(F.col("w"))
+    each = meet(bundled(members), rep, ["fp", "r"], "rows").select("rep_key", "rep_w", F.inline("items"))
+    later = each.where("key <> rep_key OR w <> rep_w").select("key", lo.cast("int").alias("a"), (lo + many).cast("int").alias("b"))
+    found = first.unionByName(later)
+    if hot is None or not subs:
+        return found
+    smaller = finer(classes, hot, word_symbols, window, subs[0])
+    return found.unionByName(earlier_regions(classes, repeated(smaller), window, subs[1:]))
+
+
 def earlier_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text"):
     """(classes, spans): all distinct texts, and for each key its stretches (a, b) of windows that start earlier, for the first row of the text."""
     classes = text_classes(docs, id_col, text_col, 0)
     members = repeated(find_regions(classes, word_symbols, window, gram))
-    order = ["lead", "key", "w"]
-    distinct = distinct_regions(members, order)
-    hot = hot_grams(members)
-    parts = region_symbols(classes, distinct if hot is None else distinct.join(hot, "fp", "left_anti"), word_symbols, window, "u8")
-    first = shards(parts, lambda rows: solve_shard(rows, window), "key binary, a int, b int", SHARD_BYTES)
-    if hot is not None:
-        each = hot_windows(classes, distinct.join(hot, "fp", "left_semi"), word_symbols, window)
-        each = each.select("fp", "wh", F.struct("rep.lead", "rep.key", (place(F.col("rep.w"))[0].cast("int") + F.col("at")).alias("a")).alias("here"))
-        least = each.groupBy("fp", "wh").agg(F.count("*").alias("n"), F.min("here").alias("least")).where("n > 1").select("fp", "wh", "least")
-        again = each.join(least, ["fp", "wh"]).where("here.key <> least.key OR here.a <> least.a")
-        first = first.unionByName(again.select("here.key", "here.a", (F.col("here.a") + 1).alias("b")))
-    # a region that equals one before it starts earlier in all its windows
-    rep = distinct.select("fp", "r", F.col("rep.key").alias("rep_key"), F.col("rep.w").alias("rep_w"))
-    lo, many, _ = place(F.col("w"))
-    later = members.join(rep, ["fp", "r"]).where("key <> rep_key OR w <> rep_w").select("key", lo.cast("int").alias("a"), (lo + many).cast("int").alias("b"))
-    spans = first.unionByName(later).groupBy("key").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
-    return classes, spans
+    found = earlier_regions(classes, members, window, (1,))
+    return classes, found.groupBy("key").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
 
 
 def cut_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text", with_text: bool = True) -> DataFrame:

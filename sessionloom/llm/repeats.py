@@ -5,9 +5,12 @@ equal ones), so equal windows belong to equal k-grams, wherever they stand. Wind
 form a region; a region whose k-gram occurs nowhere else cannot repeat and is left behind after one count. Equal regions are stored
 once. What is left is dealt by k-gram into shards, where an operator compares the regions' symbols themselves.
 
-A k-gram with more than `HOT` different regions, such as a common line shorter than a window, never stands in a shard: every window of its
-regions is one row with the hash of all its symbols, and equal windows meet by aggregation, which partial sums reduce. Before that,
-runs of a few windows are left behind whose common symbols stand nowhere else.
+A k-gram with more than `HOT` different regions, such as a common line shorter than a window, is dealt on (`finer`): its regions are cut at fixed
+distances from the k-gram into runs of few windows, which belong to the symbols that all of them share, and in the end into single windows.
+At each depth equal runs are one row again, runs whose symbols stand nowhere else are left behind, and what is left goes to shards like
+any other region. A single window has one row, so no group of a shard is larger than `HOT` regions, and every window is compared there.
+
+Rows of one k-gram or region may be a third of all. `meet` joins them with what is known of it without sending them to one task.
 """
 
 from __future__ import annotations
@@ -20,9 +23,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import list_array, prefix_sums, settle, stretch_hash
+from .common import prefix_sums, settle, stretch_hash
 
+#: Different regions of a group at most; a larger group is dealt on.
 HOT = 20_000
+#: A key with more than this share of the rows of a join doesn't shuffle them; there are at most so many such keys.
+SHARES = 4000
 
 
 def text_key(text):
@@ -118,33 +124,70 @@ def find_regions(classes: DataFrame, symbols: Splitter, window: int, k: int) ->
     return settle(found, "regions")
 
 
+def meet(left: DataFrame, right: DataFrame, on: list[str], rows: str) -> DataFrame:
+    """`left` joined with `right`, which has one row a key and in `rows` the number of left rows of the key. Both are written tables, or cheap to read twice.
+
+    Keys with more than 1 / `SHARES` of all left rows are `SHARES` at most, so their right rows go to every task and their left rows stay where
+    they are; the others are shuffled as usual.
+    """
+    size = right.agg(F.sum(rows).alias("all"), F.max(rows).alias("most")).first()
+    limit = max((size["all"] or 0) // SHARES, 100)
+    if (size["most"] or 0) <= limit:
+        return left.join(right, on)
+    heavy, light = right.where(F.col(rows) > limit), right.where(F.col(rows) <= limit)
+    few = left.join(F.broadcast(heavy), on)
+    many = left.join(F.broadcast(heavy.select(*on)), on, "left_anti").join(light, on)
+    return few.unionByName(many)
+
+
 def repeated(regions: DataFrame) -> DataFrame:
-    """The regions whose k-gram occurs more than once, counting copies of a text; written."""
-    count = regions.groupBy("fp").agg(times().alias("total")).where("total > 1")
-    return settle(regions.join(count.select("fp"), "fp"), "repeated")
+    """The regions (a written table) whose k-gram occurs more than once, counting copies of a text; written."""
+    count = regions.groupBy("fp").agg(times().alias("total"), F.count("*").alias("rows")).where("total > 1")
+    return settle(meet(regions, settle(count.select("fp", "rows"), "grams"), ["fp"], "rows").drop("rows"), "repeated")
 
 
-def hot_grams(members: DataFrame) -> DataFrame | None:
-    """(fp): the k-grams with more than `HOT` different regions, if there are any."""
-    busy = members.groupBy("fp").count().where(F.col("count") > HOT).select("fp")
-    each = members.join(busy, "fp", "left_semi").select("fp", "r").distinct().groupBy("fp").count()
-    hot = settle(each.where(F.col("count") > HOT).select("fp"), "hot")
-    return hot if hot.limit(1).count() else None
+def bundled(members: DataFrame) -> DataFrame:
+    """(fp, r, items): the members (key, w) of a region that a batch of rows holds, as one row. The written members lie together by k-gram, so a region that
+    many texts share meets what is known of it in few rows; the batch bounds them."""
+
+    def run(batches):
+        for batch in batches:
+            fp, r = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            order = np.lexsort((r, fp))
+            fp, r = fp[order], r[order]
+            head = np.flatnonzero(np.concatenate([[True], (fp[1:] != fp[:-1]) | (r[1:] != r[:-1])])) if len(fp) else np.empty(0, np.int64)
+            at = pa.array(order)
+            items = pa.StructArray.from_arrays([batch.column(2).take(at), batch.column(3).take(at)], names=["key", "w"])
+            lists = pa.ListArray.from_arrays(pa.array(np.append(head, len(fp)), pa.int32()), items)
+            yield pa.RecordBatch.from_arrays([pa.array(fp[head]), pa.array(r[head]), lists], names=["fp", "r", "items"])
+
+    return members.select("fp", "r", "key", "w").mapInArrow(run, "fp long, r long, items array<struct<key: binary, w: long>>")
 
 
 def distinct_regions(members: DataFrame, order: list[str]) -> DataFrame:
-    """One row for each (fp, r): places, whether it has one member alone, and the member that comes first by `order`, which ends with key and w."""
-    return members.groupBy("fp", "r").agg(times().alias("total"), (F.count("*") == 1).alias("alone"), F.min(F.struct(*order)).alias("rep"))
+    """One row for each (fp, r), written: places, the number of its members, and the member that comes first by `order`, which ends with key and w."""
+    one = members.groupBy("fp", "r").agg(times().alias("total"), F.count("*").alias("rows"), F.min(F.struct(*order)).alias("rep"))
+    return settle(one, "distinct")
+
+
+def split_hot(distinct: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """The regions of k-grams with `HOT` different regions or fewer, and the others, if there are any."""
+    busy = settle(distinct.groupBy("fp").agg(F.count("*").alias("n")).where(F.col("n") > HOT), "hot")
+    if busy.limit(1).count() == 0:
+        return distinct, None
+    each = settle(distinct.groupBy("fp").agg(F.count("*").alias("n")), "sizes")
+    all_ = meet(distinct, each, ["fp"], "n")
+    return all_.where(F.col("n") <= HOT).drop("n"), all_.where(F.col("n") > HOT).drop("n")
 
 
 def with_text(classes: DataFrame, distinct: DataFrame) -> DataFrame:
     """(text, parts): the regions that are cut from each text; their number is bounded by its length."""
-    wanted = distinct.groupBy("rep.key").agg(F.collect_list(F.struct("fp", "r", "total", "alone", "rep")).alias("parts"))
+    wanted = distinct.groupBy("rep.key").agg(F.collect_list(F.struct("fp", "r", "total", "rows", "rep")).alias("parts"))
     return classes.select("key", "text").join(wanted, "key").select("text", "parts")
 
 
 def region_symbols(classes: DataFrame, distinct: DataFrame, symbols: Splitter, window: int, dtype: str) -> DataFrame:
-    """The symbols of every distinct region, dealt into shards: (shard_key, fp, r, many, body binary, total, alone, rep)."""
+    """The symbols of every distinct region, dealt into shards: (shard_key, fp, r, many, body binary, total, rows, rep)."""
     rep_type = distinct.schema["rep"].dataType.simpleString()
 
     def run(batches):
@@ -159,8 +202,8 @@ def region_symbols(classes: DataFrame, distinct: DataFrame, symbols: Splitter, w
             def flush():
                 at = pa.array(rows, pa.int64())
                 made = pa.RecordBatch.from_arrays(
-                    [fps.take(at), fps.take(at), flat.field("r").take(at), pa.array(manys[rows], pa.int32()), pa.array(bodies, pa.binary()), flat.field("total").take(at), flat.field("alone").take(at), rep.take(at)],
-                    names=["shard_key", "fp", "r", "many", "body", "total", "alone", "rep"],
+                    [fps.take(at), fps.take(at), flat.field("r").take(at), pa.array(manys[rows], pa.int32()), pa.array(bodies, pa.binary()), flat.field("total").take(at), flat.field("rows").take(at), rep.take(at)],
+                    names=["shard_key", "fp", "r", "many", "body", "total", "rows", "rep"],
                 )
                 rows.clear()
                 bodies.clear()
@@ -177,15 +220,15 @@ def region_symbols(classes: DataFrame, distinct: DataFrame, symbols: Splitter, w
             if rows:
                 yield flush()
 
-    schema = f"shard_key long, fp long, r long, many int, body binary, total long, alone boolean, rep {rep_type}"
+    schema = f"shard_key long, fp long, r long, many int, body binary, total long, rows long, rep {rep_type}"
     return with_text(classes, distinct).mapInArrow(run, schema)
 
 
-def hot_windows(classes: DataFrame, distinct: DataFrame, symbols: Splitter, window: int) -> DataFrame:
-    """Windows of the distinct regions of hot k-grams that may repeat, one a row: (fp, wh, r, at, total, alone, rep); at counts from the region's
-    first window, wh is the hash of the window's symbols."""
-    sub = max(1, window // 16)
+def finer(classes: DataFrame, distinct: DataFrame, symbols: Splitter, window: int, sub: int) -> DataFrame:
+    """Regions of `sub` windows at most, cut from the first members of `distinct`, written: (fp, r, key, [lead,] w, off, top). fp stands for the symbols that all windows
+    of the region share; off is its distance from the region `top` (fp, r, rows, key, w) it is cut from, whose copies count."""
     rep_type = distinct.schema["rep"].dataType.simpleString()
+    lead = "lead" in distinct.schema["rep"].dataType.names
 
     def run(batches):
         for batch in batches:
@@ -194,6 +237,7 @@ def hot_windows(classes: DataFrame, distinct: DataFrame, symbols: Splitter, wind
             flat = parts.flatten()
             rep = flat.field("rep")
             los, manys, ats = place(rep.field("w").to_numpy())
+            copied = (flat.field("total").to_numpy() > 1).astype(np.int64)
             for base, syms, first in symbols(batch.column(0)):
                 from_, to = cut[base], cut[base + len(first) - 1]
                 if from_ == to:
@@ -203,29 +247,30 @@ def hot_windows(classes: DataFrame, distinct: DataFrame, symbols: Splitter, wind
                 many = manys[from_:to]
                 own = np.repeat(np.arange(to - from_), many)
                 off = np.arange(len(own)) - np.repeat(np.cumsum(many) - many, many)
-                begin = text_at[own] + los[from_:to][own] + off
-                wh = stretch_hash(sums, begin, begin + window).view(np.int64)
-                # runs are cut at fixed distances before the k-gram, so equal windows fall into runs that share these symbols
-                nth = (ats[from_:to][own] - off) // sub
+                # cut at fixed distances before the k-gram, so equal windows fall into regions that share these symbols
+                away = ats[from_:to][own] - off
+                nth = away // sub
                 head = np.flatnonzero(np.concatenate([[True], (nth[1:] != nth[:-1]) | (own[1:] != own[:-1])]))
-                last = begin[head] + (ats[from_:to][own] - off)[head] - nth[head] * sub
+                count = np.diff(np.append(head, len(own)))
+                mine = own[head]
+                lo = los[from_:to][mine] + off[head]
+                begin = text_at[mine] + lo
+                last = begin + away[head] - nth[head] * sub
                 core = (stretch_hash(sums, last, last - sub + 1 + window) + nth[head].astype(np.uint64)).view(np.int64)
-                at = pa.array(own[head] + from_)
-                for lo in range(0, len(head), 4000):
-                    s = slice(lo, lo + 4000)
-                    edge = np.append(head, len(own))[lo : lo + 4001]
+                r = stretch_hash(sums, begin, begin + count + window - 1).view(np.int64)
+                w = (lo << 23) | (count << 12) | (away[head] << 1) | copied[from_:to][mine]
+                at = pa.array(mine + from_)
+                for a in range(0, len(head), 8000):
+                    s = slice(a, a + 8000)
+                    own_ = at[s]
                     yield pa.RecordBatch.from_arrays(
-                        [flat.field("fp").take(at[s]), pa.array(core[s]), flat.field("r").take(at[s]), pa.array(off[head[s]], pa.int32()), list_array(wh[edge[0] : edge[-1]], edge - edge[0], pa.int64()), flat.field("total").take(at[s]), flat.field("alone").take(at[s]), rep.take(at[s])],
-                        names=["fp", "core", "r", "off", "hashes", "total", "alone", "rep"],
+                        [pa.array(core[s]), pa.array(r[s]), pa.array(w[s]), pa.array(off[head[s]], pa.int32()), flat.field("fp").take(own_), flat.field("r").take(own_), flat.field("rows").take(own_), rep.take(own_)],
+                        names=["fp", "r", "w", "off", "top_fp", "top_r", "top_rows", "rep"],
                     )
 
-    schema = f"fp long, core long, r long, off int, hashes array<long>, total long, alone boolean, rep {rep_type}"
-    found = settle(with_text(classes, distinct).mapInArrow(run, schema), "hot-runs")
-    if sub > 1:
-        cores = found.groupBy("fp", "core").agg(F.sum("total").alias("n")).where("n > 1").select("fp", "core")
-        found = found.join(cores, ["fp", "core"])
-    each = found.select("fp", "r", "off", "total", "alone", "rep", F.posexplode("hashes").alias("nth", "wh"))
-    return each.select("fp", "wh", "r", (F.col("off") + F.col("nth")).alias("at"), "total", "alone", "rep")
+    made = with_text(classes, distinct).mapInArrow(run, f"fp long, r long, w long, off int, top_fp long, top_r long, top_rows long, rep {rep_type}")
+    top = F.struct(F.col("top_fp").alias("fp"), F.col("top_r").alias("r"), F.col("top_rows").alias("rows"), F.col("rep.key").alias("key"), F.col("rep.w").alias("w"))
+    return settle(made.select("fp", "r", F.col("rep.key").alias("key"), *(["rep.lead"] if lead else []), "w", "off", top.alias("top")), "finer")
 
 
 def shards(parts: DataFrame, solve, schema: str, limit: int, key: str = "shard_key") -> DataFrame:

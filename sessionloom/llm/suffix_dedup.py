@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import prefix_sums, query, settle, stretch_hash, table, texts
-from .repeats import distinct_regions, find_regions, hot_grams, hot_windows, place, region_symbols, repeated, shards, text_classes, text_key
+from .repeats import bundled, distinct_regions, find_regions, finer, meet, place, region_symbols, repeated, shards, split_hot, text_classes, text_key
 from .suffix import common_prefixes, suffix_array
 
 WINDOW = 400
@@ -64,43 +64,78 @@ def runs(on: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(begin), np.flatnonzero(end) + 1
 
 
-RESULT = "fp long, r long, start int, stop int, alone boolean, key binary, w long"
+RESULT = "fp long, r long, rows long, key binary, w long, stretches array<struct<start: int, stop: int>>"
 
 
 def solve_shard(rows: pa.Table, window: int = WINDOW) -> pa.Table:
-    """Repeated windows of each region, as stretches of starts counted from the region's first window."""
+    """The regions with repeated windows, as stretches of starts counted from the region's first window."""
     rows = rows.combine_chunks()
-    fp, r, many = (rows[c].to_numpy() for c in ("fp", "r", "many"))
-    many = many.astype(np.int64)
+    many = rows["many"].to_numpy().astype(np.int64)
     on = repeated_starts(rows["body"].to_pylist(), rows["total"].to_numpy(), many, window)
     owner = np.repeat(np.arange(len(many)), many)
     begin, end = runs(on, owner)
     own = owner[begin] if len(begin) else np.empty(0, np.int64)
     base = (np.cumsum(many) - many)[own]
-    at, rep = pa.array(own, pa.int64()), rows["rep"].combine_chunks()
-    return pa.table({"fp": pa.array(fp[own]), "r": pa.array(r[own]), "start": pa.array(begin - base, pa.int32()), "stop": pa.array(end - base, pa.int32()),
-                     "alone": rows["alone"].take(at), "key": rep.field("key").take(at), "w": rep.field("w").take(at)})
+    found, first = np.unique(own, return_index=True)
+    stretch = pa.StructArray.from_arrays([pa.array(begin - base, pa.int32()), pa.array(end - base, pa.int32())], names=["start", "stop"])
+    lists = pa.ListArray.from_arrays(pa.array(np.append(first, len(own)), pa.int32()), stretch)
+    at, rep = pa.array(found, pa.int64()), rows["rep"].combine_chunks()
+    rows = rows.take(at)
+    return pa.table({"fp": rows["fp"], "r": rows["r"], "rows": rows["rows"], "key": rep.field("key").take(at), "w": rep.field("w").take(at), "stretches": lists})
+
+
+def moved(stretches, by):
+    return F.transform(stretches, lambda s: F.struct((s["start"] + by).alias("start"), (s["stop"] + by).alias("stop")))
+
+
+def repeated_regions(classes: DataFrame, members: DataFrame, window: int, subs: tuple[int, ...]) -> DataFrame:
+    """(fp, r, rows, key, w, stretches), written: one row for each different region with repeated windows. Groups too large for a shard are dealt on into
+    regions of `subs[0]` windows, and so on."""
+    cold, hot = split_hot(distinct_regions(members, ["key", "w"]))
+    found = shards(region_symbols(classes, cold, byte_symbols, window, "u1"), lambda rows: solve_shard(rows, window), RESULT, SHARD_BYTES)
+    if hot is None or not subs:
+        return settle(found, "repeats")
+    smaller = finer(classes, hot, byte_symbols, window, subs[0])
+    inner = repeated_regions(classes, repeated(smaller), window, subs[1:]).select("fp", "r", F.col("rows").alias("n"), "stretches")
+    back = meet(smaller, inner, ["fp", "r"], "n").select("top", moved("stretches", F.col("off")).alias("s"))
+    whole = back.groupBy("top.fp", "top.r").agg(F.first("top").alias("top"), F.flatten(F.collect_list("s")).alias("stretches"))
+    return settle(found.unionByName(whole.select("top.*", "stretches")), "repeats")
+
+
+def spans_of_members(batches):
+    """(key, s) from (items, stretches): the stretches of each member, counted from the start of its text; regions of one text that a batch holds make one row."""
+    for batch in batches:
+        items, stretches = batch.column(0), batch.column(1)
+        many, each = (np.diff(c.offsets.to_numpy()) for c in (items, stretches))
+        row = np.repeat(np.arange(len(many)), many)
+        count = each[row]
+        item = np.repeat(np.arange(len(row)), count)
+        first = np.cumsum(each) - each
+        nth = np.arange(len(item)) - np.repeat(np.cumsum(count) - count, count) + first[row][item]
+        key = items.flatten().field("key").dictionary_encode()
+        lo = place(items.flatten().field("w").to_numpy())[0][item]
+        a, b = (lo + stretches.flatten().field(c).to_numpy()[nth] for c in ("start", "stop"))
+        code = key.indices.to_numpy()[item]
+        order = np.argsort(code, kind="stable")
+        code = code[order]
+        head = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]])) if len(code) else np.empty(0, np.int64)
+        spans = pa.StructArray.from_arrays([pa.array(a[order], pa.int32()), pa.array(b[order], pa.int32())], names=["start", "stop"])
+        lists = pa.ListArray.from_arrays(pa.array(np.append(head, len(code)), pa.int32()), spans)
+        yield pa.RecordBatch.from_arrays([key.dictionary.take(pa.array(code[head])), lists], names=["key", "s"])
 
 
 def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text"):
     """(classes, spans): the distinct texts, and for each key with repeats its spans as flat pairs of starts and stops of windows."""
     classes = text_classes(docs, id_col, text_col, window)
     members = repeated(find_regions(classes, byte_symbols, window, gram))
-    hot = hot_grams(members)
-    cold = members if hot is None else members.join(hot, "fp", "left_anti")
-    parts = region_symbols(classes, distinct_regions(cold, ["key", "w"]), byte_symbols, window, "u1")
-    found = shards(parts, lambda rows: solve_shard(rows, window), RESULT, SHARD_BYTES)
-    if hot is not None:
-        each = hot_windows(classes, distinct_regions(members.join(hot, "fp", "left_semi"), ["key", "w"]), byte_symbols, window)
-        more = each.groupBy("fp", "wh").agg(F.sum("total").alias("n")).where("n > 1").select("fp", "wh")
-        again = each.join(more, ["fp", "wh"]).select("fp", "r", F.col("at").alias("start"), (F.col("at") + 1).alias("stop"), "alone", "rep.key", "rep.w")
-        found = found.unionByName(again)
-    found = settle(found, "repeats")
-    # most regions stand in one place, which is known; only those that equal another are looked up by member
-    lo = place(F.col("w"))[0].cast("int")
-    stretch = [(lo + F.col("start")).alias("a"), (lo + F.col("stop")).alias("b")]
-    shared = members.join(found.where("NOT alone").select("fp", "r", "start", "stop"), ["fp", "r"]).select("key", *stretch)
-    spans = found.where("alone").select("key", *stretch).unionByName(shared).groupBy("key").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
+    found = repeated_regions(classes, members, window, (max(1, window // 16), 1))
+    # most regions stand in one place, which is known; only those that equal another are looked up by member, one row a region
+    stretch = moved("stretches", place(F.col("w"))[0].cast("int"))
+    known = found.where("rows = 1").select("key", stretch.alias("s"))
+    shared = meet(bundled(members), found.where("rows > 1").select("fp", "r", "rows", "stretches"), ["fp", "r"], "rows")
+    shared = shared.select("items", "stretches").mapInArrow(spans_of_members, "key binary, s array<struct<start: int, stop: int>>")
+    flat = F.transform(F.flatten(F.collect_list("s")), lambda x: F.struct(x["start"].alias("a"), x["stop"].alias("b")))
+    spans = known.unionByName(shared).groupBy("key").agg(flat.alias("spans"))
     return classes, spans
 
 
