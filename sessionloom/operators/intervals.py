@@ -48,9 +48,9 @@ def point_in_interval(
     """
     k = list(k)
     valid = intervals.filter(F.col(start) <= F.col(end))
-    nodes = valid.withColumn("_at", F.explode(tree_nodes(blocks.chunk_of(start, width), blocks.chunk_of(end, width))))
+    # the intervals' own columns keep their names and values
+    wide = valid.select("*", F.inline(tree_nodes(blocks.chunk_of(start, width), blocks.chunk_of(end, width))).alias("_l", "_c"))
     part = F.when(F.col("_l") >= WIDE_LEVEL, F.sequence(F.lit(0), F.lit(PARTS - 1))).otherwise(F.array(F.lit(0)))
-    wide = nodes.select(*valid.columns, F.col("_at.level").alias("_l"), F.col("_at.node").alias("_c"))
     wide = settle(wide.withColumn("_part", F.explode(part)))
     # a level for each doubling of the longest interval at most
     used = sorted(r["_l"] for r in wide.select("_l").distinct().collect()) or [0]

@@ -120,6 +120,31 @@ def test_long_intervals_and_points(spark, width):
     assert sorted((r["n"], r["m"]) for r in got.collect()) == sorted(want)
 
 
+def test_own_columns_of_intervals_stay(spark):
+    points = spark.createDataFrame([("x", 1, 5.0)], "s string, n long, t double")
+    spans = spark.createDataFrame([("x", 4.5, 4.0, 6.0)], "s string, _at double, a double, b double")
+    got = intervals.point_in_interval(points, spans, ["s"], "t", "a", "b", 1.0).filter("_at < t").collect()
+    assert [(r["n"], r["_at"]) for r in got] == [(1, 4.5)]
+
+
+@pytest.mark.parametrize("width", [2.0, 1e6])
+def test_response_window(spark, width):
+    rng = np.random.default_rng(8)
+    series = [(s, float(t), float(v)) for s, t, v in zip(rng.choice(["x", "y"], 200), np.round(rng.uniform(0, 100, 200), 1), rng.normal(size=200))]
+    moments = [(s, n, float(t), float(r)) for n, (s, t, r) in enumerate(zip(rng.choice(["x", "y", "none"], 30), np.round(rng.uniform(0, 100, 30), 1), rng.choice([0.5, 4.0], 30)))]
+    got = E.response_window(
+        spark.createDataFrame(moments, "s string, e long, t double, r double"), spark.createDataFrame(series, "s string, t double, v double"),
+        ["s"], "t", "v", "r", "e", width, 3.0, 2.0, 30.0, 2,
+    ).collect()
+
+    def rise(s, at, r):
+        before = [v for q, t, v in series if q == s and at - 3.0 <= t <= at]
+        after = [v for q, t, v in series if q == s and at <= t <= at + r + 2.0]
+        return max(after) - min(before) if len(before) >= 2 and len(after) >= 2 else None
+
+    assert {r["e"]: (r["response"], r["control_response"]) for r in got} == {e: (rise(s, t, r), rise(s, t - 30.0, r)) for s, e, t, r in moments}
+
+
 def test_nodes_of_an_interval(spark):
     from pyspark.sql import functions as F
 
