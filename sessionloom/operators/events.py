@@ -6,13 +6,14 @@ from collections.abc import Sequence
 from functools import reduce
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType
 
 from ..functions.scalars import wrapped_diff
 from ..session import settle
-from . import asof, blocks, intervals, rules, runs, stats
+from . import asof, blocks, groups, intervals, rules, runs, stats
 
 
 def diagnose_events(
@@ -367,10 +368,11 @@ def greedy_spacing(df: DataFrame, k: Sequence[str], t: str, sep: float, width: f
     `sep` apart too.
     """
     k = list(k)
-    chunked = df.withColumn("_c", blocks.chunk_of(t, max(width, sep)))
+    chunked = settle(df.filter(F.col(t).isNotNull()).withColumn("_c", blocks.chunk_of(t, max(width, sep))))
     side = "right" if strict else "left"
-    keys = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in k)
-    node = f"{keys}, _c bigint, origin double, first array<double>, leave array<double>"
+    keys = [df.schema[c] for c in k]
+    node = StructType([*keys, StructField("_c", LongType()), StructField("origin", DoubleType()), *(StructField(c, ArrayType(DoubleType())) for c in ("first", "leave"))])
+    placed = StructType([*keys, StructField("_c", LongType()), StructField("entry", DoubleType())])
 
     def reduced(first: np.ndarray, leave: np.ndarray, origin: float) -> tuple[np.ndarray, np.ndarray]:
         """The step function's steps: entries come before `origin`, so times beyond the first one later than origin + sep don't matter."""
@@ -384,57 +386,69 @@ def greedy_spacing(df: DataFrame, k: Sequence[str], t: str, sep: float, width: f
         at = np.searchsorted(first, entry + sep, side)
         return np.where(at < len(first), leave[np.minimum(at, len(first) - 1)], entry)
 
-    def summarise(pdf: pd.DataFrame) -> pd.DataFrame:
-        times = np.sort(pdf[t].to_numpy(float))
-        own = np.arange(len(times))
-        jump = np.maximum(np.searchsorted(times, times + sep, side), own + 1)
-        jump = np.where(jump < len(times), jump, own)
-        while not np.array_equal(further := jump[jump], jump):
-            jump = further
-        first, leave = reduced(times, times[jump], times[0])
-        return pd.DataFrame({c: [pdf[c].iloc[0]] for c in [*k, "_c"]} | {"origin": [float(times[0])], "first": [first], "leave": [leave]})
-
-    def compose(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("_c")
-        first, leave = (np.asarray(pdf[c].iloc[0], float) for c in ("first", "leave"))
-        origin = float(pdf["origin"].iloc[0])
-        for f, v in zip(pdf["first"].iloc[1:], pdf["leave"].iloc[1:]):
-            f, v = np.asarray(f, float), np.asarray(v, float)
-            first, leave = reduced(np.append(first, f), np.append(after(f, v, leave), v), origin)
-        return pd.DataFrame({c: [pdf[c].iloc[0]] for c in k} | {"_c": [int(pdf["_c"].iloc[0]) // FAN], "origin": [origin], "first": [first], "leave": [leave]})
-
-    def spread(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("_c")
-        last, entry = np.array(pdf["entry"].iloc[0], float), []
-        for f, v in zip(pdf["first"], pdf["leave"]):
-            entry.append(float(last))
-            last = after(np.asarray(f, float), np.asarray(v, float), last)
-        return pdf[[*k, "_c"]].assign(entry=entry)
-
-    def choose(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(t)
-        times, last = pdf[t].to_numpy(float), float(pdf["_entry"].iloc[0])
-        keep = np.zeros(len(times), bool)
-        at = np.searchsorted(times, last + sep, side)
-        while at < len(times):
-            keep[at] = True
-            at = max(np.searchsorted(times, times[at] + sep, side), at + 1)
-        return pdf[keep].drop(columns=["_c", "_entry"])
+    def jumps(times: np.ndarray) -> np.ndarray:
+        """The place of the next time kept, if this one is."""
+        return np.maximum(np.searchsorted(times, times + sep, side), np.arange(1, len(times) + 1))
+
+    def nodes(heads: pa.Table, origin: np.ndarray, steps: list[tuple[np.ndarray, np.ndarray]]) -> pa.Table:
+        first, leave = (groups.lists([s[n] for s in steps]) for n in (0, 1))
+        return heads.append_column("origin", pa.array(origin)).append_column("first", first).append_column("leave", leave)
+
+    def summarise(rows: pa.Table, starts: np.ndarray) -> pa.Table:
+        every, steps = rows[t].to_numpy(), []
+        for a, b in zip(starts[:-1], starts[1:]):
+            times = every[a:b]
+            jump = jumps(times)
+            jump = np.where(jump < len(times), jump, np.arange(len(times)))
+            while not np.array_equal(further := jump[jump], jump):
+                jump = further
+            steps.append(reduced(times, times[jump], times[0]))
+        return nodes(rows.select([*k, "_c"]).take(starts[:-1]), every[starts[:-1]], steps)
+
+    def compose(rows: pa.Table, starts: np.ndarray) -> pa.Table:
+        firsts, leaves, origin, steps = groups.rows_of(rows["first"]), groups.rows_of(rows["leave"]), rows["origin"].to_numpy(), []
+        for a, b in zip(starts[:-1], starts[1:]):
+            first, leave = firsts[a], leaves[a]
+            for f, v in zip(firsts[a + 1 : b], leaves[a + 1 : b]):
+                first, leave = reduced(np.append(first, f), np.append(after(f, v, leave), v), origin[a])
+            steps.append((first, leave))
+        heads = rows.select([*k, "_up"]).rename_columns([*k, "_c"]).take(starts[:-1])
+        return nodes(heads, origin[starts[:-1]], steps)
+
+    def spread(rows: pa.Table, starts: np.ndarray) -> pa.Table:
+        firsts, leaves, entry = groups.rows_of(rows["first"]), groups.rows_of(rows["leave"]), rows["entry"].to_numpy().copy()
+        for a, b in zip(starts[:-1], starts[1:]):
+            for n in range(a, b - 1):
+                entry[n + 1] = after(firsts[n], leaves[n], entry[n])
+        return rows.select([*k, "_c"]).append_column("entry", pa.array(entry))
+
+    def choose(rows: pa.Table, starts: np.ndarray) -> pa.Table:
+        every, entry = rows["_t"].to_numpy(), rows["_entry"].to_numpy()
+        keep = np.zeros(len(every), bool)
+        for a, b in zip(starts[:-1], starts[1:]):
+            times = every[a:b]
+            jump, at, kept = jumps(times).tolist(), int(np.searchsorted(times, entry[a] + sep, side)), []
+            while at < len(jump):
+                kept.append(at)
+                at = jump[at]
+            keep[a + np.array(kept, int)] = True
+        return rows.filter(pa.array(keep))
 
     start = chunked.groupBy(*k).agg(F.min("_c").alias("_c0"))
-    summary = chunked.select(*k, "_c", F.col(t).cast("double").alias(t)).groupBy(*k, "_c").applyInPandas(summarise, node)
+    summary = groups.over_groups(chunked.select(*k, "_c", F.col(t).cast("double").alias(t)), [*k, "_c"], [t], summarise, node)
     levels = [settle(stats.attach(summary, start, k).withColumn("_c", F.col("_c") - F.col("_c0")).drop("_c0"))]
     left = levels[0].agg(F.max("_c")).first()[0] or 0
     while left:
         left //= FAN
-        levels.append(settle(levels[-1].groupBy(*k, F.floor(F.col("_c") / FAN).alias("_up")).applyInPandas(compose, node)))
+        levels.append(settle(groups.over_groups(levels[-1].withColumn("_up", F.floor(F.col("_c") / FAN)), [*k, "_up"], ["_c"], compose, node)))
     entries = levels.pop().select(*k, "_c", F.lit(float("-inf")).alias("entry"))
     while levels:
         below = levels.pop().withColumn("_up", F.floor(F.col("_c") / FAN))
         entered = below.join(entries.withColumnRenamed("_c", "_up"), [*k, "_up"])
-        entries = entered.groupBy(*k, "_up").applyInPandas(spread, f"{keys}, _c bigint, entry double")
+        entries = groups.over_groups(entered, [*k, "_up"], ["_c"], spread, placed)
     entries = stats.attach(entries, start, k).select(*k, (F.col("_c") + F.col("_c0")).alias("_c"), F.col("entry").alias("_entry"))
-    return chunked.join(entries, [*k, "_c"]).groupBy(*k, "_c").applyInPandas(choose, df.schema)
+    inside = chunked.join(entries, [*k, "_c"]).withColumn("_t", F.col(t).cast("double"))
+    return groups.over_groups(inside, [*k, "_c"], ["_t"], choose, df.schema)
 
 
 def response_window(

@@ -120,6 +120,36 @@ def test_long_intervals_and_points(spark, width):
     assert sorted((r["n"], r["m"]) for r in got.collect()) == sorted(want)
 
 
+@pytest.mark.parametrize("size", ["1", "7", "10000"])
+def test_groups_in_one_call(spark, size):
+    import pyarrow as pa
+
+    from sessionloom.operators import groups
+
+    rng = np.random.default_rng(3)
+    rows = [(None if g == 3 else int(g), None if n % 5 == 0 else "a", float(v)) for n, (g, v) in enumerate(zip(rng.integers(0, 40, 300) ** 2 // 300, rng.normal(size=300)))]
+    df = spark.createDataFrame(rows, "k long, s string, v double")
+
+    def first_and_number(whole, starts):
+        return whole.take(starts[:-1]).append_column("n", pa.array(np.diff(starts))).append_column("calls", pa.array(np.full(len(starts) - 1, len(starts) - 1)))
+
+    from pyspark.sql.types import LongType, StructType
+
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+    try:
+        schema = StructType(list(df.schema.fields)).add("n", LongType()).add("calls", LongType())
+        got = groups.over_groups(df, ["k", "s"], ["v"], first_and_number, schema).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    want = {}
+    for k, s, v in rows:
+        least, n = want.get((k, s), (math.inf, 0))
+        want[k, s] = min(least, v), n + 1
+    assert len(got) == len(want) and {(r["k"], r["s"]): (r["v"], r["n"]) for r in got} == want
+    # short groups share calls
+    assert size != "10000" or max(r["calls"] for r in got) > 1
+
+
 def test_own_columns_of_intervals_stay(spark):
     points = spark.createDataFrame([("x", 1, 5.0)], "s string, n long, t double")
     spans = spark.createDataFrame([("x", 4.5, 4.0, 6.0)], "s string, _at double, a double, b double")
