@@ -313,6 +313,9 @@ def thresholds(df: DataFrame, k: Sequence[str], cfg: PeakRule, adaptive: bool =
     fixed = {"brake": cfg.brake_g, "accel": cfg.accel_g, "turn": cfg.turn_g}
     if not adaptive:
         return sessions.withColumns({f"thr_{n}_g": F.lit(v) for n, v in fixed.items()})
+    # three selections read the two accelerations
+    df = settle(df.select(*k, "lon_acc_g", "lat_acc_g"))
+    sessions = df.select(*k).distinct()
     pos = df.filter(F.col("lon_acc_g") > 0)
     lon = stats.quantiles(
         df, k, "lon_acc_g", [ADAPTIVE["brake"]["q"], ADAPTIVE["accel"]["q"]], ["_brake", "_accel_all"]

@@ -25,9 +25,9 @@ CELLS = 4096
 def quantiles(
     df: DataFrame, by: Sequence[str], v: str, ps: Sequence[float], names: Sequence[str] | None = None
 ) -> DataFrame:
-    """Exact linear-interpolation quantiles of `v` per group (A2), without gathering a group.
+    """Exact linear-interpolation quantiles of `v` per group (A2), without gathering a group of more than `CELL_ROWS` values.
 
-    Distributed selection: cut points of a mergeable sketch part each group into cells, whose
+    Short groups are sorted, each for itself. Long ones, distributed selection: cut points of a mergeable sketch part each group into cells, whose
     exact counts, lowest and highest values are one combinable aggregation. The cell that holds
     a rank is kept; while it has more than `CELL_ROWS` values that differ it is cut again into
     `CELLS` equal widths. Only the last cells are sorted, each for itself. Any cut points are
@@ -38,6 +38,17 @@ def quantiles(
     margin = 4.0 / SKETCH
     sides = sorted({max(0.0, p - margin) for p in ps} | {min(1.0, p + margin) for p in ps})
     values = settle(df.select(*by, F.col(v).cast("double").alias("_v")).filter(F.col("_v").isNotNull()))
+    sizes = settle(values.groupBy(*by).agg(F.count(F.lit(1)).alias("_total")))
+    ends = [_interpolated(n, p).alias(name) for n, (p, name) in enumerate(zip(ps, names))]
+    # a group of so few values is sorted as it is
+    order = Window.partitionBy(*by, F.lit(0)).orderBy("_v")
+    numbered = attach(values, sizes.filter(F.col("_total") <= CELL_ROWS), by).withColumn("_place", F.row_number().over(order) - 1)
+    ranks = [end(F.lit(float(p)) * (F.col("_total") - 1)) for p in ps for end in (F.floor, F.ceil)]
+    picks = [F.max(F.when(F.col("_place") == rank, F.col("_v"))).alias(f"_x{q}") for q, rank in enumerate(ranks)]
+    short = numbered.groupBy(*by).agg(F.max("_total").alias("_total"), *picks).select(*by, *ends)
+    if not sizes.filter(F.col("_total") > CELL_ROWS).limit(1).count():
+        return short
+    values = attach(values, sizes.filter(F.col("_total") > CELL_ROWS), by).drop("_total")
     cuts = values.groupBy(*by).agg(F.percentile_approx("_v", sides, SKETCH).alias("_cuts"))
     parted = attach(values, cuts, by).withColumn("_cell", F.size(F.filter("_cuts", lambda c: c < F.col("_v"))))
     ranks = []
@@ -64,15 +75,16 @@ def quantiles(
     upto = F.sum("_n").over(Window.partitionBy(*by, "_q").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0))
     here = (F.col("_rank") < F.col("_upto")) & (F.col("_rank") >= F.col("_upto") - F.col("_n"))
     found = single.unionByName(counted.withColumn("_upto", upto).filter(here).select(*by, "_q", F.col("_v").alias("_x")))
-    sizes = cells.groupBy(*by).agg(F.sum("_n").alias("_total"))
     picks = [F.max(F.when(F.col("_q") == q, F.col("_x"))).alias(f"_x{q}") for q in range(2 * len(ps))]
-    picked = attach(found.groupBy(*by).agg(*picks), settle(sizes), by)
-    out = []
-    for n, (p, name) in enumerate(zip(ps, names)):
-        at = F.lit(float(p)) * (F.col("_total") - 1)
-        low, high = F.col(f"_x{2 * n}"), F.col(f"_x{2 * n + 1}")
-        out.append(F.when(low == high, low).otherwise(low + (high - low) * (at - F.floor(at))).alias(name))
-    return picked.select(*by, *out)
+    long = attach(found.groupBy(*by).agg(*picks), sizes, by).select(*by, *ends)
+    return short.unionByName(long) if by else long
+
+
+def _interpolated(n: int, p: float) -> Column:
+    """Quantile `p` from the values `_x` at the ranks below and above it."""
+    at = F.lit(float(p)) * (F.col("_total") - 1)
+    low, high = F.col(f"_x{2 * n}"), F.col(f"_x{2 * n + 1}")
+    return F.when(low == high, low).otherwise(low + (high - low) * (at - F.floor(at)))
 
 
 def _cell_of_rank(cells: DataFrame, by: Sequence[str]) -> DataFrame:

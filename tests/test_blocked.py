@@ -120,6 +120,19 @@ def test_long_intervals_and_points(spark, width):
     assert sorted((r["n"], r["m"]) for r in got.collect()) == sorted(want)
 
 
+def test_short_groups_need_no_sketch(spark, monkeypatch):
+    """Groups that one sort can hold are sorted as they are; nothing of the sessions is sketched, cut or broadcast for them."""
+
+    def never(*_):
+        raise AssertionError("short groups are cut into cells")
+
+    monkeypatch.setattr(stats, "_cell_of_rank", never)
+    df = spark.createDataFrame([(n % 7, float(n * n % 31)) for n in range(200)], "g long, v double")
+    got = {r["g"]: r["m"] for r in stats.quantiles(df, ["g"], "v", [0.3], ["m"]).collect()}
+    assert got == {g: pytest.approx(np.quantile([n * n % 31 for n in range(200) if n % 7 == g], 0.3)) for g in range(7)}
+    assert [r["m"] for r in stats.quantiles(df.filter("v is null"), [], "v", [0.5], ["m"]).collect()] == [None]
+
+
 @pytest.mark.parametrize("size", ["1", "7", "10000"])
 def test_groups_in_one_call(spark, size):
     import pyarrow as pa
