@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
-from . import blocks
+from . import groups
+from ..session import settle
 
 COARSE = 32  # value buckets per level; two levels give COARSE * COARSE buckets per series
 SALTS = 4
@@ -30,23 +32,25 @@ def expanding_median(
     base = df.withColumn("_v", F.col(v).cast("double")).withColumn(
         "_b", F.floor(F.col(i) / F.lit(block)).cast("bigint")
     )
-    schema = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in k)
-    values = base.select(*k, "_b", i, "_v")
+    schema = StructType([*(df.schema[c] for c in k), StructField(i, LongType()), StructField(out, DoubleType())])
+    values = settle(base.select(*k, "_b", F.col(i).cast("bigint").alias(i), "_v"))
     own = _with_candidates(values, k, i)
 
-    def medians(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["_own", i])
-        copied = int((~pdf["_own"]).sum())
-        n = np.arange(copied + 1, len(pdf) + 1)  # values seen, of those in this block's reach
-        missing = int(pdf["_below"].iloc[0])
-        total = int(pdf["_total"].iloc[0]) + np.arange(1, len(n) + 1)
-        v = pdf["_v"].to_numpy(float)
-        found = (smallest_of_prefix(v, n, (total - 1) // 2 - missing) + smallest_of_prefix(v, n, total // 2 - missing)) / 2
-        mine = pdf.iloc[copied:]
-        head = {c: [pdf[c].iloc[0]] * len(mine) for c in k}
-        return pd.DataFrame(head | {i: mine[i].to_numpy(), out: found})
-
-    done = own.groupBy(*k, "_b").applyInPandas(medians, f"{schema}, `{i}` bigint, `{out}` double")
+    def medians(whole: pa.Table, starts: np.ndarray) -> pa.Table:
+        # copies stand before the block's own rows
+        mine, every = whole["_own"].to_numpy(), whole["_v"].to_numpy()
+        below, before = (whole[c].to_numpy() for c in ("_below", "_total"))
+        found = np.zeros(len(every))
+        for a, b in zip(starts[:-1], starts[1:]):
+            copied = int((~mine[a:b]).sum())
+            n = np.arange(copied + 1, b - a + 1)  # values seen, of those in this block's reach
+            missing = int(below[a])
+            total = int(before[a]) + np.arange(1, len(n) + 1)
+            v = every[a:b]
+            found[a + copied : b] = (smallest_of_prefix(v, n, (total - 1) // 2 - missing) + smallest_of_prefix(v, n, total // 2 - missing)) / 2
+        return whole.select([*k, i]).append_column(out, pa.array(found)).filter(pa.array(mine))
+
+    done = groups.over_groups(own, [*k, "_b"], ["_own", i], medians, schema)
     return df.join(done, [*k, i])
 
 
@@ -84,6 +88,9 @@ def _bucket(cuts: Column, v: Column) -> Column:
 def _with_candidates(values: DataFrame, k: list[str], i: str) -> DataFrame:
     """Own rows of every block, plus copies of the earlier rows its medians can reach."""
     n = COARSE * COARSE
+    every = values
+    # a series of one block has nothing before it
+    values = every.join(every.filter(F.col("_b") > 0).select(*k).distinct(), k, "left_semi")
     cuts = values.groupBy(*k).agg(
         F.percentile_approx("_v", [j / n for j in range(1, n)], 10_000).alias("_cuts")
     )
@@ -119,5 +126,5 @@ def _with_candidates(values: DataFrame, k: list[str], i: str) -> DataFrame:
     copies = sources.join(wanted, [*k, "_q", "_salt"]).filter(F.col("_b") < F.col("_to")).select(
         *k, F.col("_to").alias("_b"), i, "_v", F.lit(False).alias("_own")
     )
-    both = values.withColumn("_own", F.lit(True)).unionByName(copies)
+    both = every.withColumn("_own", F.lit(True)).unionByName(copies)
     return both.join(facts, [*k, "_b"], "left").fillna(0, ["_below", "_total"])

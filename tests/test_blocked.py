@@ -133,6 +133,20 @@ def test_short_groups_need_no_sketch(spark, monkeypatch):
     assert [r["m"] for r in stats.quantiles(df.filter("v is null"), [], "v", [0.5], ["m"]).collect()] == [None]
 
 
+@pytest.mark.parametrize("blocks", [1, 4])
+def test_running_median_copies_only_for_long_series(spark, blocks, monkeypatch):
+    from sessionloom.operators import expanding
+
+    rng = np.random.default_rng(11)
+    series = {"short": rng.normal(size=9), "long": rng.normal(size=10 * blocks)}
+    df = spark.createDataFrame([(s, n, float(v)) for s, vs in series.items() for n, v in enumerate(vs)], "s string, i long, v double")
+    seen = []
+    monkeypatch.setattr(expanding, "_with_candidates", lambda values, k, i, f=expanding._with_candidates: seen.append(f(values, k, i)) or seen[-1])
+    got = {(r["s"], r["i"]): r["m"] for r in expanding.expanding_median(df, ["s"], "v", "m", "i", 10).collect()}
+    assert got == {(s, n): pytest.approx(np.median(vs[: n + 1])) for s, vs in series.items() for n in range(len(vs))}
+    assert {r["s"] for r in seen[0].filter("not _own").collect()} == ({"long"} if blocks > 1 else set())
+
+
 @pytest.mark.parametrize("size", ["1", "7", "10000"])
 def test_groups_in_one_call(spark, size):
     import pyarrow as pa
