@@ -8,11 +8,13 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from ..session import settle
-from . import blocks, stats
+from . import blocks, groups, stats
 from .asof import interpolate
 
 
@@ -224,12 +226,37 @@ def fft_lowpass(
 ) -> DataFrame:
     """Zero-phase low-pass of a whole series: frequencies above `cutoff` are removed.
 
-    Series of any length are filtered by the equal circular convolution, whose transforms are split over the cluster.
+    Series of up to `FFT_VALUES` rows are transformed whole, many in one call; longer ones are filtered by the equal circular
+    convolution, whose transforms are split over the cluster.
     """
     k = list(k)
     whole = fill_linear(df.select(*k, i, v), k, v, i, block)
-    sized = stats.attach(whole, whole.groupBy(*k).agg(F.count(F.lit(1)).alias("_n")), k)
-    return df.join(_lowpass_split(sized, k, v, cutoff, out, fs, i), [*k, i])
+    sized = settle(stats.attach(whole, whole.groupBy(*k).agg(F.count(F.lit(1)).alias("_n")), k))
+    smooth = _lowpass_whole(sized.filter(F.col("_n") <= FFT_VALUES), k, v, cutoff, out, fs, i)
+    long = sized.filter(F.col("_n") > FFT_VALUES)
+    if long.limit(1).count():
+        smooth = smooth.unionByName(_lowpass_split(long, k, v, cutoff, out, fs, i))
+    return df.join(smooth, [*k, i])
+
+
+def _lowpass_whole(sized: DataFrame, k, v, cutoff, out, fs, i) -> DataFrame:
+    """Each series transformed at its own length."""
+    rows = sized.select(*k, F.col(i).cast("bigint").alias(i), F.col(v).cast("double").alias("_v"))
+
+    def smooth(whole: pa.Table, starts: np.ndarray) -> pa.Table:
+        place, x = whole[i].to_numpy(), whole["_v"].to_numpy()
+        j, y = np.zeros(len(x), np.int64), np.zeros(len(x))
+        for a, b in zip(starts[:-1], starts[1:]):
+            n, inside = int(b - a), place[a:b] < b - a
+            series = np.zeros(n)
+            series[place[a:b][inside]] = x[a:b][inside]
+            kept = np.fft.rfft(series)
+            kept[min(int(math.floor(cutoff * n / fs)), n // 2) + 1 :] = 0
+            j[a:b], y[a:b] = np.arange(n), np.fft.irfft(kept, n)
+        return whole.select(k).append_column(i, pa.array(j)).append_column(out, pa.array(y, from_pandas=True))
+
+    schema = StructType([*(sized.schema[c] for c in k), StructField(i, LongType()), StructField(out, DoubleType())])
+    return groups.over_groups(rows, k, [i], smooth, schema)
 
 
 def _lowpass_split(sized: DataFrame, k, v, cutoff, out, fs, i) -> DataFrame:

@@ -129,6 +129,21 @@ def lowpass(x, cutoff, fs):
     return np.real(np.fft.ifft(np.where(np.abs(f) > cutoff, 0, np.fft.fft(x))))
 
 
+@pytest.mark.parametrize("values", [16, 1 << 18])
+@pytest.mark.parametrize("cutoff", [2.0, 12.5])
+def test_lowpass_of_short_and_long_series(spark, cutoff, values, monkeypatch):
+    monkeypatch.setattr(spectral, "FFT_VALUES", values)
+    calls, many = [], spectral.groups.over_groups
+    monkeypatch.setattr(spectral.groups, "over_groups", lambda *a: calls.append(a) or many(*a))
+    rng = np.random.default_rng(4)
+    x = {"a": rng.normal(size=33), "b": rng.normal(size=16), "c": rng.normal(size=1)}
+    df = spark.createDataFrame([(s, n, float(v)) for s in x for n, v in enumerate(x[s])] + [("none", 0, None)], "s string, i long, v double")
+    got = spectral.fft_lowpass(df, ["s"], "v", cutoff, "y").toPandas()
+    assert len(calls) == 1 and got[got.s == "none"].y.isna().all() and len(got) == 51
+    for s in x:
+        assert np.allclose(got[got.s == s].sort_values("i").y, lowpass(x[s], cutoff, 25.0), atol=1e-9)
+
+
 @pytest.mark.parametrize("cutoff", [2.0, 12.5])
 def test_lowpass_equals_one_transform(spark, cutoff):
     rng = np.random.default_rng(8)
