@@ -214,6 +214,22 @@ def test_nodes_of_an_interval(spark):
         assert len(got) <= 2 * math.log2(r["b"] - r["a"] + 2)
 
 
+def test_mixture_rounds_read_rows_of_many_points(spark, monkeypatch):
+    rng = np.random.default_rng(12)
+    rows = [(s, n, float(x), float(y)) for s in ("a",) for n, (x, y) in enumerate(rng.uniform(0.05, 0.95, (60, 2)))] + [("a", 99, 0.4, None)]
+    df = spark.createDataFrame(rows, "s string, pid long, x double, y double").repartition(3)
+    sizes, found = [], []
+    for points in (7, 2048):
+        monkeypatch.setattr(posture, "POINTS", points)
+        divided = posture._divided(3)
+        monkeypatch.setattr(posture, "_divided", lambda n, f=divided: lambda held, mixture: sizes.append(held) or f(held, mixture))
+        got = posture.grip_clusters(df, ["s"], (0.3, 0.7, 0.3, 0.7), rounds=1, min_points=20).collect()
+        monkeypatch.undo()
+        found.append({r["s"]: [v for c in r["clusters"] for v in list(c)[:8]] for r in got})
+    assert [h.count() for h in sizes] == [9, 1]
+    assert set(found[0]) == {"a"} and all(found[0][s] == pytest.approx(found[1][s], rel=1e-9) for s in found[0])
+
+
 @pytest.mark.parametrize("points", [1, 2, 3])
 def test_regions_by_summed_areas(spark, points):
     rng = np.random.default_rng(points)
