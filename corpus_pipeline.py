@@ -9,19 +9,35 @@ Repeated rows are scored alike; they, and rows that share an id, become one at t
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sessionloom.llm import decontaminate, jaccard, packing, quality, suffix_dedup
-from sessionloom.llm.common import settle, table
+from sessionloom.llm.common import settle, small_batches, table
+
+
+def bounded(stage: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+    """The stage in a session of small batches: an executor runs several Python workers, and each keeps what its largest batch took."""
+
+    @wraps(stage)
+    def run_(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        small_batches(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run_
 
 
+@bounded
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier rejects (score below 0.5) go; it learns from labelled rows outside the held-out fold."""
     model = quality.fit(docs, table(spark, sf_dir, "labels"))
     return quality.score(docs, model).where("score >= 0.5").select("row.*")
 
 
+@bounded
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each component of similar documents the one with the smallest id stays, and of rows that share an id one; rows without id stay."""
     parts = jaccard.jaccard_components(docs)
@@ -38,6 +54,7 @@ REPEAT = 224
 REPEAT_GRAM = 48
 
 
+@bounded
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Bytes under strings of `REPEAT` bytes that stand twice are cut out of the texts; all documents stay."""
     cut = suffix_dedup.cut_repeats(docs, REPEAT, REPEAT_GRAM)
@@ -46,11 +63,13 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return out.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
+@bounded
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold ten consecutive words of a benchmark item, or a whole shorter item, go."""
     return decontaminate.remove_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
+@bounded
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces of what is left, each with its place in a training sequence."""
     return packing.pack(packing.pieces(docs))

@@ -27,6 +27,8 @@ from .common import LOWER, WORD_BYTE, Texts, owner, prefix_sums, query, settle,
 
 WINDOW = 10
 BLOCK_BYTES = 8 << 20
+#: Bytes of documents whose suffix array every test suffix is looked up in; a block's suffixes cost as much in a small shard.
+SHARD_BYTES = 1 << 20
 #: Blocks that one stage looks up; more are cut by a written table.
 BLOCKS_A_STAGE = 4
 
@@ -212,7 +214,7 @@ def _pass(index, row_type: pa.DataType | None = None):
             text = batch.column(1)
             old_spans, old_items = batch.column(3).to_pylist(), batch.column(4).to_pylist()
             counts, spans, items = [], [], []
-            for t in texts(text):
+            for t in texts(text, SHARD_BYTES):
                 first, start, length, window, _ = look_up(t, own)
                 rows = range(t.first, t.first + len(t))
                 flat, cut = _spans(first, start, length, [old_spans[r] for r in rows])
@@ -276,7 +278,7 @@ def longest_matches(docs: DataFrame, items: DataFrame, window: int = WINDOW, id_
         def run(batches, index=index):
             own = index.value
             for batch in batches:
-                for t in texts(batch.column(1)):
+                for t in texts(batch.column(1), SHARD_BYTES):
                     first, *_, (suffix, at, n) = look_up(t, own)
                     item = np.searchsorted(own.first, suffix, side="right") - 1
                     doc = np.searchsorted(first, at, side="right") - 1

@@ -108,8 +108,8 @@ def count_grams(classes: DataFrame, n: int, counters: int) -> DataFrame:
                 h, first = grams(t, n)
                 sizes.append(np.diff(first))
                 if len(h):
-                    slot = (h & np.uint64(counters - 1)).astype(np.int64)
-                    held.append(_summed(slot, np.ones(len(slot), np.int64)))
+                    slot = (h & np.uint64(counters - 1)).astype(np.int32)
+                    held.append(_summed(slot, np.ones(len(slot), np.uint32)))
                     waiting += len(held[-1][0])
                 if waiting > HELD:
                     yield flush()

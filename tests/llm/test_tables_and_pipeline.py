@@ -4,14 +4,18 @@ from __future__ import annotations
 
 import math
 import random
+import tracemalloc
 
+import numpy as np
 import oracle
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from sessionloom.llm import decontaminate, jaccard, knn, url_filter
+from sessionloom.llm import decontaminate, jaccard, knn, quality, url_filter
 from sessionloom.llm.catalogue import ORACLE, QUERIES
+from sessionloom.llm.common import texts
 
 SF = "/root/testdata/sf0.001"
 
@@ -142,3 +146,32 @@ def test_stages_bear_repeated_rows_and_nulls(spark):
     assert len(cut) == len(rows) and {r.n_chars for r in cut if r.doc_id == 3} == {None}
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs.limit(0), SF).count() == 0
+
+
+def test_passes_over_text_are_small():
+    """What numpy holds at once doesn't grow with the batch; before, it was some 100 bytes for each of 2^20 bytes of text."""
+    draw = np.random.default_rng(0)
+    column = pa.array([draw.integers(97, 123, 2000, dtype=np.uint8).tobytes().decode() for _ in range(2000)])
+    model = quality.Model(draw.normal(size=quality.BUCKETS), 0.0)
+    for one in (model.score, jaccard.grams):
+        one(next(texts(column)))  # tables that are kept
+        tracemalloc.start()
+        n = sum(len(t) for t in texts(column) if one(t) is not None)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert n == 2000 and peak < 16 << 20
+
+
+def test_batches_of_the_pipeline_are_small(spark):
+    spark = spark.newSession()  # what a stage sets doesn't outlast the test
+    docs = spark.range(0, 3000, 1, 1).select(F.col("id").alias("doc_id"), F.expr("repeat(cast(id AS string), 4000)").alias("text"))
+    corpus_pipeline.drop_near_duplicates(spark, docs.where("doc_id < 3"), SF)
+
+    def sizes(batches):
+        yield from (pa.RecordBatch.from_arrays([pa.array([b.num_rows]), pa.array([b.nbytes])], names=["n", "size"]) for b in batches)
+
+    got = docs.mapInArrow(sizes, "n long, size long").collect()
+    assert sum(r.n for r in got) == 3000 and max(r.size for r in got) < 8 << 20
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "1m")
+    corpus_pipeline.pack(spark, docs.limit(1), SF)
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == "1m"
