@@ -20,6 +20,8 @@ WIDTH = SCORED + SEEN
 HELD = 4096
 
 SHAPES = {"emb": (SLOTS + 1, DIM), "pos": (WIDTH, DIM), "qkv": (DIM, 3 * DIM), "out": (DIM, DIM), "up": (DIM, HIDDEN), "down": (HIDDEN, DIM), "cls": (DIM, CLASSES), "bias": (CLASSES,)}
+ONES = np.ones(max(WIDTH, CLASSES), np.float32)
+SCALE = np.float32(DIM**-0.5)
 CAUSAL = np.where(np.arange(WIDTH)[None, :] <= np.arange(SEEN, WIDTH)[:, None], 0, -1e9).astype(np.float32)
 
 
@@ -76,20 +78,28 @@ def windows(ids: np.ndarray, first: np.ndarray, know: Ids, end: int, pick: tuple
 
 
 def forward(p, slots, pad):
+    """Every state up to the logits. Sums along rows are products with ones, here and in `gradients`: numpy adds up short rows slowly."""
     b = len(slots)
-    x = p["emb"][slots] + p["pos"]
+    x = np.take(p["emb"], slots, axis=0)
+    x += p["pos"]
     qkv = (x.reshape(-1, DIM) @ p["qkv"]).reshape(b, WIDTH, 3 * DIM)
-    q, k, v = qkv[:, SEEN:, :DIM], qkv[:, :, DIM : 2 * DIM], qkv[:, :, 2 * DIM :]
-    a = np.matmul(q * np.float32(DIM**-0.5), k.transpose(0, 2, 1))
+    q, k, v = qkv[:, SEEN:, :DIM] * SCALE, qkv[:, :, DIM : 2 * DIM], qkv[:, :, 2 * DIM :]
+    a = np.matmul(q, k.transpose(0, 2, 1))
     a += CAUSAL
-    a += pad[:, None, :]
+    early = np.flatnonzero(pad[:, 0])
+    if len(early):
+        a[early] += pad[early][:, None, :]
     np.exp(np.minimum(a, 30, out=a), out=a)
-    a /= a.sum(axis=2, keepdims=True) + np.float32(1e-9)
+    a /= (a.reshape(-1, WIDTH) @ ONES[:WIDTH] + np.float32(1e-9)).reshape(b, SCORED, 1)
     mixed = np.matmul(a, v).reshape(-1, DIM)
-    h0 = x[:, SEEN:].reshape(-1, DIM) + mixed @ p["out"]
-    up = np.maximum(h0 @ p["up"], 0)
-    h = h0 + up @ p["down"]
-    logits = h @ p["cls"] + p["bias"]
+    h0 = mixed @ p["out"]
+    h0 += x[:, SEEN:].reshape(-1, DIM)
+    up = h0 @ p["up"]
+    np.maximum(up, 0, out=up)
+    h = up @ p["down"]
+    h += h0
+    logits = h @ p["cls"]
+    logits += p["bias"]
     return x, q, k, v, a, mixed, h0, up, h, logits
 
 
@@ -116,84 +126,128 @@ def infer(p, slots, pad):
     return logits
 
 
-def log_probabilities(p, know: Ids, ids, first, end, batch: int = 256) -> np.ndarray:
-    """Natural logarithm of every text's probability."""
-    slots, pad, target, valid, own = windows(ids, first, know, end)
+def log_probabilities(p, know: Ids, ids, first, end, batch: int = 64) -> np.ndarray:
+    """Natural logarithm of every text's probability. A batch is small enough for the caches; the windows are laid out `HELD` at a time."""
+    own, nth = numbered(first)
     total = np.zeros(len(first) - 1)
-    for lo in range(0, len(slots), batch):
-        s = slice(lo, lo + batch)
-        logits = infer(p, slots[s], pad[s])
-        t = target[s].reshape(-1)
-        want = logits[np.arange(len(t)), know.cls[t]]
-        np.exp(logits, out=logits)
-        got = want - np.log(logits.sum(axis=1)) + know.inside[t]
-        got = np.where(valid[s].reshape(-1), got, 0).reshape(-1, SCORED).sum(axis=1, dtype=np.float64)
-        np.add.at(total, own[s], got)
+    ones = np.ones(CLASSES, np.float32)
+    row = np.arange(batch * SCORED)
+    for base in range(0, len(own), HELD):
+        pick = own[base : base + HELD]
+        slots, pad, target, valid, _ = windows(ids, first, know, end, (pick, nth[base : base + HELD]))
+        cls, inside = know.cls[target].reshape(len(pick), -1), know.inside[target]
+        got = np.empty(target.shape, np.float32)
+        for lo in range(0, len(slots), batch):
+            s = slice(lo, lo + batch)
+            logits = infer(p, slots[s], pad[s])
+            want = logits[row[: len(logits)], cls[s].reshape(-1)]
+            np.exp(logits, out=logits)
+            got[s] = (want - np.log(logits @ ones)).reshape(-1, SCORED)
+        got += inside
+        total += np.bincount(pick, np.where(valid, got, 0).sum(axis=1, dtype=np.float64), minlength=len(total))
     return total
 
 
-def gradients(p, slots, pad, target_cls, valid):
+class Flat:
+    """One array for all parameters but the embedding, and a view of it for each, so that a step of Adam is a few passes over one array."""
+
+    def __init__(self):
+        names = [k for k in SHAPES if k != "emb"]
+        cut = np.cumsum([0] + [int(np.prod(SHAPES[k])) for k in names])
+        self.all = np.zeros(cut[-1], np.float32)
+        self.of = {k: self.all[a:b].reshape(SHAPES[k]) for k, a, b in zip(names, cut[:-1], cut[1:])}
+
+
+def softmax(logits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(e, sums), in place: e / sums is the softmax of each row. Rows are moved by their largest logits where these are far from 0."""
+    if max(logits.max(), -logits.min()) > 60:
+        logits -= logits.max(axis=1, keepdims=True)
+    np.exp(logits, out=logits)
+    return logits, logits @ ONES[: logits.shape[1]]
+
+
+def gradients(p, slots, pad, target_cls, valid, g: dict[str, np.ndarray] | None = None):
+    """(g, dx): the mean loss' gradients, written to the arrays `g` if there are any, and those of the places' inputs."""
     x, q, k, v, a, mixed, h0, up, h, logits = forward(p, slots, pad)
     b = len(slots)
-    prob = np.exp(logits - logits.max(axis=1, keepdims=True))
-    prob /= prob.sum(axis=1, keepdims=True)
-    n = max(int(valid.sum()), 1)
-    d = prob
-    d[np.arange(len(d)), target_cls] -= 1
-    d *= valid[:, None] / np.float32(n)
-    g = {"cls": h.T @ d, "bias": d.sum(0)}
+    if g is None:
+        g = {name: np.empty_like(p[name]) for name in SHAPES if name != "emb"}
+    d, sums = softmax(logits)
+    share = valid / np.float32(max(np.count_nonzero(valid), 1))
+    d *= (share / sums)[:, None]
+    d[np.arange(len(d)), target_cls] -= share
+    np.matmul(h.T, d, out=g["cls"])
+    np.sum(d, axis=0, out=g["bias"])
     dh = d @ p["cls"].T
-    g["down"] = up.T @ dh
-    dup = (dh @ p["down"].T) * (up > 0)
-    g["up"] = h0.T @ dup
-    dh0 = dh + dup @ p["up"].T
-    g["out"] = mixed.T @ dh0
-    dm = (dh0 @ p["out"].T).reshape(b, SCORED, DIM)
-    da = np.matmul(dm, v.transpose(0, 2, 1))
-    dv = np.matmul(a.transpose(0, 2, 1), dm)
-    ds = a * (da - (da * a).sum(axis=2, keepdims=True)) * np.float32(DIM**-0.5)
-    dqkv = np.zeros((b, WIDTH, 3 * DIM), np.float32)
-    dqkv[:, SEEN:, :DIM] = np.matmul(ds, k)
-    dqkv[:, :, DIM : 2 * DIM] = np.matmul(ds.transpose(0, 2, 1), q)
-    dqkv[:, :, 2 * DIM :] = dv
-    flat = dqkv.reshape(-1, 3 * DIM)
-    g["qkv"] = x.reshape(-1, DIM).T @ flat
-    dx = (flat @ p["qkv"].T).reshape(b, WIDTH, DIM)
-    dx[:, SEEN:] += dh0.reshape(b, SCORED, DIM)
-    g["pos"] = dx.sum(0)
+    np.matmul(up.T, dh, out=g["down"])
+    dup = dh @ p["down"].T
+    dup *= up > 0
+    np.matmul(h0.T, dup, out=g["up"])
+    dh += dup @ p["up"].T
+    np.matmul(mixed.T, dh, out=g["out"])
+    dm = dh @ p["out"].T
+    # the sum of da * a along a row is that of dm * mixed
+    along = (dm * mixed) @ ONES[:DIM]
+    dm = dm.reshape(b, SCORED, DIM)
+    ds = np.matmul(dm, v.transpose(0, 2, 1))
+    ds -= along.reshape(b, SCORED, 1)
+    ds *= a
+    dqkv = np.empty((b, WIDTH, 3 * DIM), x.dtype)
+    dqkv[:, :SEEN, :DIM] = 0
+    np.multiply(np.matmul(ds, k), SCALE, out=dqkv[:, SEEN:, :DIM])
+    np.matmul(ds.transpose(0, 2, 1), q, out=dqkv[:, :, DIM : 2 * DIM])
+    np.matmul(a.transpose(0, 2, 1), dm, out=dqkv[:, :, 2 * DIM :])
+    dqkv = dqkv.reshape(-1, 3 * DIM)
+    np.matmul(x.reshape(-1, DIM).T, dqkv, out=g["qkv"])
+    dx = (dqkv @ p["qkv"].T).reshape(b, WIDTH, DIM)
+    dx[:, SEEN:] += dh.reshape(b, SCORED, DIM)
+    np.sum(dx, axis=0, out=g["pos"])
     return g, dx
 
 
 def train(p, know: Ids, ids, first, end, batch: int = 16, rate: float = 0.01, seed: int = 0):
     """One pass of Adam over the texts' windows in random order; returns the parameters and the number of windows. Windows are laid
-    out `HELD` at a time, so that memory goes with the ids alone."""
+    out `HELD` at a time, so that memory goes with the ids alone; their slots are sorted there too, by step."""
     own, nth = numbered(first)
-    p = {k: v.copy() for k, v in p.items()}
-    mean, square = ({k: np.zeros_like(v) for k, v in p.items()} for _ in range(2))
+    now_, mean, square, grad = Flat(), Flat(), Flat(), Flat()
+    for k, v in now_.of.items():
+        v[:] = p[k]
+    emb, seen = p["emb"].copy(), np.zeros_like(p["emb"])
+    p = now_.of | {"emb": emb}
+    theta, m, s, g = now_.all, mean.all, square.all, grad.all
     order = np.random.default_rng(seed).permutation(len(own))
     steps, held = -(-len(order) // batch), HELD // batch
-    for step in range(steps):
-        if step % held == 0:
-            pick = order[step * batch : (step + held) * batch]
-            slots, pad, target, valid, _ = windows(ids, first, know, end, (own[pick], nth[pick]))
-            cls = know.cls[target]
-        at = slice(step % held * batch, (step % held + 1) * batch)
-        g, dx = gradients(p, slots[at], pad[at], cls[at].reshape(-1), valid[at].reshape(-1))
-        now = rate * (1 - step / steps) + rate / 50
-        for name, d in g.items():
-            m, s = mean[name], square[name]
-            m += 0.1 * (d - m)
-            s += 0.01 * (d * d - s)
-            t = step + 1
-            p[name] -= now * (m / (1 - 0.9**t)) / (np.sqrt(s / (1 - 0.99**t)) + 1e-6)
-        # only the rows that were read move
-        rows, back = np.unique(slots[at].reshape(-1), return_inverse=True)
-        d = np.zeros((len(rows), DIM), np.float32)
-        np.add.at(d, back, dx.reshape(-1, DIM))
-        s = square["emb"]
-        s[rows] += d * d
-        p["emb"][rows] -= now * 5 * d / (np.sqrt(s[rows]) + 1e-6)
-    return p, len(order)
+    for base in range(0, steps, held):
+        pick = order[base * batch : (base + held) * batch]
+        slots, pad, target, valid, _ = windows(ids, first, know, end, (own[pick], nth[pick]))
+        cls, low = know.cls[target], slots.astype(np.uint16)
+        for step in range(base, min(base + held, steps)):
+            at = slice((step - base) * batch, (step - base + 1) * batch)
+            _, dx = gradients(p, slots[at], pad[at], cls[at].reshape(-1), valid[at].reshape(-1), grad.of)
+            now, t = rate * (1 - step / steps) + rate / 50, step + 1
+            m += np.float32(0.1) * (g - m)
+            s += np.float32(0.01) * (g * g - s)
+            down = np.sqrt(s * np.float32(1 / (1 - 0.99**t)))
+            down += np.float32(1e-6)
+            np.divide(m, down, out=down)
+            down *= np.float32(now / (1 - 0.9**t))
+            theta -= down
+            # only the rows that were read move
+            key = low[at].reshape(-1)
+            by = np.argsort(key, kind="stable")
+            key = key[by]
+            head = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+            rows = key[head]
+            d = np.add.reduceat(dx.reshape(-1, DIM)[by], head, axis=0)
+            root = seen[rows]
+            root += d * d
+            seen[rows] = root
+            np.sqrt(root, out=root)
+            root += np.float32(1e-6)
+            d *= np.float32(now * 5)
+            d /= root
+            emb[rows] -= d
+    return {k: p[k].copy() for k in SHAPES}, len(order)
 
 
 def pack(p) -> bytes:

@@ -76,8 +76,12 @@ def prepare(docs: DataFrame, id_col: str, text_col: str, vocabulary: str) -> Dat
                     held.append(_summed(h, np.ones(len(h), np.int64)))
                     size += len(held[-1][0])
                 if size > HELD_WORDS:
-                    yield flush()
-                    held, size = [], 0
+                    # slices share words; what is few once they are added up stays
+                    held = [_summed(np.concatenate([k for k, _ in held]), np.concatenate([m for _, m in held]))]
+                    size = len(held[0][0])
+                    if size > HELD_WORDS // 2:
+                        yield flush()
+                        held, size = [], 0
                 ids = [encode(t.raw(i).decode(), vocabulary).astype("<u2") for i in range(len(t))]
                 for own, ok in zip(ids, teach):
                     if ok:

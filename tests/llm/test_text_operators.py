@@ -487,3 +487,40 @@ def test_attention_gradients():
     # probabilities of all next ids sum to one
     total = np.exp(know.inside + 0.0)
     assert np.allclose(np.bincount(know.cls, total, minlength=A.CLASSES)[np.unique(know.cls)], 1, atol=1e-4)
+
+
+def test_lm_words_in_parts(docs, rows, monkeypatch):
+    monkeypatch.setattr(lm_scoring, "HELD_WORDS", 7)
+    check_scores(lm_scoring.score(docs).collect(), rows)
+
+
+def test_training_step_is_plain_adam():
+    """Training, one flat array a step, against a loop over the parameters by name; gradients fill the arrays they are given, also from logits far from 0."""
+    draw = np.random.default_rng(3)
+    ids, first = draw.integers(0, 59, 700).astype("<u2"), np.array([0, 300, 300, 700])
+    know = attention.Ids(np.arange(60)[::-1])
+    got, n = attention.train(attention.start(), know, ids, first, 59, batch=4)
+    slots, pad, target, valid, _ = attention.windows(ids, first, know, 59)
+    order = np.random.default_rng(0).permutation(n)
+    p = attention.start()
+    mean, square = ({k: np.zeros_like(v) for k, v in p.items()} for _ in range(2))
+    steps = -(-n // 4)
+    for step in range(steps):
+        at = order[4 * step : 4 * step + 4]
+        given = {k: np.full_like(v, np.nan) for k, v in p.items() if k != "emb"}
+        g, dx = attention.gradients(p, slots[at], pad[at], know.cls[target[at]].reshape(-1), valid[at].reshape(-1), given)
+        assert g is given and all(np.isfinite(x).all() for x in g.values())
+        now = 0.01 * (1 - step / steps) + 0.01 / 50
+        for k, d in g.items():
+            mean[k] = 0.9 * mean[k] + 0.1 * d
+            square[k] = 0.99 * square[k] + 0.01 * d * d
+            p[k] -= now * (mean[k] / (1 - 0.9 ** (step + 1))) / (np.sqrt(square[k] / (1 - 0.99 ** (step + 1))) + 1e-6)
+        d = np.zeros_like(p["emb"])
+        np.add.at(d, slots[at], dx)
+        square["emb"] += d * d
+        p["emb"] -= now * 5 * d / (np.sqrt(square["emb"]) + 1e-6)
+    assert n == 13 + 1 + 17 and all(np.allclose(got[k], p[k], atol=2e-3) for k in p)
+    z = draw.normal(size=(5, 64)).astype(np.float32) * 100
+    want = np.exp(z.astype(np.float64) - z.max(1, keepdims=True))
+    e, sums = attention.softmax(z)
+    assert np.allclose(e / sums[:, None], want / want.sum(1, keepdims=True), atol=1e-4)
