@@ -95,27 +95,27 @@ def largest_step(clean: DataFrame, k: Sequence[str], min_side: int = 5, i: str =
     """Largest sustained change of the offset (C4): median after minus median before a split with
     at least `min_side` pings on each side; the first such split wins. `i` numbers the pings.
 
-    The two medians of every split are running medians from either end of the log.
+    The two medians of every split are running medians from either end of the log, found in one
+    call. Pings and medians are written once each, so no plan holds the steps before them again.
     """
     k = list(k)
-    sizes = clean.groupBy(*k).agg(F.count(F.lit(1)).alias("_n"))
-    base = clean.select(*k, i, "x", "off").join(sizes, k)
-    before = expanding.expanding_median(base.select(*k, i, "off"), k, "off", "_before", i, block).select(
-        *k, (F.col(i) + 1).alias(i), "_before"
-    )
-    mirrored = base.select(*k, (F.col("_n") - 1 - F.col(i)).alias("_m"), "off", i)
-    after = expanding.expanding_median(mirrored, k, "off", "_after", "_m", block).select(*k, i, "_after")
+    base = settle(clean.select(*k, i, "x", "off"))
+    sizes = base.groupBy(*k).agg(F.count(F.lit(1)).alias("_n"))
+    backwards = base.join(sizes, k).select(*k, F.lit(True).alias("_back"), (F.col("_n") - 1 - F.col(i)).alias(i), "off")
+    both = base.select(*k, F.lit(False).alias("_back"), i, "off").unionByName(backwards)
+    medians = settle(expanding.prefix_medians(both, [*k, "_back"], "off", "_median", i, block))
+    at = F.when(F.col("_back"), F.col("_n") - 1 - F.col(i)).otherwise(F.col(i) + 1)
     split = (
-        base.join(before, [*k, i]).join(after, [*k, i])
+        medians.join(sizes, k).withColumn(i, at)
         .filter((F.col(i) >= min_side) & (F.col(i) <= F.col("_n") - min_side))
-        .withColumn("step", F.col("_after") - F.col("_before"))
+        .groupBy(*k, i)
+        .agg((F.max(F.when(F.col("_back"), F.col("_median"))) - F.max(F.when(~F.col("_back"), F.col("_median")))).alias("step"))
         .filter(F.col("step") != 0)
     )
-    best = split.groupBy(*k).agg(
-        F.min_by(F.struct("step", "x"), F.struct(-F.abs("step"), F.col(i))).alias("_b")
-    )
-    return sizes.join(best, k, "left").select(
-        *k, F.coalesce(F.col("_b.step"), F.lit(0.0)).alias("max_step_s"), F.col("_b.x").alias("step_at_s")
+    best = split.groupBy(*k).agg(F.min_by(F.struct("step", i), F.struct(-F.abs("step"), F.col(i))).alias("_b"))
+    found = best.select(*k, F.col(f"_b.{i}").alias(i), F.col("_b.step").alias("_step")).join(base.select(*k, i, "x"), [*k, i])
+    return sizes.join(found, k, "left").select(
+        *k, F.coalesce(F.col("_step"), F.lit(0.0)).alias("max_step_s"), F.col("x").alias("step_at_s")
     )
 
 

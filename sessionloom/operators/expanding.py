@@ -21,12 +21,20 @@ ROWS = 16_384  # rows per block
 def expanding_median(
     df: DataFrame, k: Sequence[str], v: str, out: str, i: str = "i", block: int = ROWS
 ) -> DataFrame:
-    """Column `out`: median of `v` over rows 0..i of the series (`i` dense, `v` not null).
+    """Column `out`: median of `v` over rows 0..i of the series (`i` dense, `v` not null)."""
+    return df.join(prefix_medians(df, k, v, out, i, block), [*k, i])
+
+
+def prefix_medians(
+    df: DataFrame, k: Sequence[str], v: str, out: str, i: str = "i", block: int = ROWS
+) -> DataFrame:
+    """The medians of `expanding_median` by key and `i`, without the other columns.
 
     A block of n rows moves the median by at most n ranks, so it needs, of everything before it,
     only the values around the median at its start and the counts below and above them. Per
     series, value buckets are counted per block; running counts say which buckets a block
-    needs, and only the rows of those are copied to it.
+    needs, and only the rows of those are copied to it. Where every series is one block, nothing
+    is counted or copied.
     """
     k = list(k)
     base = df.withColumn("_v", F.col(v).cast("double")).withColumn(
@@ -50,8 +58,7 @@ def expanding_median(
             found[a + copied : b] = (smallest_of_prefix(v, n, (total - 1) // 2 - missing) + smallest_of_prefix(v, n, total // 2 - missing)) / 2
         return whole.select([*k, i]).append_column(out, pa.array(found)).filter(pa.array(mine))
 
-    done = groups.over_groups(own, [*k, "_b"], ["_own", i], medians, schema)
-    return df.join(done, [*k, i])
+    return groups.over_groups(own, [*k, "_b"], ["_own", i], medians, schema)
 
 
 def smallest_of_prefix(v: np.ndarray, n: np.ndarray, place: np.ndarray) -> np.ndarray:
@@ -89,6 +96,9 @@ def _with_candidates(values: DataFrame, k: list[str], i: str) -> DataFrame:
     """Own rows of every block, plus copies of the earlier rows its medians can reach."""
     n = COARSE * COARSE
     every = values
+    if not every.filter(F.col("_b") > 0).limit(1).count():
+        none = F.lit(0).cast("bigint")
+        return every.withColumns({"_own": F.lit(True), "_below": none, "_total": none})
     # a series of one block has nothing before it
     values = every.join(every.filter(F.col("_b") > 0).select(*k).distinct(), k, "left_semi")
     cuts = values.groupBy(*k).agg(
@@ -118,7 +128,8 @@ def _with_candidates(values: DataFrame, k: list[str], i: str) -> DataFrame:
     # the median stays within size/2 + 1 ranks of where it starts
     reach = F.floor(F.col("_size") / 2) + 2
     middle = F.floor(F.col("_total") / 2)
-    needed = ranked.filter((F.col("_hi") > middle - reach) & (F.col("_lo") <= middle + reach))
+    # few rows, read twice: written, so that the plan of the counts ends here
+    needed = settle(ranked.filter((F.col("_hi") > middle - reach) & (F.col("_lo") <= middle + reach)))
     facts = needed.groupBy(*k, "_b").agg(F.min("_lo").alias("_below"), F.max("_total").alias("_total"))
     # copies are made per (bucket, salt of the target block): a central bucket serves many blocks
     wanted = needed.select(*k, "_q", F.col("_b").alias("_to"), F.pmod("_b", F.lit(SALTS)).alias("_salt"))

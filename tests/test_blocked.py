@@ -263,3 +263,22 @@ def test_bootstrap_by_blocks(spark, block):
             peaks.append(int(np.argmax(np.mean([own[p][1] for p in picks], axis=0))) - 2)
         want[s] = tuple(np.quantile(peaks, [0.025, 0.975]))
     assert {r["s"]: (pytest.approx(r["lag_lo"]), pytest.approx(r["lag_hi"])) for r in got.collect()} == want
+
+
+@pytest.mark.parametrize("block", [7, 65_536])
+def test_largest_step_reads_its_steps_before_once(spark, block):
+    from sessionloom.operators import blocks, clock
+
+    rng = np.random.default_rng(17)
+    logs = {s: np.round(rng.normal(size=n) + 3 * (np.arange(n) > n // 2), 3) for s, n in (("a", 61), ("b", 40), ("c", 10), ("d", 9))} | {"e": np.zeros(30)}
+    rows = [(s, 500 * n, n / 2, float(v)) for s, vs in logs.items() for n, v in enumerate(vs)]
+    df = spark.createDataFrame(rows, "s string, ms long, x double, off double").repartition(3)
+    out = clock.largest_step(blocks.index_rows(df, ["s"], ["ms"], blocks.chunk_of("ms", 4000.0)), ["s"], block=block)
+    want = {}
+    for s, vs in logs.items():
+        steps = [(float(np.median(vs[p:]) - np.median(vs[:p])), p) for p in range(5, len(vs) - 4)]
+        step, at = min(((v, p) for v, p in steps if v), key=lambda e: (-abs(e[0]), e[1]), default=(0.0, None))
+        want[s] = (pytest.approx(step), None if at is None else at / 2)
+    assert {r["s"]: (r["max_step_s"], r["step_at_s"]) for r in out.collect()} == want
+    # the driver holds the whole plan, and a copy of it for every stage that ends
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("Join") <= 4
