@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
 from ..operators import relations, stats
+from . import digests
 
 
 def fixed_decimals(df: DataFrame, decimals: int = 6) -> DataFrame:
@@ -83,14 +84,11 @@ TIERS = {"Raw_Dataset": "raw", "Preprocessed_Dataset": "processed"}
 def build_manifest(spark: SparkSession, root: str, tiers: Mapping[str, str] = TIERS) -> DataFrame:
     """Every file below `root` (S12): tier, relative path, size, data rows of CSV files, SHA-256.
 
-    Hashing reads a file whole inside the task that holds it, as the file format offers no
-    splitting; lines are counted by a splittable text scan.
+    Long files are hashed in pieces; lines are counted by a splittable text scan.
     """
     base = root.rstrip("/") + "/"
     rel = F.substring_index(F.regexp_replace("path", "%20", " "), base, -1)
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select(
-        rel.alias("relative_path"), F.col("length").alias("size_bytes"), F.sha2("content", 256).alias("sha256")
-    )
+    files = digests.sha256_files(spark, root).select(rel.alias("relative_path"), F.col("length").alias("size_bytes"), "sha256")
     lines = (
         spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").text(root)
         .select(F.substring_index(F.regexp_replace(F.col("_metadata.file_path"), "%20", " "), base, -1).alias("relative_path"))

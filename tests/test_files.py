@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import bz2
+import gzip
 import hashlib
 import json
 
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from sessionloom.operators import relations
-from sessionloom.sources import device, sessions, sinks
+from sessionloom.sources import device, digests, sessions, sinks
 from sessionloom.streaming import ingest
 
 
@@ -101,6 +105,40 @@ def test_manifest(spark, tmp_path):
     assert sinks.upsert_manifest(old, new).filter("size_bytes = 11").count() == 1
 
 
+@pytest.mark.parametrize("split", ["7k", "128m"])
+def test_manifest_of_long_files(spark, tmp_path, monkeypatch, split):
+    monkeypatch.setattr(digests, "WHOLE", 1000)
+    monkeypatch.setattr(digests, "STRETCH", 5000)
+    monkeypatch.setattr(digests, "PIECE", 700)
+    rng = np.random.default_rng(4)
+    noise, mark = rng.bytes(60_000), b"\xef\xbb\xbf"
+    bodies = {
+        "noise.bin": noise, "ends.bin": noise + b"\n", "two.bin": noise + b"\n\n", "marked.bin": mark + noise, "marked ends.bin": mark + noise + b"\n",
+        "twice marked.bin": mark + mark + b"\n" + noise, "Raw_Dataset/x.csv": b"a,b\r\n" * 9000, "Raw_Dataset/short.csv": b"a\n1\n",
+        "zeros.bin": bytes(20_000), "words.txt": b"word " * 4000, "newlines.bin": b"\n" * 3000, "limit.bin": b"y" * 4998 + b"\n" + noise,
+        "a#b %é.bin": noise[:9000], "packed.csv.gz": gzip.compress(noise), "packed.bz2": bz2.compress(noise), "not.zst": noise, "zeros.gz": bytes(6000),
+        "manifest.csv": b"old\n" * 2000,
+    }
+    for name, body in bodies.items():
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_bytes(body)
+    # a longer file can't be read as one value
+    limits = {"spark.sql.sources.binaryFile.maxLength": "1000", "spark.sql.files.maxPartitionBytes": split, "spark.sql.files.openCostInBytes": "1k"}
+    for name, value in limits.items():
+        spark.conf.set(name, value)
+    try:
+        got = {r["relative_path"]: (r["size_bytes"], r["sha256"]) for r in sinks.build_manifest(spark, str(tmp_path)).collect()}
+    finally:
+        for name in limits:
+            spark.conf.unset(name)
+    want = {n: (len(b), hashlib.sha256(b).hexdigest()) for n, b in bodies.items() if n != "manifest.csv"}
+    assert got == want
+    # without any separator it is one value
+    (tmp_path / "one stretch.bin").write_bytes(b"x" * 20_000)
+    got = {r["relative_path"]: (r["size_bytes"], r["sha256"]) for r in sinks.build_manifest(spark, str(tmp_path)).collect()}
+    assert got == want | {"one stretch.bin": (20_000, hashlib.sha256(b"x" * 20_000).hexdigest())}
+
+
 def test_resume(spark, tmp_path):
     src, out, mark = (str(tmp_path / n) for n in ("in", "out", "mark"))
     schema = "k long, v double"
